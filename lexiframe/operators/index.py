@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lexiframe.functions.text import keyword_terms, tokens, with_term_counts
-from lexiframe.operators.sizing import broadcast_if_small
+from lexiframe.operators.sizing import broadcast_if_small, spread
 
 
 @dataclass(frozen=True)
@@ -53,6 +53,43 @@ class CorpusIndex:
     doc_fields: DataFrame
     key: str = "doc_id"
     fields: tuple[FieldSpec, ...] = field(default=DOCUMENT_FIELDS)
+    # per-document term arrays (``field, key, terms, n_tokens``) the two tables above derive from
+    forward: DataFrame | None = None
+    # term dictionary ``field, term, df, cf`` when materialised (see ``with_term_dictionary``)
+    terms: DataFrame | None = None
+
+    def term_dictionary(self) -> DataFrame:
+        """``field, term, df, cf`` — the stored dictionary, or one aggregate over the postings."""
+        if self.terms is not None:
+            return self.terms
+        return self.postings.groupBy("field", "term").agg(
+            F.count(F.lit(1)).alias("df"), F.sum("tf").cast("bigint").alias("cf"))
+
+    def with_term_dictionary(self, level=None) -> "CorpusIndex":
+        from pyspark import StorageLevel
+
+        self.terms = self.term_dictionary().persist(level or StorageLevel.MEMORY_AND_DISK)
+        return self
+
+    def persisted(self, level=None) -> "CorpusIndex":
+        """Materialise postings and lengths in the cache from ONE tokenizer pass (eager).
+
+        A lost cached block is recomputed from the source by lineage."""
+        from pyspark import StorageLevel
+
+        if self.forward is None:
+            self.postings = self.postings.persist(level or StorageLevel.MEMORY_AND_DISK)
+            self.doc_fields = self.doc_fields.persist(level or StorageLevel.MEMORY_AND_DISK)
+            return self
+        level = level or StorageLevel.MEMORY_AND_DISK
+        fwd = self.forward.persist(level)
+        postings = _postings_from(fwd, self.key).persist(level)
+        lengths = _lengths_from(fwd, self.key).persist(level)
+        # materialise both from one tokenizer pass, then drop the per-document arrays
+        postings.count()
+        lengths.count()
+        fwd.unpersist()
+        return CorpusIndex(self.docs, postings, lengths, self.key, self.fields, None, self.terms)
 
     # ---- views ---------------------------------------------------------------------------
     def field_postings(self, name: str = "text") -> DataFrame:
@@ -75,6 +112,7 @@ class CorpusIndex:
         (self.postings.sortWithinPartitions("field", "term")
          .write.mode(mode).partitionBy("field").parquet(f"{path}/postings"))
         self.doc_fields.write.mode(mode).partitionBy("field").parquet(f"{path}/doc_fields")
+        self.term_dictionary().write.mode(mode).partitionBy("field").parquet(f"{path}/terms")
 
     @classmethod
     def load(cls, spark: SparkSession, path: str, key: str = "doc_id",
@@ -83,8 +121,10 @@ class CorpusIndex:
         postings = spark.read.parquet(f"{path}/postings")
         doc_fields = spark.read.parquet(f"{path}/doc_fields")
         cols = ["field", key, "term", "tf", "doc_len"]
+        terms = spark.read.parquet(f"{path}/terms").select("field", "term", "df", "cf")
         return cls(spark.read.parquet(f"{path}/docs"), postings.select(*cols),
-                   doc_fields.select("field", key, "n_terms", "n_tokens", "tf_sq"), key, tuple(fields))
+                   doc_fields.select("field", key, "n_terms", "n_tokens", "tf_sq"), key, tuple(fields),
+                   None, terms)
 
 
 def _field_rows(docs: DataFrame, key: str, spec: FieldSpec) -> DataFrame:
@@ -108,25 +148,33 @@ def build_index(docs: DataFrame, key: str = "doc_id", fields: Sequence[FieldSpec
     file), spread the documents round-robin first so tokenization uses every core.
     """
     if min_partitions:
-        if docs.rdd.getNumPartitions() < min_partitions:
-            docs = docs.repartition(min_partitions)
+        docs = spread(docs, min_partitions)
     per_field = None
     for spec in fields:
         rows = _field_rows(docs, key, spec)
         per_field = rows if per_field is None else per_field.unionByName(rows)
     # inline_outer: a plain inline makes the optimizer infer `size(terms) > 0` and push it below
     # the projections, re-running the tokenizer inside the array lambdas (quadratic per row).
-    postings = per_field.select(
+    stored = [key] + [s.name for s in fields if s.stored and s.name != key]
+    extra = [c for c in docs.columns if c not in stored]
+    return CorpusIndex(docs.select(*stored, *extra), _postings_from(per_field, key), _lengths_from(per_field, key),
+                       key, tuple(fields), per_field)
+
+
+def _postings_from(per_field: DataFrame, key: str) -> DataFrame:
+    # inline_outer: a plain inline makes the optimizer infer `size(terms) > 0` and push it below
+    # the projections, re-running the tokenizer inside the array lambdas (quadratic per row).
+    return per_field.select(
         "field", key, F.inline_outer("terms"), F.col("n_tokens").alias("doc_len")).where(F.col("term").isNotNull())
-    doc_fields = per_field.where(F.col("n_tokens") > 0).select(
+
+
+def _lengths_from(per_field: DataFrame, key: str) -> DataFrame:
+    return per_field.where(F.col("n_tokens") > 0).select(
         "field", key,
         F.size("terms").cast("bigint").alias("n_terms"),
         "n_tokens",
         F.aggregate("terms", F.lit(0).cast("bigint"), lambda acc, x: acc + x["tf"] * x["tf"]).alias("tf_sq"),
     )
-    stored = [key] + [s.name for s in fields if s.stored and s.name != key]
-    extra = [c for c in docs.columns if c not in stored]
-    return CorpusIndex(docs.select(*stored, *extra), postings, doc_fields, key, tuple(fields))
 
 
 def postings_with_positions(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -98,8 +98,7 @@ def kmeans(df: DataFrame, k: int, iterations: int | None = 3, id_col: str = "vec
     for it in range(1, n_iter + 1):
         assigned = assign_nearest(df, _centers(centroids), id_col, vec_col)
         new_centroids = recompute_centroids(assigned, centroids).checkpoint(eager=True)
-        sse_df = (_sse_against(assigned, _centers(new_centroids))
-                  .select(F.lit(it).alias("iteration"), "sse").checkpoint(eager=True))
+        sse_df = _sse_against(assigned, _centers(new_centroids)).select(F.lit(it).alias("iteration"), "sse")
         sse_parts.append(sse_df)
         final_centers = centroids
         centroids = new_centroids
@@ -178,8 +177,7 @@ def sparse_kmeans(vectors: DataFrame, k: int, iterations: int, id_col: str = "do
         assigned = _sparse_assign(vectors, dnorm, centroids, id_col, k).checkpoint(eager=True)
         new_centroids = _sparse_recompute(vectors, assigned, centroids, id_col).checkpoint(eager=True)
         d2 = _sparse_dist_to_own(vectors, dnorm, assigned, new_centroids, id_col)
-        sse_parts.append(d2.agg(F.sum("d2").alias("sse")).select(F.lit(it).alias("iteration"), "sse")
-                         .checkpoint(eager=True))
+        sse_parts.append(d2.agg(F.sum("d2").alias("sse")).select(F.lit(it).alias("iteration"), "sse"))
         centroids = new_centroids
     sse = sse_parts[0]
     for p in sse_parts[1:]:

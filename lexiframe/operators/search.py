@@ -55,8 +55,13 @@ def _matched(index: CorpusIndex, qterms: DataFrame, field: str):
     vocab = qterms.select("term").distinct()
     # the query vocabulary is no larger than the query terms: one probe bounds both
     postings = index.field_postings(field).join(broadcast_when(vocab, n_qt), "term")
-    stats = broadcast_when(
-        postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").cast("bigint").alias("cf")), n_qt)
+    if index.terms is not None:
+        # the stored term dictionary, restricted to the query vocabulary
+        stats = (index.terms.where(F.col("field") == field).select("term", "df", "cf")
+                 .join(broadcast_when(vocab, n_qt), "term"))
+    else:
+        stats = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").cast("bigint").alias("cf"))
+    stats = broadcast_when(stats, n_qt)
     return (postings.join(qt, "term").join(stats, "term")
             .select("query_id", key, "term", "qtf", "tf", "doc_len", "df", "cf"))
 

@@ -34,6 +34,14 @@ def small_count(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> int |
     return n if n <= max_rows else None
 
 
+def spread(df: DataFrame, min_partitions: int) -> DataFrame:
+    """Round-robin ``df`` over ``min_partitions`` tasks when its input has fewer splits (one big
+    file read by one task); a no-op for inputs that are already split finer."""
+    if df.rdd.getNumPartitions() < min_partitions:
+        return df.repartition(min_partitions)
+    return df
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir`` (read from the session).
 

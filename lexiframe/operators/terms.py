@@ -42,8 +42,7 @@ def field_stats(index: CorpusIndex, field: str | None = None) -> DataFrame:
 
 def doc_freqs(index: CorpusIndex, field: str = "text") -> DataFrame:
     """``term, df, cf`` over the whole vocabulary of a field (partial aggregation map-side)."""
-    return index.field_postings(field).groupBy("term").agg(
-        F.count(F.lit(1)).alias("df"), F.sum("tf").cast("bigint").alias("cf"))
+    return index.term_dictionary().where(F.col("field") == field).select("term", "df", "cf")
 
 
 def vocabulary(index: CorpusIndex, field: str = "text") -> DataFrame:

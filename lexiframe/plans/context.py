@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from lexiframe.operators.evaluation import derive_qrels
 from lexiframe.operators.index import CorpusIndex, build_index
 from lexiframe.operators.search import query_terms, score_jm, top_hits
+from lexiframe.operators.sizing import spread
+from lexiframe.operators.terms import doc_freqs
 from lexiframe.sources.tables import read_table
 
 # Query constants of the registry.
@@ -50,17 +52,30 @@ class Context:
     def documents(self) -> DataFrame:
         return self.table("documents")
 
+    @property
+    def documents_spread(self) -> DataFrame:
+        """Documents spread over every core when the input has fewer splits than cores."""
+        return spread(self.documents, self.spark.sparkContext.defaultParallelism)
+
     @property
     def index(self) -> CorpusIndex:
         if "index" not in self.memo:
-            docs = self.documents.select("doc_id", "text", "lang", "source", "n_chars")
-            parallelism = self.spark.sparkContext.defaultParallelism
-            idx = build_index(docs, "doc_id", min_partitions=parallelism)
-            idx.postings = idx.postings.persist(StorageLevel.MEMORY_AND_DISK)
-            idx.doc_fields = idx.doc_fields.persist(StorageLevel.MEMORY_AND_DISK)
-            self.memo["index"] = idx
+            docs = self.documents_spread.select("doc_id", "text", "lang", "source", "n_chars")
+            idx = build_index(docs, "doc_id").persisted(StorageLevel.MEMORY_AND_DISK)
+            self.memo["index"] = idx.with_term_dictionary(StorageLevel.MEMORY_AND_DISK)
         return self.memo["index"]
 
+    @property
+    def term_stats(self) -> DataFrame:
+        """``term, df, cf`` of the text field — the term dictionary, aggregated once."""
+        return doc_freqs(self.index, "text")
+
+    def persisted(self, name: str, build) -> DataFrame:
+        """Small derived tables shared by several queries (metric tables), computed once."""
+        if name not in self.memo:
+            self.memo[name] = build().persist(StorageLevel.MEMORY_AND_DISK)
+        return self.memo[name]
+
     @property
     def topics(self) -> DataFrame:
         """Benchmark items as topics: ``query_id, text``."""
@@ -69,7 +84,7 @@ class Context:
     @property
     def qrels(self) -> DataFrame:
         if "qrels" not in self.memo:
-            q = derive_qrels(self.documents, self.table("benchmark"), SHINGLE)
+            q = derive_qrels(self.documents_spread, self.table("benchmark"), SHINGLE)
             self.memo["qrels"] = q.persist(StorageLevel.MEMORY_AND_DISK)
         return self.memo["qrels"]
 

@@ -67,7 +67,7 @@ def term_vectors(spark, sf_dir):
 
 
 def postings_positions(spark, sf_dir):
-    docs = context(spark, sf_dir).documents
+    docs = context(spark, sf_dir).documents_spread
     return postings_with_positions(docs).select("doc_id", "term", "tf", "first_pos", "last_pos")
 
 
@@ -282,7 +282,7 @@ def cluster_similar_docs(spark, sf_dir):
 # ---- search ------------------------------------------------------------------------------------------
 
 def search_stats(spark, sf_dir):
-    return tm.doc_freqs(context(spark, sf_dir).index, "text")
+    return context(spark, sf_dir).term_stats
 
 
 def _search(model, lam=0.5, power=1.0):
@@ -325,7 +325,7 @@ def run_cumulative_relevance(spark, sf_dir):
 
 def _eval_metrics(spark, sf_dir):
     ctx = context(spark, sf_dir)
-    return ev.per_query_metrics(ctx.eval_run_jm(0.5), ctx.qrels, CUT)
+    return ctx.persisted("metrics_jm05", lambda: ev.per_query_metrics(ctx.eval_run_jm(0.5), ctx.qrels, CUT))
 
 
 def _metric(col):
@@ -345,6 +345,11 @@ def eval_metrics_with_mean(spark, sf_dir):
 
 
 def _sweep_metrics(spark, sf_dir, first, last):
+    ctx = context(spark, sf_dir)
+    return ctx.persisted(f"sweep_{first}_{last}", lambda: _sweep_metrics_plan(spark, sf_dir, first, last))
+
+
+def _sweep_metrics_plan(spark, sf_dir, first, last):
     """AP of every judged topic in [first, last] for every λ of the grid (one scoring pass)."""
     ctx = context(spark, sf_dir)
     qt = ctx.eval_terms().where(F.col("query_id").between(first, last))
@@ -378,14 +383,12 @@ def tune_train_test(spark, sf_dir):
 
 def _tfidf_ap(spark, sf_dir, first=None, last=None):
     ctx = context(spark, sf_dir)
-    qt = ctx.eval_terms()
-    if first is not None:
-        qt = qt.where(F.col("query_id").between(first, last))
-    run = se.top_hits(se.score_tfidf(ctx.index, qt, 1.0), CUT)
-    m = ev.per_query_metrics(run, ctx.qrels, CUT)
     if first is not None:
-        m = m.where(F.col("query_id").between(first, last))
-    return m
+        qt = ctx.eval_terms().where(F.col("query_id").between(first, last))
+        run = se.top_hits(se.score_tfidf(ctx.index, qt, 1.0), CUT)
+        return ev.per_query_metrics(run, ctx.qrels, CUT).where(F.col("query_id").between(first, last))
+    return ctx.persisted("metrics_tfidf_p1", lambda: ev.per_query_metrics(
+        se.top_hits(se.score_tfidf(ctx.index, ctx.eval_terms(), 1.0), CUT), ctx.qrels, CUT))
 
 
 def eval_tfidf_test(spark, sf_dir):
