@@ -35,12 +35,9 @@ SCORE_DECIMALS = 6
 LAMBDA_GRID = tuple(round(0.1 * i, 1) for i in range(1, 11))
 
 
-def query_terms(topics: DataFrame, id_col: str = "query_id", text_col: str = "text",
-                first_tokens: int | None = None) -> DataFrame:
-    """``query_id, term, qtf`` from topic text (optionally only its first n tokens)."""
+def query_terms(topics: DataFrame, id_col: str = "query_id", text_col: str = "text") -> DataFrame:
+    """``query_id, term, qtf`` from the whole topic text."""
     toks = tokens(F.col(text_col))
-    if first_tokens is not None:
-        toks = F.slice(toks, 1, first_tokens)
     staged = topics.select(F.col(id_col).alias("query_id"), toks.alias("_toks"))
     return (with_term_counts(staged, "_toks", "t")
             .select("query_id", F.inline_outer("t")).where(F.col("term").isNotNull())
@@ -111,10 +108,9 @@ def top_hits(scores: DataFrame, n: int, key: str = "doc_id", by: Sequence[str] =
 
 
 def search(index: CorpusIndex, topics: DataFrame, model: str = "jm", n: int = 10, lam: float = 0.5,
-           power: float = 1.0, field: str = "text", id_col: str = "query_id", text_col: str = "text",
-           first_tokens: int | None = None) -> DataFrame:
+           power: float = 1.0, field: str = "text", id_col: str = "query_id", text_col: str = "text") -> DataFrame:
     """Run every topic: ``query_id, doc_id, score, rank``."""
-    qt = query_terms(topics, id_col, text_col, first_tokens)
+    qt = query_terms(topics, id_col, text_col)
     if model == "jm":
         scores = score_jm(index, qt, lam, field)
     elif model == "tfidf":

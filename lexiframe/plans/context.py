@@ -28,7 +28,6 @@ TOP_DOC_TERMS = 20      # per-document term reports
 TOP_SIMILAR = 20        # similar documents
 CUT = 10                # hits per topic
 SHINGLE = 8             # tokens per shared passage in the derived judgements
-EVAL_TOKENS = 3         # evaluated topic text = first 3 tokens of the item
 TRAIN = (0, 19)         # training topics (inclusive)
 TEST = (20, 1 << 62)    # test topics (inclusive)
 SUBSET = (5, 15)        # topic subset report
@@ -89,7 +88,7 @@ class Context:
         return self.memo["qrels"]
 
     def eval_terms(self) -> DataFrame:
-        return query_terms(self.topics, "query_id", "text", first_tokens=EVAL_TOKENS)
+        return query_terms(self.topics, "query_id", "text")
 
     def eval_run_jm(self, lam: float = 0.5) -> DataFrame:
         return top_hits(score_jm(self.index, self.eval_terms(), lam), CUT).select(

@@ -38,8 +38,8 @@ qrels AS (SELECT DISTINCT t.query_id, d.doc_id FROM dsh d JOIN tsh t ON d.sh = t
 nrel AS (SELECT query_id, count(*) AS n_rel FROM qrels GROUP BY query_id)"""
 
 
-def _qterms(first_tokens: int | None, where: str = "") -> str:
-    toks = _tok("text") if first_tokens is None else f"{_tok('text')}[1:{first_tokens}]"
+def _qterms(where: str = "") -> str:
+    toks = _tok("text")
     return f"""
 qt AS (SELECT query_id, term, count(*) AS qtf FROM (
          SELECT item_id AS query_id, unnest({toks}) AS term FROM benchmark {where})
@@ -72,7 +72,7 @@ def _lam(x: float) -> str:
 
 
 def _search(score_expr: str) -> str:
-    return f"WITH {TV}, {_qterms(None)}, {_run(score_expr)} SELECT query_id, doc_id, score, rank FROM run"
+    return f"WITH {TV}, {_qterms()}, {_run(score_expr)} SELECT query_id, doc_id, score, rank FROM run"
 
 
 # per-topic P/R/AP of a run against the derived judgements (judged topics only)
@@ -89,11 +89,11 @@ met AS (SELECT n.query_id, coalesce(a.rel_ret / a.returned, 0.0) AS p,
 
 
 def _eval_jm(lam: float = 0.5) -> str:
-    return f"{TV}, {QRELS}, {_qterms(C.EVAL_TOKENS)}, {_run(_jm(_lam(lam)))}, {METRICS}"
+    return f"{TV}, {QRELS}, {_qterms()}, {_run(_jm(_lam(lam)))}, {METRICS}"
 
 
 def _eval_tfidf() -> str:
-    return f"{TV}, {QRELS}, {_qterms(C.EVAL_TOKENS)}, {_run(_tfidf(1.0))}, {METRICS}"
+    return f"{TV}, {QRELS}, {_qterms()}, {_run(_tfidf(1.0))}, {METRICS}"
 
 
 GRID = "[" + ", ".join(_lam(x) for x in LAMBDA_GRID) + "]"
@@ -102,7 +102,7 @@ GRID = "[" + ", ".join(_lam(x) for x in LAMBDA_GRID) + "]"
 def _sweep(first: int, last: int) -> str:
     """AP per judged topic in [first, last] and λ of the grid."""
     where = f"WHERE item_id BETWEEN {first} AND {last}"
-    return f"""{TV}, {QRELS}, {_qterms(C.EVAL_TOKENS, where)},
+    return f"""{TV}, {QRELS}, {_qterms(where)},
 g AS (SELECT unnest({GRID}) AS "lambda"),
 sc AS (SELECT query_id, doc_id, "lambda", round(sum({_jm('"lambda"')}), 6) AS score FROM m, g
        GROUP BY query_id, doc_id, "lambda"),
@@ -384,7 +384,7 @@ def _tune_train_test() -> str:
     first, last = C.TEST
     return f"""WITH {train},
 tq AS (SELECT query_id, term, count(*) AS qtf FROM (
-         SELECT item_id AS query_id, unnest({_tok('text')}[1:{C.EVAL_TOKENS}]) AS term FROM benchmark
+         SELECT item_id AS query_id, unnest({_tok('text')}) AS term FROM benchmark
          WHERE item_id BETWEEN {first} AND {last}) GROUP BY query_id, term),
 tts AS (SELECT term, count(*) AS df, sum(tf) AS cf FROM tv WHERE term IN (SELECT term FROM tq) GROUP BY term),
 tm AS (SELECT tq.query_id, tv.doc_id, tq.qtf, tv.tf, dl.dl, tts.cf, tot.T
