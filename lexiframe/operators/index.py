@@ -204,6 +204,31 @@ def postings_with_positions(docs: DataFrame, key: str = "doc_id", text: str = "t
                     F.element_at("positions", -1).cast("bigint").alias("last_pos")))
 
 
+def token_offsets(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``doc_id, pos, term, start_offset, end_offset``: 0-based character offsets of every token
+    in the lower-cased text (``substring(lower(text), start + 1, end - start) == term``).
+
+    The text splits into tokens and the gaps between them (same pattern, same scan), so a
+    token starts after all earlier gaps and tokens: a running sum per document.
+    """
+    from lexiframe.functions.text import TOKEN_PATTERN
+
+    lt = F.lower(F.col(text))
+    staged = docs.select(F.col(key), F.regexp_extract_all(lt, F.lit(TOKEN_PATTERN), 0).alias("_t"),
+                         F.split(lt, TOKEN_PATTERN, -1).alias("_g"))
+    pairs = staged.select(key, F.arrays_zip(F.col("_t").alias("term"),
+                                            F.slice("_g", 1, F.greatest(F.size("_t"), F.lit(1))).alias("gap"))
+                          .alias("_p"))
+    rows = (pairs.select(key, F.posexplode_outer("_p").alias("pos", "p"))
+            .where(F.col("p.term").isNotNull())
+            .select(key, F.col("pos").cast("bigint").alias("pos"), F.col("p.term").alias("term"),
+                    (F.length("p.gap") + F.length("p.term")).alias("_step"), F.length("p.term").alias("_len")))
+    w = Window.partitionBy(key).orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    end = F.sum("_step").over(w)
+    return rows.select(key, "pos", "term", (end - F.col("_len")).cast("bigint").alias("start_offset"),
+                       end.cast("bigint").alias("end_offset"))
+
+
 # ---- write modes ------------------------------------------------------------------------------
 
 def _keys(df: DataFrame, key: str) -> DataFrame:
@@ -274,3 +299,52 @@ def merge_indexes(parts: Sequence[CorpusIndex], check_keys: bool = True) -> Corp
         if docs.groupBy(key).count().where("count > 1").limit(1).count() > 0:
             raise DuplicateKeyError(f"merge: {key} present in more than one partial index")
     return CorpusIndex(docs, postings, doc_fields, key, parts[0].fields)
+
+
+# ---- open modes on a persisted index -----------------------------------------------------------
+
+OPEN_MODES = ("create", "append", "create_or_append")
+
+
+def index_exists(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.parquet(f"{path.rstrip('/')}/docs").limit(0).collect()
+        return True
+    except Exception:  # noqa: BLE001 - a missing path raises an AnalysisException
+        return False
+
+
+def write_index(spark: SparkSession, docs: DataFrame, path: str, mode: str = "create", key: str = "doc_id",
+                fields: Sequence[FieldSpec] = DOCUMENT_FIELDS, on_duplicate: str = "error") -> CorpusIndex:
+    """Index ``docs`` into ``path``: create (replace), append (key-checked) or create_or_append.
+
+    Append writes only the new documents' rows (parquet append); keys already present are an
+    error (or skipped), so re-running an append never duplicates documents.
+    """
+    if mode not in OPEN_MODES:
+        raise ValueError(f"mode must be one of {OPEN_MODES}")
+    exists = index_exists(spark, path)
+    if mode == "create" or (mode == "create_or_append" and not exists):
+        idx = build_index(docs, key, fields)
+        idx.save(path, "overwrite")
+        return CorpusIndex.load(spark, path, key, fields)
+    if not exists:
+        raise FileNotFoundError(f"no index at {path}")
+    base = CorpusIndex.load(spark, path, key, fields)
+    new_keys = broadcast_if_small(_keys(docs, key))
+    clash = base.docs.select(key).join(new_keys, key, "left_semi")
+    if on_duplicate == "error" and clash.limit(1).count() > 0:
+        raise DuplicateKeyError(f"append: {key} values already indexed")
+    add_docs = docs.join(broadcast_if_small(clash), key, "left_anti") if on_duplicate == "skip" else docs
+    add = build_index(add_docs.select(*base.docs.columns), key, fields)
+    path = path.rstrip("/")
+    add.docs.write.mode("append").parquet(f"{path}/docs")
+    add.postings.write.mode("append").partitionBy("field").parquet(f"{path}/postings")
+    add.doc_fields.write.mode("append").partitionBy("field").parquet(f"{path}/doc_fields")
+    # the dictionary is re-aggregated from the merged postings (df and cf are sums over documents)
+    merged = CorpusIndex.load(spark, path, key, fields)
+    merged.terms = None
+    merged.term_dictionary().write.mode("overwrite").partitionBy("field").parquet(f"{path}/terms_next")
+    # a path cannot be overwritten while it is read: stage the new dictionary, then copy it over
+    spark.read.parquet(f"{path}/terms_next").write.mode("overwrite").partitionBy("field").parquet(f"{path}/terms")
+    return CorpusIndex.load(spark, path, key, fields)

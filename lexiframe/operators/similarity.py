@@ -22,10 +22,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexiframe.operators.index import CorpusIndex
-from lexiframe.operators.sizing import broadcast_when
+from lexiframe.operators.sizing import broadcast_when, small_count
 from lexiframe.operators.terms import doc_freqs, idf_expr
 
 REPRESENTATIONS = ("tf", "tfxidf", "bin", "bin_cosine")
+DICTIONARY_BROADCAST_ROWS = 1_000_000
 
 
 def _safe_div(a, b):
@@ -37,6 +38,9 @@ def tfxidf_weights(index: CorpusIndex, field: str = "text") -> DataFrame:
     key = index.key
     p = index.field_postings(field)
     dfs = doc_freqs(index, field).select("term", idf_expr(index.num_docs()).alias("idf"))
+    # broadcast the dictionary when the vocabulary is within bound; else a sort-merge join on term
+    # whose hot-term partitions AQE splits
+    dfs = broadcast_when(dfs, small_count(dfs, DICTIONARY_BROADCAST_ROWS), DICTIONARY_BROADCAST_ROWS)
     return p.join(dfs, "term").select(key, "term", (F.col("tf") * F.col("idf")).alias("w"))
 
 

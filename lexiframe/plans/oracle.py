@@ -268,6 +268,20 @@ SELECT doc_id, CAST(len(toks) AS BIGINT) AS n_tokens, CAST(len(list_distinct(tok
     "postings_positions": f"""WITH tok AS (SELECT doc_id, {_tok('text')} AS toks FROM documents),
 p AS (SELECT doc_id, unnest(toks) AS term, unnest(range(0, len(toks))) AS pos FROM tok)
 SELECT doc_id, term, count(*) AS tf, min(pos) AS first_pos, max(pos) AS last_pos FROM p GROUP BY doc_id, term""",
+    "token_offsets": f"""WITH s AS (SELECT doc_id, {_tok('text')} AS t,
+                     regexp_split_to_array(lower(text), '{PAT}') AS g FROM documents),
+r AS (SELECT doc_id, unnest(range(0, len(t))) AS pos, unnest(t) AS term, g FROM s),
+x AS (SELECT doc_id, pos, term, length(g[pos + 1]) + length(term) AS step, length(term) AS ln FROM r)
+SELECT doc_id, pos, term,
+       CAST(sum(step) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - ln
+            AS BIGINT) AS start_offset,
+       CAST(sum(step) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+            AS BIGINT) AS end_offset
+FROM x""",
+    "index_summary": f"""WITH {TV}
+SELECT (SELECT n FROM nd) AS n_docs, (SELECT count(DISTINCT doc_id) FROM tv) AS n_docs_with_text,
+       (SELECT count(*) FROM tv) AS n_postings, (SELECT count(DISTINCT term) FROM tv) AS n_terms,
+       (SELECT CAST(sum(dl) AS BIGINT) FROM dl) AS n_tokens""",
     "vocabulary": f"WITH {TV} SELECT DISTINCT term FROM tv",
     "field_stats": f"""WITH {TV}
 SELECT 'text' AS field, (SELECT count(DISTINCT doc_id) FROM tv) AS doc_count, (SELECT n FROM nd) AS max_doc,

@@ -18,6 +18,7 @@ from lexiframe.operators import search as se
 from lexiframe.operators import significance as sg
 from lexiframe.operators import similarity as sim
 from lexiframe.operators import terms as tm
+from lexiframe.operators import index as idxmod
 from lexiframe.operators.index import (
     append_docs,
     build_index,
@@ -71,6 +72,22 @@ def postings_positions(spark, sf_dir):
     return postings_with_positions(docs).select("doc_id", "term", "tf", "first_pos", "last_pos")
 
 
+def token_offsets(spark, sf_dir):
+    return idxmod.token_offsets(context(spark, sf_dir).documents_spread)
+
+
+def index_summary(spark, sf_dir):
+    """Collection size report: documents, documents with text, postings, terms, tokens."""
+    idx = context(spark, sf_dir).index
+    n_terms = tm.doc_freqs(idx, "text").select(F.count(F.lit(1))).scalar()
+    return idx.field_lengths("text").agg(
+        F.count(F.lit(1)).alias("n_docs_with_text"),
+        F.sum("n_terms").cast("bigint").alias("n_postings"),
+        F.sum("n_tokens").cast("bigint").alias("n_tokens"),
+    ).select(idx.num_docs().cast("bigint").alias("n_docs"), "n_docs_with_text", "n_postings",
+             n_terms.cast("bigint").alias("n_terms"), "n_tokens")
+
+
 def vocabulary(spark, sf_dir):
     return tm.vocabulary(context(spark, sf_dir).index)
 
@@ -421,6 +438,8 @@ QUERIES: dict[str, Query] = {
     "tokenize_docs": tokenize_docs,
     "term_vectors": term_vectors,
     "postings_positions": postings_positions,
+    "token_offsets": token_offsets,
+    "index_summary": index_summary,
     "vocabulary": vocabulary,
     "field_stats": field_stats,
     "field_stats_all": field_stats_all,

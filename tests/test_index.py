@@ -88,3 +88,47 @@ def test_merge_partial_indexes(tiny_docs, tiny_index):  # K4, Q12
 def test_stored_fields_dump(tiny_index):
     rows = tm.stored_fields_dump(tiny_index).where("doc_id = 4").collect()
     assert {r.field: r.value for r in rows} == {"text": "e", "lang": "de", "source": "s2"}
+
+
+def test_open_modes(spark, tiny_docs):
+    from lexiframe.operators.index import write_index
+
+    path = tempfile.mkdtemp(prefix="lexiframe-modes-") + "/idx"
+    with pytest.raises(FileNotFoundError):
+        write_index(spark, tiny_docs, path, "append")
+    idx = write_index(spark, tiny_docs.where("doc_id <= 2"), path, "create_or_append")
+    assert idx.docs.count() == 2
+    idx = write_index(spark, tiny_docs.where("doc_id > 2"), path, "create_or_append")
+    assert idx.docs.count() == 4
+    assert {r.term: r.df for r in tm.doc_freqs(idx).collect()} == {"a": 2, "b": 2, "c": 2, "d": 1, "e": 1}
+    with pytest.raises(DuplicateKeyError):  # re-running an append is refused, not duplicated
+        write_index(spark, tiny_docs.where("doc_id = 4"), path, "append")
+    idx = write_index(spark, tiny_docs.where("doc_id = 1"), path, "create")
+    assert idx.docs.count() == 1
+
+
+def test_reports(spark, tiny_index):
+    import os
+
+    from lexiframe.operators.reports import top_n_note, write_csv, write_text
+
+    out = tempfile.mkdtemp(prefix="lexiframe-rep-")
+    terms = tm.best_terms_collection(tiny_index, "idf", top=3)
+    write_csv(terms, out + "/csv", single_file=True)
+    write_text(terms, out + "/txt", "%s\t%.2f", ["term", "idf"], single_file=True)
+    lines = spark.read.text(out + "/txt").collect()
+    assert [r.value for r in lines] == ["a\t0.30", "b\t0.30", "c\t0.30"]
+    assert any(f.endswith(".csv") for f in os.listdir(out + "/csv"))
+    note = top_n_note(tiny_index.docs, 10).collect()[0]
+    assert (note.requested, note.available) == (10, 4)
+
+
+def test_token_offsets_property(spark):
+    from lexiframe.operators.index import token_offsets
+
+    docs = spark.createDataFrame([(1, "Héllo, wörld! don't  stop\nX.Y z"), (2, ""), (3, "...")],
+                                 "doc_id bigint, text string")
+    offs = token_offsets(docs).join(docs, "doc_id").select(
+        "term", F.expr("substring(lower(text), start_offset + 1, end_offset - start_offset)").alias("cut"), "pos")
+    rows = offs.collect()
+    assert len(rows) == 6 and all(r.term == r.cut for r in rows)
