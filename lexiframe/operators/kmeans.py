@@ -218,3 +218,22 @@ def _sparse_dist_to_own(vectors, dnorm, assigned, centroids, id_col):
             .join(own, id_col, "left")
             .select(id_col, F.round(F.col("dn") + F.col("cn") - 2.0 * F.coalesce("dot", F.lit(0.0)),
                                     DIST_DECIMALS).alias("d2")))
+
+
+def kmeans_ml(df: DataFrame, k: int, seed: int = 42, max_iter: int = 20, id_col: str = "vec_id",
+              vec_col: str = "embedding") -> KMeansResult:
+    """Spark ML k-means (k-means|| seeding, Lloyd iterations) for large K or many records:
+    ``id, cluster`` assignments and ``cluster, center`` centroids."""
+    from pyspark.ml.clustering import KMeans
+    from pyspark.ml.functions import array_to_vector
+
+    feats = df.select(id_col, array_to_vector(_as_double_array(vec_col)).alias("features"))
+    model = KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="features", predictionCol="cluster").fit(feats)
+    assigned = model.transform(feats).select(id_col, F.col("cluster").cast("int").alias("cluster"))
+    centers = model.clusterCenters()  # k × dim values, bounded by the parameters
+    spark = df.sparkSession
+    cent = spark.createDataFrame([(i, [float(x) for x in c]) for i, c in enumerate(centers)],
+                                 "cluster int, center array<double>")
+    sse = spark.createDataFrame([(model.summary.numIter, float(model.summary.trainingCost))],
+                                "iteration int, sse double")
+    return KMeansResult(assigned, cent, sse)

@@ -112,3 +112,21 @@ def test_normal_cdf_series(spark, z):
 
     got = spark.range(1).select(normal_cdf(F.lit(z)).alias("c")).collect()[0].c
     assert got == pytest.approx(0.5 * (1 + math.erf(z / math.sqrt(2))), abs=1e-12)
+
+
+def test_kmeans_paths_agree_on_separated_data(spark):
+    from lexiframe.operators import kmeans as km
+
+    pts = [(i, [0.0 + 0.01 * i, 0.0]) for i in range(5)] + [(10 + i, [10.0 + 0.01 * i, 10.0]) for i in range(5)]
+    df = spark.createDataFrame(pts, "vec_id bigint, embedding array<float>")
+    seeds = spark.createDataFrame([(0, [0.0, 0.0]), (1, [10.0, 10.0])], "cluster int, center array<double>")
+    lloyd = km.kmeans(df, 2, iterations=None, seeds=seeds)
+    a = {r.vec_id: r.cluster for r in lloyd.assignments.collect()}
+    assert {a[i] for i in range(5)} == {0} and {a[10 + i] for i in range(5)} == {1}
+    sse = [r.sse for r in lloyd.sse.orderBy("iteration").collect()]
+    assert all(x >= y - 1e-12 for x, y in zip(sse, sse[1:]))  # SSE never rises
+    ml = km.kmeans_ml(df, 2, seed=1)
+    b = {r.vec_id: r.cluster for r in ml.assignments.collect()}
+    assert len({b[i] for i in range(5)}) == 1 and len({b[10 + i] for i in range(5)}) == 1
+    pp = km.kmeanspp_seeds(df, 2, seed=3)
+    assert pp.count() == 2
