@@ -162,19 +162,19 @@ def sparse_kmeans(vectors: DataFrame, k: int, iterations: int, id_col: str = "do
 
     dist²(d, c) = |d|² + |c|² − 2·d·c; the dot products come from a join on term (only shared
     terms meet), the K centroid norms travel as one small array, so no record × centroid pairs
-    are formed by a join. Inputs, centroids and assignments are checkpointed every round.
+    are formed by a join. The input vectors once and the centroids every round are checkpointed.
     """
     checkpoint_dir(vectors.sparkSession)
     vectors = vectors.select(id_col, "term", "w").checkpoint(eager=True)
     ids = vectors.select(id_col).distinct()
     seed_ids = ids.orderBy(id_col).limit(k).select(
         id_col, (F.row_number().over(Window.orderBy(id_col)) - 1).cast("int").alias("cluster"))
-    centroids = vectors.join(F.broadcast(seed_ids), id_col).select("cluster", "term", "w").checkpoint(eager=True)
-    dnorm = vectors.groupBy(id_col).agg(F.sum(F.col("w") * F.col("w")).alias("dn")).checkpoint(eager=True)
+    centroids = vectors.join(F.broadcast(seed_ids), id_col).select("cluster", "term", "w")
+    dnorm = vectors.groupBy(id_col).agg(F.sum(F.col("w") * F.col("w")).alias("dn"))
     sse_parts = []
     assigned = None
     for it in range(1, iterations + 1):
-        assigned = _sparse_assign(vectors, dnorm, centroids, id_col, k).checkpoint(eager=True)
+        assigned = _sparse_assign(vectors, dnorm, centroids, id_col, k)
         new_centroids = _sparse_recompute(vectors, assigned, centroids, id_col).checkpoint(eager=True)
         d2 = _sparse_dist_to_own(vectors, dnorm, assigned, new_centroids, id_col)
         sse_parts.append(d2.agg(F.sum("d2").alias("sse")).select(F.lit(it).alias("iteration"), "sse"))

@@ -23,7 +23,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexiframe.functions.text import tokens, with_term_counts
@@ -74,8 +74,9 @@ def _tfidf_term(power: float, n_docs):
     return F.col("qtf") * F.sqrt(F.col("tf")) * F.pow(idf, float(power)) / F.sqrt(F.col("doc_len"))
 
 
-def score_jm(index: CorpusIndex, qterms: DataFrame, lam: float, field: str = "text") -> DataFrame:
-    if not 0.0 < lam <= 1.0:
+def score_jm(index: CorpusIndex, qterms: DataFrame, lam, field: str = "text") -> DataFrame:
+    """JM scores; ``lam`` is a number in (0, 1] or a Column (e.g. a tuned λ as a scalar subquery)."""
+    if not isinstance(lam, Column) and not 0.0 < lam <= 1.0:
         raise ValueError("lambda must be in (0, 1]")
     m = _matched(index, qterms, field)
     return m.groupBy("query_id", index.key).agg(

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from lexiframe.operators.evaluation import derive_qrels
 from lexiframe.operators.index import CorpusIndex, build_index
-from lexiframe.operators.search import query_terms, score_jm, top_hits
+from lexiframe.operators.search import query_terms, score_jm, score_tfidf, top_hits
 from lexiframe.operators.sizing import spread
 from lexiframe.operators.terms import doc_freqs
 from lexiframe.sources.tables import read_table
@@ -91,8 +91,13 @@ class Context:
         return query_terms(self.topics, "query_id", "text")
 
     def eval_run_jm(self, lam: float = 0.5) -> DataFrame:
-        return top_hits(score_jm(self.index, self.eval_terms(), lam), CUT).select(
-            "query_id", "doc_id", "score", "rank")
+        """The JM run of every topic (shared by the search report and the evaluation)."""
+        return self.persisted(f"run_jm_{lam}", lambda: top_hits(
+            score_jm(self.index, self.eval_terms(), lam), CUT).select("query_id", "doc_id", "score", "rank"))
+
+    def eval_run_tfidf(self, power: float = 1.0) -> DataFrame:
+        return self.persisted(f"run_tfidf_{power}", lambda: top_hits(
+            score_tfidf(self.index, self.eval_terms(), power), CUT).select("query_id", "doc_id", "score", "rank"))
 
 
 def context(spark: SparkSession, sf_dir: str) -> Context:

@@ -305,7 +305,7 @@ def search_stats(spark, sf_dir):
 def _search(model, lam=0.5, power=1.0):
     def q(spark, sf_dir):
         ctx = context(spark, sf_dir)
-        return se.search(ctx.index, ctx.topics, model, CUT, lam=lam, power=power)
+        return ctx.eval_run_jm(lam) if model == "jm" else ctx.eval_run_tfidf(power)
     return q
 
 
@@ -393,9 +393,14 @@ def lambda_matrix(spark, sf_dir):
 
 
 def tune_train_test(spark, sf_dir):
-    best = ev.best_lambda(ev.lambda_sweep(_sweep_metrics(spark, sf_dir, *TRAIN), "MAP")).select("lambda")
-    test = _sweep_metrics(spark, sf_dir, *TEST)
-    return test.join(F.broadcast(best), "lambda").select("query_id", "lambda", _r("ap").alias("value"))
+    """Tune λ on the training topics, then run the test topics once with the tuned λ."""
+    ctx = context(spark, sf_dir)
+    best = ev.best_lambda(ev.lambda_sweep(_sweep_metrics(spark, sf_dir, *TRAIN), "MAP"))
+    lam = best.select("lambda").scalar()  # one value, used as a column (no driver round trip)
+    qt = ctx.eval_terms().where(F.col("query_id").between(*TEST))
+    run = se.top_hits(se.score_jm(ctx.index, qt, lam), CUT)
+    m = ev.per_query_metrics(run, ctx.qrels, CUT).where(F.col("query_id").between(*TEST))
+    return m.select("query_id", lam.alias("lambda"), _r("ap").alias("value"))
 
 
 def _tfidf_ap(spark, sf_dir, first=None, last=None):
@@ -404,8 +409,7 @@ def _tfidf_ap(spark, sf_dir, first=None, last=None):
         qt = ctx.eval_terms().where(F.col("query_id").between(first, last))
         run = se.top_hits(se.score_tfidf(ctx.index, qt, 1.0), CUT)
         return ev.per_query_metrics(run, ctx.qrels, CUT).where(F.col("query_id").between(first, last))
-    return ctx.persisted("metrics_tfidf_p1", lambda: ev.per_query_metrics(
-        se.top_hits(se.score_tfidf(ctx.index, ctx.eval_terms(), 1.0), CUT), ctx.qrels, CUT))
+    return ctx.persisted("metrics_tfidf_p1", lambda: ev.per_query_metrics(ctx.eval_run_tfidf(1.0), ctx.qrels, CUT))
 
 
 def eval_tfidf_test(spark, sf_dir):
