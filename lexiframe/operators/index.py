@@ -211,11 +211,11 @@ def token_offsets(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
     The text splits into tokens and the gaps between them (same pattern, same scan), so a
     token starts after all earlier gaps and tokens: a running sum per document.
     """
-    from lexiframe.functions.text import TOKEN_PATTERN
+    from lexiframe.functions.text import JAVA_TOKEN_PATTERN
 
     lt = F.lower(F.col(text))
-    staged = docs.select(F.col(key), F.regexp_extract_all(lt, F.lit(TOKEN_PATTERN), 0).alias("_t"),
-                         F.split(lt, TOKEN_PATTERN, -1).alias("_g"))
+    staged = docs.select(F.col(key), F.regexp_extract_all(lt, F.lit(JAVA_TOKEN_PATTERN), 0).alias("_t"),
+                         F.split(lt, JAVA_TOKEN_PATTERN, -1).alias("_g"))
     pairs = staged.select(key, F.arrays_zip(F.col("_t").alias("term"),
                                             F.slice("_g", 1, F.greatest(F.size("_t"), F.lit(1))).alias("gap"))
                           .alias("_p"))
