@@ -50,7 +50,9 @@ def signed_rank_sums(diffs: DataFrame, d: str = "d") -> DataFrame:
     groups = nz.groupBy("a").agg(
         F.count(F.lit(1)).alias("cnt"),
         F.sum(F.col("pos").cast("bigint")).alias("n_pos"))
-    ranged = groups.repartitionByRange("a").withColumn("_pid", F.spark_partition_id())
+    # explicit partition count: AQE does not coalesce it, so both branches see the same ids
+    n = int(diffs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = groups.repartitionByRange(n, "a").withColumn("_pid", F.spark_partition_id())
     w_local = Window.partitionBy("_pid").orderBy("a").rowsBetween(Window.unboundedPreceding, -1)
     local = ranged.withColumn("_below", F.coalesce(F.sum("cnt").over(w_local), F.lit(0)))
     sizes = local.groupBy("_pid").agg(F.sum("cnt").alias("_n"))

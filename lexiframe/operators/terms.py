@@ -66,7 +66,10 @@ def _distributed_rank(df: DataFrame, sort_cols) -> DataFrame:
     Range-partition by the order, number rows inside each partition, add the row counts of
     the preceding partitions (a tiny per-partition table, broadcast).
     """
-    ordered = df.repartitionByRange(*sort_cols).withColumn("_pid", F.spark_partition_id())
+    # an explicit partition count: AQE leaves user-numbered repartitions alone, so the partition
+    # ids read below are the same in both branches that use them
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ordered = df.repartitionByRange(n, *sort_cols).withColumn("_pid", F.spark_partition_id())
     w = Window.partitionBy("_pid").orderBy(*sort_cols)
     local = ordered.withColumn("_rn", F.row_number().over(w))
     sizes = local.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))

@@ -104,3 +104,9 @@ def test_doc_terms_orders(tiny_index):  # Q02, Q03
     assert [(r.term, r.tfxidf) for r in rows] == [("c", 0.6), ("d", 0.6)]
     with pytest.raises(ValueError):
         tm.best_terms_document(tiny_index, 1, "bm25")
+
+
+def test_whole_table_rank_is_dense_and_ordered(tiny_index):
+    ranked = tm.best_terms_collection(tiny_index, "df", top=None).orderBy("rank").collect()
+    assert [r.rank for r in ranked] == [1, 2, 3, 4, 5]
+    assert [r.term for r in ranked] == ["a", "b", "c", "d", "e"]
