@@ -62,3 +62,57 @@ def current_documents(spark: SparkSession, table_dir: str, key: str = "path") ->
     w = Window.partitionBy(key).orderBy(F.col("modified").desc(), F.col("size_bytes").desc())
     latest = versions.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
     return latest.withColumn("doc_id", F.xxhash64(F.col(key)))
+
+
+# ---- incremental index: every micro-batch indexes its own files ------------------------------------
+
+def _index_batch(index_dir: str, extra_fields: Sequence[str] = ()):
+    from lexiframe.operators.index import FieldSpec, build_index
+
+    fields = [FieldSpec("text")] + [FieldSpec(f, tokenized=False) for f in extra_fields]
+
+    def per_batch(batch: DataFrame, epoch_id: int) -> None:
+        docs = batch.select(F.xxhash64("path").alias("doc_id"), "text", "path", "rel_path", "size_bytes",
+                            "modified", *extra_fields)
+        idx = build_index(docs, "doc_id", fields)
+        base = index_dir.rstrip("/")
+        # one folder per micro-batch, overwritten on replay: foreachBatch may re-run an epoch after
+        # a failure, and the same epoch then rewrites the same folder (idempotent)
+        idx.docs.write.mode("overwrite").parquet(f"{base}/docs/batch={epoch_id}")
+        idx.postings.write.mode("overwrite").parquet(f"{base}/postings/batch={epoch_id}")
+        idx.doc_fields.write.mode("overwrite").parquet(f"{base}/doc_fields/batch={epoch_id}")
+
+    return per_batch
+
+
+def start_incremental_index(spark: SparkSession, root: str, index_dir: str, checkpoint_location: str,
+                            extensions: Sequence[str] | None = DEFAULT_EXTENSIONS, depth: int = -1,
+                            available_now: bool = True, processing_time: str | None = None) -> StreamingQuery:
+    """Index new files of the tree as they arrive; read the result with ``load_incremental_index``."""
+    stream = stream_file_tree(spark, root, extensions, depth)
+    w = (stream.writeStream.foreachBatch(_index_batch(index_dir))
+         .option("checkpointLocation", checkpoint_location))
+    if available_now:
+        w = w.trigger(availableNow=True)
+    elif processing_time:
+        w = w.trigger(processingTime=processing_time)
+    return w.start()
+
+
+def load_incremental_index(spark: SparkSession, index_dir: str):
+    """The current index: the newest version of every document (modification time, then batch)
+    and only that version's postings and lengths (semi-join on document and batch)."""
+    from lexiframe.operators.index import CorpusIndex, FieldSpec
+    from lexiframe.operators.sizing import broadcast_when, small_count
+
+    base = index_dir.rstrip("/")
+    docs = spark.read.parquet(f"{base}/docs")
+    w = Window.partitionBy("doc_id").orderBy(F.col("modified").desc(), F.col("batch").desc())
+    latest = docs.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+    keys = latest.select("doc_id", "batch")
+    keys = broadcast_when(keys, small_count(keys))
+    postings = spark.read.parquet(f"{base}/postings").join(keys, ["doc_id", "batch"], "left_semi")
+    lengths = spark.read.parquet(f"{base}/doc_fields").join(keys, ["doc_id", "batch"], "left_semi")
+    return CorpusIndex(latest.drop("batch"), postings.drop("batch").select("field", "doc_id", "term", "tf", "doc_len"),
+                       lengths.drop("batch").select("field", "doc_id", "n_terms", "n_tokens", "tf_sq"),
+                       "doc_id", (FieldSpec("text"),))
