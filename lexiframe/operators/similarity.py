@@ -27,21 +27,40 @@ from lexiframe.operators.terms import doc_freqs, idf_expr
 
 REPRESENTATIONS = ("tf", "tfxidf", "bin", "bin_cosine")
 DICTIONARY_BROADCAST_ROWS = 1_000_000
+SALT_BUCKETS = 64
 
 
 def _safe_div(a, b):
     return F.when(b != 0, a / b)
 
 
-def tfxidf_weights(index: CorpusIndex, field: str = "text") -> DataFrame:
-    """``doc_id, term, w`` with w = tf · round(idf, 2) for every posting of the field."""
+def tfxidf_weights(index: CorpusIndex, field: str = "text",
+                   broadcast_rows: int = DICTIONARY_BROADCAST_ROWS) -> DataFrame:
+    """``doc_id, term, w`` with w = tf · round(idf, 2) for every posting of the field.
+
+    The dictionary is broadcast when the vocabulary is within ``broadcast_rows``. Otherwise the
+    join is a shuffle on term, and hot terms — in at least 1/SALT_BUCKETS of the documents, so at
+    most SALT_BUCKETS × (average terms per document) of them — are salted: their postings are
+    spread over SALT_BUCKETS partitions by document hash and their dictionary rows replicated
+    once per bucket, so a term present in a third of the collection does not land in one task.
+    """
     key = index.key
     p = index.field_postings(field)
-    dfs = doc_freqs(index, field).select("term", idf_expr(index.num_docs()).alias("idf"))
-    # broadcast the dictionary when the vocabulary is within bound; else a sort-merge join on term
-    # whose hot-term partitions AQE splits
-    dfs = broadcast_when(dfs, small_count(dfs, DICTIONARY_BROADCAST_ROWS), DICTIONARY_BROADCAST_ROWS)
-    return p.join(dfs, "term").select(key, "term", (F.col("tf") * F.col("idf")).alias("w"))
+    n_docs = index.num_docs()
+    dfs = doc_freqs(index, field).select("term", "df", idf_expr(n_docs).alias("idf"))
+    n = small_count(dfs, broadcast_rows)
+    if n is not None:
+        return p.join(F.broadcast(dfs.select("term", "idf")), "term").select(
+            key, "term", (F.col("tf") * F.col("idf")).alias("w"))
+    hot = dfs.where(F.col("df") * SALT_BUCKETS >= n_docs).select("term", F.lit(True).alias("_hot"))
+    hot = broadcast_when(hot, small_count(hot))
+    salted_p = p.join(hot, "term", "left").withColumn(
+        "_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(key), F.lit(SALT_BUCKETS))).otherwise(F.lit(0).cast("bigint")))
+    salted_d = dfs.join(hot, "term", "left").select(
+        "term", "idf", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0).cast("bigint"),
+                                                                  F.lit(SALT_BUCKETS - 1).cast("bigint")))
+                                 .otherwise(F.array(F.lit(0).cast("bigint")))).alias("_salt"))
+    return salted_p.join(salted_d, ["term", "_salt"]).select(key, "term", (F.col("tf") * F.col("idf")).alias("w"))
 
 
 def tf_l1_vectors(index: CorpusIndex, field: str = "text") -> DataFrame:
@@ -51,7 +70,8 @@ def tf_l1_vectors(index: CorpusIndex, field: str = "text") -> DataFrame:
     return p.select(key, "term", (F.col("tf") / F.col("doc_len")).alias("w"))
 
 
-def similarity_scores(index: CorpusIndex, doc_id, rep: str = "tf", field: str = "text") -> DataFrame:
+def similarity_scores(index: CorpusIndex, doc_id, rep: str = "tf", field: str = "text",
+                      dictionary_broadcast_rows: int = DICTIONARY_BROADCAST_ROWS) -> DataFrame:
     """``doc_id, sim`` for every document except the target."""
     rep = rep.lower()
     if rep not in REPRESENTATIONS:
@@ -66,7 +86,7 @@ def similarity_scores(index: CorpusIndex, doc_id, rep: str = "tf", field: str =
     n_target = int(n_target[0]) if n_target is not None else 0
 
     if rep == "tfxidf":
-        weights = tfxidf_weights(index, field)
+        weights = tfxidf_weights(index, field, dictionary_broadcast_rows)
         target = broadcast_when(weights.where(F.col(key) == target_id).select("term", F.col("w").alias("wt")),
                                 n_target)
         tnorm = target.select(F.sqrt(F.sum(F.col("wt") * F.col("wt")))).scalar()

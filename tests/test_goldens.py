@@ -110,3 +110,12 @@ def test_whole_table_rank_is_dense_and_ordered(tiny_index):
     ranked = tm.best_terms_collection(tiny_index, "df", top=None).orderBy("rank").collect()
     assert [r.rank for r in ranked] == [1, 2, 3, 4, 5]
     assert [r.term for r in ranked] == ["a", "b", "c", "d", "e"]
+
+
+def test_tfxidf_salted_join_matches_broadcast(tiny_index):
+    # force the shuffle path (no dictionary broadcast): hot terms are salted, results unchanged
+    a = {(r.doc_id, r.term): r.w for r in sim.tfxidf_weights(tiny_index).collect()}
+    b = {(r.doc_id, r.term): r.w for r in sim.tfxidf_weights(tiny_index, broadcast_rows=0).collect()}
+    assert a == b and len(a) == 8
+    s = _map(sim.similarity_scores(tiny_index, 1, "tfxidf", dictionary_broadcast_rows=0), "doc_id", "sim")
+    assert s == {2: 0.866, 3: 0.289, 4: 0.0}
