@@ -260,9 +260,14 @@ def append_docs(index: CorpusIndex, new_docs: DataFrame, on_duplicate: str = "er
 
 
 def latest_per_key(batch: DataFrame, key: str, order_col: str) -> DataFrame:
-    """Keep the newest row per key inside one update batch (ties: any one, deterministically last by order)."""
-    w = Window.partitionBy(key).orderBy(F.col(order_col).desc())
-    return batch.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+    """Keep the newest row per key (largest ``order_col``).
+
+    An aggregate (``max_by``), not a window: partial aggregation keeps one row per key per task
+    before the shuffle, so a key with very many versions never gathers them in one task.
+    """
+    cols = [c for c in batch.columns if c != key]
+    best = F.max_by(F.struct(*cols), F.col(order_col)).alias("_b")
+    return batch.groupBy(key).agg(best).select(key, *[F.col(f"_b.{c}").alias(c) for c in cols])
 
 
 def upsert_docs(index: CorpusIndex, updates: DataFrame, order_col: str | None = None,

@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -59,8 +59,11 @@ def start_file_ingest(spark: SparkSession, root: str, table_dir: str, checkpoint
 def current_documents(spark: SparkSession, table_dir: str, key: str = "path") -> DataFrame:
     """Newest version of every document (by modification time) with a stable ``doc_id``."""
     versions = spark.read.parquet(table_dir)
-    w = Window.partitionBy(key).orderBy(F.col("modified").desc(), F.col("size_bytes").desc())
-    latest = versions.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+    cols = [c for c in versions.columns if c != key]
+    # max_by aggregate (map-side partial) rather than a window: many versions of one path stay cheap
+    latest = versions.groupBy(key).agg(
+        F.max_by(F.struct(*cols), F.struct("modified", "size_bytes")).alias("_b"))
+    latest = latest.select(key, *[F.col(f"_b.{c}").alias(c) for c in cols])
     return latest.withColumn("doc_id", F.xxhash64(F.col(key)))
 
 
@@ -107,8 +110,9 @@ def load_incremental_index(spark: SparkSession, index_dir: str):
 
     base = index_dir.rstrip("/")
     docs = spark.read.parquet(f"{base}/docs")
-    w = Window.partitionBy("doc_id").orderBy(F.col("modified").desc(), F.col("batch").desc())
-    latest = docs.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+    cols = [c for c in docs.columns if c != "doc_id"]
+    latest = docs.groupBy("doc_id").agg(F.max_by(F.struct(*cols), F.struct("modified", "batch")).alias("_b"))
+    latest = latest.select("doc_id", *[F.col(f"_b.{c}").alias(c) for c in cols])
     keys = latest.select("doc_id", "batch")
     keys = broadcast_when(keys, small_count(keys))
     postings = spark.read.parquet(f"{base}/postings").join(keys, ["doc_id", "batch"], "left_semi")
