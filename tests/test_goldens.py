@@ -119,3 +119,24 @@ def test_tfxidf_salted_join_matches_broadcast(tiny_index):
     assert a == b and len(a) == 8
     s = _map(sim.similarity_scores(tiny_index, 1, "tfxidf", dictionary_broadcast_rows=0), "doc_id", "sim")
     assert s == {2: 0.866, 3: 0.289, 4: 0.0}
+
+
+def test_cosine_unchanged_by_l1_normalisation(tiny_index):
+    import math
+
+    v = {}
+    for r in sim.tf_l1_vectors(tiny_index).collect():
+        v.setdefault(r.doc_id, {})[r.term] = r.w
+
+    def cos(a, b):
+        dot = sum(a[t] * b.get(t, 0.0) for t in a)
+        return dot / (math.sqrt(sum(x * x for x in a.values())) * math.sqrt(sum(x * x for x in b.values())))
+
+    got = _map(sim.similarity_scores(tiny_index, 1, "tf"), "doc_id", "sim")
+    assert all(round(cos(v[1], v[d]), 3) == got[d] for d in (2, 3, 4))
+
+
+def test_query_text_is_a_bag_of_words(spark, tiny_index):  # Q08: no field syntax, punctuation vanishes
+    plain = se.search(tiny_index, _topics(spark, "a c"), "jm", lam=0.5)
+    syntax = se.search(tiny_index, _topics(spark, "a:  (c)"), "jm", lam=0.5)
+    assert _map(plain, "doc_id", "score") == _map(syntax, "doc_id", "score")
