@@ -288,6 +288,15 @@ def kmeans_sse(spark, sf_dir):
                                              _r("sse").alias("sse"))
 
 
+def kmeans_converged(spark, sf_dir):
+    """Lloyd with the reference's stopping rule (until the SSE stops falling): iteration, sse.
+
+    Iterative with a data-dependent round count, so no SQL oracle (the fixed-round queries above
+    carry the oracle)."""
+    res = km.kmeans(_embeddings(spark, sf_dir), KMEANS_K, iterations=None)
+    return res.sse.select(F.col("iteration").cast("bigint").alias("iteration"), _r("sse").alias("sse"))
+
+
 def cluster_similar_docs(spark, sf_dir):
     ctx = context(spark, sf_dir)
     top = sim.similar_docs(ctx.index, TARGET_DOC, "tf", TOP_SIMILAR).select("doc_id")
@@ -475,6 +484,7 @@ QUERIES: dict[str, Query] = {
     "kmeans_assign": kmeans_assign,
     "kmeans_centroids": kmeans_centroids,
     "kmeans_sse": kmeans_sse,
+    "kmeans_converged": kmeans_converged,
     "cluster_similar_docs": cluster_similar_docs,
     "search_stats": search_stats,
     "search_jm_01": _search("jm", lam=0.1),
