@@ -75,6 +75,14 @@ class Context:
             self.memo[name] = build().persist(StorageLevel.MEMORY_AND_DISK)
         return self.memo[name]
 
+    def release(self) -> None:
+        """Unpersist every cached table of this data folder."""
+        for v in self.memo.values():
+            for df in ([v.postings, v.doc_fields, v.terms] if isinstance(v, CorpusIndex) else [v]):
+                if isinstance(df, DataFrame):
+                    df.unpersist()
+        self.memo.clear()
+
     @property
     def topics(self) -> DataFrame:
         """Benchmark items as topics: ``query_id, text``."""

@@ -27,7 +27,8 @@ DEFAULT_EXTENSIONS = (".java", ".c", ".txt", ".odt", ".doc", ".pdf")
 def relative_path(path_col, root: str):
     """Path relative to ``root`` (both as URIs; ``file:`` prefixes are normalised)."""
     root_uri = root.rstrip("/")
-    p = F.regexp_replace(path_col, r"^file:(//)?", "")
+    # _metadata.file_path is a URI: percent-encoded (spaces as %20) and prefixed with file:
+    p = F.url_decode(F.regexp_replace(path_col, r"^file:(//)?", ""))
     r = root_uri.removeprefix("file://").removeprefix("file:")
     return F.substring(p, len(r) + 2, 1 << 30)
 

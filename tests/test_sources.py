@@ -32,23 +32,24 @@ def tree():
     _write(root, "a/b/y.java", "class Y {}\n")
     _write(root, "a/nodot", "no extension\n")
     _write(root, "a/b/z.TXT", "upper-case extension is not whitelisted\n")
+    _write(root, "c d/e f.txt", "a space in the path\n")
     return root
 
 
 def test_file_tree_unlimited(spark, tree):
     rows = read_file_tree(spark, tree).select("rel_path", "text").collect()
     got = {r.rel_path: r.text for r in rows}
-    assert set(got) == {"a/x.txt", "a/b/y.java"}  # Q10: no-dot file skipped, siblings kept
+    assert set(got) == {"a/x.txt", "a/b/y.java", "c d/e f.txt"}  # Q10: no-dot file skipped, siblings kept
     assert got["a/x.txt"] == "hello world\nsecond line"  # CRLF normalised, final newline dropped
 
 
 def test_file_tree_depth(spark, tree):
-    assert [r.rel_path for r in read_file_tree(spark, tree, depth=1).collect()] == ["a/x.txt"]
+    assert sorted(r.rel_path for r in read_file_tree(spark, tree, depth=1).collect()) == ["a/x.txt", "c d/e f.txt"]
     assert read_file_tree(spark, tree, depth=0).count() == 0
 
 
 def test_file_tree_metadata(spark, tree):
-    r = read_file_tree(spark, tree, depth=1).collect()[0]
+    r = read_file_tree(spark, tree, depth=1).where("rel_path = 'a/x.txt'").collect()[0]
     assert r.size_bytes == len("hello world\r\nsecond line\n")
     assert len(r.last_modified_fmt) == 19 and len(r.last_modified_ms_fmt) == 17
 
