@@ -59,8 +59,11 @@ class Context:
     @property
     def index(self) -> CorpusIndex:
         if "index" not in self.memo:
-            docs = self.documents_spread.select("doc_id", "text", "lang", "source", "n_chars")
-            idx = build_index(docs, "doc_id").persisted(StorageLevel.MEMORY_AND_DISK)
+            cols = ["doc_id", "text", "lang", "source", "n_chars"]
+            idx = build_index(self.documents_spread.select(*cols), "doc_id").persisted(StorageLevel.MEMORY_AND_DISK)
+            # stored fields straight from the source: only tokenizing needs the spread input, a
+            # doc-keyed join should not pay a round-robin exchange first
+            idx.docs = self.documents.select(*cols)
             self.memo["index"] = idx.with_term_dictionary(StorageLevel.MEMORY_AND_DISK)
         return self.memo["index"]
 
