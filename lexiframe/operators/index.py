@@ -290,6 +290,15 @@ def upsert_docs(index: CorpusIndex, updates: DataFrame, order_col: str | None =
         key, index.fields)
 
 
+def sum_dictionaries(dicts: Sequence[DataFrame]) -> DataFrame:
+    """Merge term dictionaries of disjoint document sets: df and cf are sums."""
+    u = dicts[0]
+    for d in dicts[1:]:
+        u = u.unionByName(d)
+    return u.groupBy("field", "term").agg(F.sum("df").cast("bigint").alias("df"),
+                                          F.sum("cf").cast("bigint").alias("cf"))
+
+
 def merge_indexes(parts: Sequence[CorpusIndex], check_keys: bool = True) -> CorpusIndex:
     """Union partial indexes (e.g. one per subdirectory); keys must not repeat across parts."""
     if not parts:
@@ -303,7 +312,10 @@ def merge_indexes(parts: Sequence[CorpusIndex], check_keys: bool = True) -> Corp
     if check_keys:
         if docs.groupBy(key).count().where("count > 1").limit(1).count() > 0:
             raise DuplicateKeyError(f"merge: {key} present in more than one partial index")
-    return CorpusIndex(docs, postings, doc_fields, key, parts[0].fields)
+    merged = CorpusIndex(docs, postings, doc_fields, key, parts[0].fields)
+    if all(p.terms is not None for p in parts):
+        merged.terms = sum_dictionaries([p.terms for p in parts])  # partial statistics add up
+    return merged
 
 
 # ---- open modes on a persisted index -----------------------------------------------------------
@@ -346,10 +358,10 @@ def write_index(spark: SparkSession, docs: DataFrame, path: str, mode: str = "cr
     add.docs.write.mode("append").parquet(f"{path}/docs")
     add.postings.write.mode("append").partitionBy("field").parquet(f"{path}/postings")
     add.doc_fields.write.mode("append").partitionBy("field").parquet(f"{path}/doc_fields")
-    # the dictionary is re-aggregated from the merged postings (df and cf are sums over documents)
-    merged = CorpusIndex.load(spark, path, key, fields)
-    merged.terms = None
-    merged.term_dictionary().write.mode("overwrite").partitionBy("field").parquet(f"{path}/terms_next")
+    # df and cf add up over disjoint document sets: new dictionary = old + batch (vocabulary-sized
+    # work, no pass over the stored postings)
+    sum_dictionaries([base.term_dictionary(), add.term_dictionary()]) \
+        .write.mode("overwrite").partitionBy("field").parquet(f"{path}/terms_next")
     # a path cannot be overwritten while it is read: stage the new dictionary, then copy it over
     spark.read.parquet(f"{path}/terms_next").write.mode("overwrite").partitionBy("field").parquet(f"{path}/terms")
     return CorpusIndex.load(spark, path, key, fields)

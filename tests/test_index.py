@@ -132,3 +132,13 @@ def test_token_offsets_property(spark):
         "term", F.expr("substring(lower(text), start_offset + 1, end_offset - start_offset)").alias("cut"), "pos")
     rows = offs.collect()
     assert len(rows) == 6 and all(r.term == r.cut for r in rows)
+
+
+def test_merged_dictionaries_add_up(tiny_docs, tiny_index):
+    parts = [build_index(tiny_docs.where("source = 's1'")).with_term_dictionary(),
+             build_index(tiny_docs.where("source = 's2'")).with_term_dictionary()]
+    merged = merge_indexes(parts)
+    assert merged.terms is not None
+    got = {(r.field, r.term): (r.df, r.cf) for r in merged.terms.collect()}
+    want = {(r.field, r.term): (r.df, r.cf) for r in tiny_index.term_dictionary().collect()}
+    assert got == want
