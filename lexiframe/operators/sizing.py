@@ -50,6 +50,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     d = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
+        if not sc.master.startswith("local"):
+            # a machine-local folder is not visible to the other executors of a cluster
+            raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
         d = tempfile.mkdtemp(prefix="lexiframe-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(d)
