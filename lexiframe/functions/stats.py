@@ -78,8 +78,10 @@ def normal_cdf(z) -> Column:
         lambda acc: acc["s"],
     )
     phi = F.exp(-z * z / 2.0) / math.sqrt(2.0 * math.pi)
+    # NULL in, NULL out: greatest/least below skip NULLs and would turn it into 0 or 1
     return (
-        F.when(z <= -NORMAL_SERIES_LIMIT, F.lit(0.0))
+        F.when(z.isNull(), F.lit(None).cast("double"))
+        .when(z <= -NORMAL_SERIES_LIMIT, F.lit(0.0))
         .when(z >= NORMAL_SERIES_LIMIT, F.lit(1.0))
         .otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), 0.5 + phi * series)))
     )

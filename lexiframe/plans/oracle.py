@@ -136,7 +136,7 @@ def _t_p(t: str, nu: str) -> str:
 def _phi_neg(a: str) -> str:
     s = (f"list_sum(list_transform(range(0, 100), lambda k: exp((2 * k + 1) * ln({a}) - ((k + 1) * ln(2.0)"
          f" + lgamma(k + 1.5) - 0.5 * ln(pi())))))")
-    return (f"CASE WHEN {a} >= 8 THEN 0.0 WHEN {a} = 0 THEN 0.5 "
+    return (f"CASE WHEN {a} IS NULL THEN NULL WHEN {a} >= 8 THEN 0.0 WHEN {a} = 0 THEN 0.5 "
             f"ELSE greatest(0.0, least(1.0, 0.5 - exp(-{a} * {a} / 2) / sqrt(2 * pi()) * {s})) END")
 
 

@@ -130,3 +130,11 @@ def test_kmeans_paths_agree_on_separated_data(spark):
     assert len({b[i] for i in range(5)}) == 1 and len({b[10 + i] for i in range(5)}) == 1
     pp = km.kmeanspp_seeds(df, 2, seed=3)
     assert pp.count() == 2
+
+
+def test_tests_without_differences_give_null_p(spark):
+    d = spark.createDataFrame([(1, 0.0), (2, 0.0)], "query_id bigint, d double")
+    w = sg.wilcoxon_test(d).collect()[0]
+    assert w.n == 0 and w.z is None and w.p is None
+    t = sg.paired_t_test(d).collect()[0]
+    assert t.t is None and t.p is None
