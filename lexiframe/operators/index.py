@@ -107,12 +107,28 @@ class CorpusIndex:
 
     # ---- persistence ---------------------------------------------------------------------
     def save(self, path: str, mode: str = "overwrite") -> None:
+        """Write docs, postings (partitioned by field, sorted by term), lengths and dictionary.
+
+        When the per-document term arrays are at hand (a fresh build), they are written once as
+        ``term_vectors`` and postings / lengths are derived from that written table: the
+        tokenizer runs once, without caching the collection, and the lineage is cut there.
+        """
         path = path.rstrip("/")
+        spark = self.docs.sparkSession
+        postings, doc_fields = self.postings, self.doc_fields
+        if self.forward is not None:
+            self.forward.write.mode(mode).partitionBy("field").parquet(f"{path}/term_vectors")
+            fwd = spark.read.parquet(f"{path}/term_vectors")
+            postings, doc_fields = _postings_from(fwd, self.key), _lengths_from(fwd, self.key)
         self.docs.write.mode(mode).parquet(f"{path}/docs")
-        (self.postings.sortWithinPartitions("field", "term")
+        (postings.sortWithinPartitions("field", "term")
          .write.mode(mode).partitionBy("field").parquet(f"{path}/postings"))
-        self.doc_fields.write.mode(mode).partitionBy("field").parquet(f"{path}/doc_fields")
-        self.term_dictionary().write.mode(mode).partitionBy("field").parquet(f"{path}/terms")
+        doc_fields.write.mode(mode).partitionBy("field").parquet(f"{path}/doc_fields")
+        terms = self.terms
+        if terms is None:  # aggregate the written postings (read back: partition-pruned columns)
+            terms = spark.read.parquet(f"{path}/postings").groupBy("field", "term").agg(
+                F.count(F.lit(1)).alias("df"), F.sum("tf").cast("bigint").alias("cf"))
+        terms.write.mode(mode).partitionBy("field").parquet(f"{path}/terms")
 
     @classmethod
     def load(cls, spark: SparkSession, path: str, key: str = "doc_id",

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexiframe.operators.evaluation import derive_qrels
-from lexiframe.operators.index import CorpusIndex, build_index
+from lexiframe.operators.index import CorpusIndex, build_index, index_exists
 from lexiframe.operators.search import query_terms, score_jm, score_tfidf, top_hits
 from lexiframe.operators.sizing import spread
 from lexiframe.operators.terms import doc_freqs
@@ -35,6 +35,10 @@ KMEANS_K = 5
 KMEANS_ITER = 3
 DOC_CLUSTERS = 3
 
+# Optional session setting: a shared folder for saved indexes. When set, the registry builds the
+# index of a data folder once into it and reads it back (no in-memory persist of the collection).
+INDEX_DIR_CONF = "spark.lexiframe.indexDir"
+
 _CACHE: dict = {}
 
 
@@ -60,6 +64,14 @@ class Context:
     def index(self) -> CorpusIndex:
         if "index" not in self.memo:
             cols = ["doc_id", "text", "lang", "source", "n_chars"]
+            index_dir = self.spark.conf.get(INDEX_DIR_CONF, None)
+            if index_dir:
+                # collections larger than memory: a saved index (built once) read back as parquet
+                path = f"{index_dir.rstrip('/')}/{self.sf_dir.strip('/').replace('/', '_')}"
+                if not index_exists(self.spark, path):
+                    build_index(self.documents_spread.select(*cols), "doc_id").save(path)
+                self.memo["index"] = CorpusIndex.load(self.spark, path)
+                return self.memo["index"]
             idx = build_index(self.documents_spread.select(*cols), "doc_id").persisted(StorageLevel.MEMORY_AND_DISK)
             # stored fields straight from the source: only tokenizing needs the spread input, a
             # doc-keyed join should not pay a round-robin exchange first

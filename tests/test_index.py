@@ -142,3 +142,26 @@ def test_merged_dictionaries_add_up(tiny_docs, tiny_index):
     got = {(r.field, r.term): (r.df, r.cf) for r in merged.terms.collect()}
     want = {(r.field, r.term): (r.df, r.cf) for r in tiny_index.term_dictionary().collect()}
     assert got == want
+
+
+def test_registry_with_saved_index(spark):
+    import os
+
+    from lexiframe.plans.context import INDEX_DIR_CONF, context
+    from lexiframe.plans.queries import QUERIES
+
+    sf = "/root/testdata/sf0.001"
+    if not os.path.exists(sf):
+        pytest.skip("driver test data not present")
+    before = {(r.query_id, r.doc_id, r.rank) for r in QUERIES["search_jm_05"](spark, sf).collect()}
+    spark.conf.set(INDEX_DIR_CONF, tempfile.mkdtemp(prefix="lexiframe-saved-"))
+    try:
+        ctx = context(spark, sf)
+        ctx.release()
+        after = {(r.query_id, r.doc_id, r.rank) for r in QUERIES["search_jm_05"](spark, sf).collect()}
+        assert ctx.index.terms is not None and after == before
+        stats = QUERIES["field_stats_all"](spark, sf).count()
+        assert stats == 3
+    finally:
+        spark.conf.unset(INDEX_DIR_CONF)
+        context(spark, sf).release()
