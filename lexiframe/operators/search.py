@@ -11,8 +11,9 @@ N = documents, df = document frequency. Scores are rounded to 6 decimals before
 ties go to the smaller doc id, so ranks do not depend on summation order.
 
 Plan: the distinct query terms (size-checked broadcast) select the matching postings in a
-map-side hash join — postings never shuffle for the lookup. Term statistics are aggregated
-for the query vocabulary only. One ``groupBy(query_id, doc_id)`` computes the score — for a
+map-side hash join — postings never shuffle for the lookup. Term statistics come from the
+stored term dictionary restricted to the query vocabulary (or, without a dictionary, are
+aggregated for that vocabulary only). One ``groupBy(query_id, doc_id)`` computes the score — for a
 λ grid all λ sums in the same aggregate — and the per-query top-k uses a window whose
 ``row_number() <= k`` filter Spark turns into a partial per-partition limit before the
 shuffle (WindowGroupLimit), so a query matching a third of the collection ships only k rows

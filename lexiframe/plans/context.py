@@ -1,8 +1,10 @@
 """Shared, lazily-built inputs of the registered queries for one ``sf_dir``.
 
-The index of the ``documents`` table is built once per session and data folder; its postings
-and length tables are persisted (memory, spilling to disk) because nearly every query reads
-them. A lost executor only means recomputing the lost blocks from the parquet source.
+The index of the ``documents`` table is built once per session and data folder; its postings,
+length table and term dictionary are persisted (memory, spilling to disk) because nearly every
+query reads them. A lost executor only means recomputing the lost blocks from the parquet
+source. With ``spark.lexiframe.indexDir`` set, the index is instead saved once to that shared
+folder and read back as parquet (collections larger than memory).
 """
 
 from __future__ import annotations
