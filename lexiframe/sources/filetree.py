@@ -51,8 +51,13 @@ def filter_paths(df: DataFrame, rel: str = "rel_path", extensions: Sequence[str]
 
 
 def read_file_tree(spark: SparkSession, root: str, extensions: Sequence[str] | None = DEFAULT_EXTENSIONS,
-                   depth: int = -1, top_lines: int = 0, bottom_lines: int = 0) -> DataFrame:
-    """Read a directory tree into ``path, rel_path, text, size_bytes, modified, last_modified_fmt``."""
+                   depth: int = -1, top_lines: int = 0, bottom_lines: int = 0,
+                   provenance: bool = False) -> DataFrame:
+    """Read a directory tree into ``path, rel_path, text, size_bytes, modified, last_modified_fmt``.
+
+    ``provenance``: add ``task`` (the Spark partition that read the file), the counterpart of
+    the worker-thread field of a thread-pool indexer.
+    """
     raw = spark.read.text(root, wholetext=True, recursiveFileLookup=True)
     df = raw.select(
         F.col("_metadata.file_path").alias("path"),
@@ -65,8 +70,9 @@ def read_file_tree(spark: SparkSession, root: str, extensions: Sequence[str] | N
     text = normalize_newlines(F.col("raw"))
     if top_lines or bottom_lines:
         text = line_slice(text, top_lines, bottom_lines)
+    extra = [F.spark_partition_id().alias("task")] if provenance else []
     return df.select(
-        "path", "rel_path", text.alias("text"), "size_bytes", "modified",
+        "path", "rel_path", text.alias("text"), "size_bytes", "modified", *extra,
         F.date_format("modified", "yyyy-MM-dd HH:mm:ss").alias("last_modified_fmt"),
         F.date_format(F.to_utc_timestamp("modified", spark.conf.get("spark.sql.session.timeZone")),
                       "yyyyMMddHHmmssSSS").alias("last_modified_ms_fmt"),

@@ -52,6 +52,8 @@ def test_file_tree_metadata(spark, tree):
     r = read_file_tree(spark, tree, depth=1).where("rel_path = 'a/x.txt'").collect()[0]
     assert r.size_bytes == len("hello world\r\nsecond line\n")
     assert len(r.last_modified_fmt) == 19 and len(r.last_modified_ms_fmt) == 17
+    assert r.type == "isRegularFile"
+    assert read_file_tree(spark, tree, provenance=True).where("task IS NULL").count() == 0
 
 
 def test_line_slices(spark):
