@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexiframe.functions.stats import sq_euclidean
-from lexiframe.operators.sizing import broadcast_when, checkpoint_dir, small_count
+from lexiframe.operators.sizing import broadcast_when, checkpoint_dir
 
 DIST_DECIMALS = 9
 
@@ -166,6 +166,9 @@ def sparse_kmeans(vectors: DataFrame, k: int, iterations: int, id_col: str = "do
     """
     checkpoint_dir(vectors.sparkSession)
     vectors = vectors.select(id_col, "term", "w").checkpoint(eager=True)
+    # a centroid holds at most the terms of its members (or its previous terms when it is empty),
+    # so k × |vector rows| bounds the centroid table: one count instead of a probe per round
+    n_rows = vectors.count()
     ids = vectors.select(id_col).distinct()
     seed_ids = ids.orderBy(id_col).limit(k).select(
         id_col, (F.row_number().over(Window.orderBy(id_col)) - 1).cast("int").alias("cluster"))
@@ -174,7 +177,7 @@ def sparse_kmeans(vectors: DataFrame, k: int, iterations: int, id_col: str = "do
     sse_parts = []
     assigned = None
     for it in range(1, iterations + 1):
-        assigned = _sparse_assign(vectors, dnorm, centroids, id_col, k)
+        assigned = _sparse_assign(vectors, dnorm, centroids, id_col, k, k * n_rows)
         new_centroids = _sparse_recompute(vectors, assigned, centroids, id_col).checkpoint(eager=True)
         d2 = _sparse_dist_to_own(vectors, dnorm, assigned, new_centroids, id_col)
         sse_parts.append(d2.agg(F.sum("d2").alias("sse")).select(F.lit(it).alias("iteration"), "sse"))
@@ -185,10 +188,10 @@ def sparse_kmeans(vectors: DataFrame, k: int, iterations: int, id_col: str = "do
     return KMeansResult(assigned, centroids, sse)
 
 
-def _sparse_assign(vectors, dnorm, centroids, id_col, k):
+def _sparse_assign(vectors, dnorm, centroids, id_col, k, max_centroid_rows):
     cnorm = centroids.groupBy("cluster").agg(F.sum(F.col("w") * F.col("w")).alias("cn"))
     cn_arr = cnorm.select(F.sort_array(F.collect_list(F.struct("cluster", "cn")))).scalar()
-    cent = broadcast_when(centroids.select("cluster", "term", F.col("w").alias("wc")), small_count(centroids))
+    cent = broadcast_when(centroids.select("cluster", "term", F.col("w").alias("wc")), max_centroid_rows)
     dots = (vectors.join(cent, "term").groupBy(id_col, "cluster")
             .agg(F.sum(F.col("w") * F.col("wc")).alias("dot")))
     dot_maps = dots.groupBy(id_col).agg(F.map_from_entries(F.collect_list(F.struct("cluster", "dot"))).alias("m"))
