@@ -138,3 +138,14 @@ def test_tests_without_differences_give_null_p(spark):
     assert w.n == 0 and w.z is None and w.p is None
     t = sg.paired_t_test(d).collect()[0]
     assert t.t is None and t.p is None
+
+
+def test_derived_judgements_need_an_8_token_passage(spark):
+    topics = spark.createDataFrame([(7, "one two three four five six seven eight nine")], "item_id bigint, text string")
+    docs = spark.createDataFrame([
+        (1, "x two three four five six seven eight nine y"),   # 8 shared tokens in a row: relevant
+        (2, "two three four five six seven eight"),             # only 7: not relevant
+        (3, "One, two; three four FIVE six seven eight!"),      # punctuation and case vanish: relevant
+    ], "doc_id bigint, text string")
+    q = ev.derive_qrels(docs, topics, k=8)
+    assert sorted((r.query_id, r.doc_id) for r in q.collect()) == [(7, 1), (7, 3)]
