@@ -113,11 +113,15 @@ flags AS (SELECT r.query_id, r."lambda", r.rank, CASE WHEN q.doc_id IS NULL THEN
           FROM run r LEFT JOIN qrels q ON q.query_id = r.query_id AND q.doc_id = r.doc_id),
 cum AS (SELECT *, sum(is_rel) OVER (PARTITION BY query_id, "lambda" ORDER BY rank
                   ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum_rel FROM flags),
-agg AS (SELECT query_id, "lambda", sum(is_rel * cum_rel / rank) AS ap_num FROM cum GROUP BY query_id, "lambda"),
-sw AS (SELECT n.query_id, g."lambda", coalesce(a.ap_num / n.n_rel, 0.0) AS ap
+agg AS (SELECT query_id, "lambda", sum(is_rel * cum_rel / rank) AS ap_num, count(*) AS returned,
+               sum(is_rel) AS rel_ret FROM cum GROUP BY query_id, "lambda"),
+sw AS (SELECT n.query_id, g."lambda", coalesce(a.ap_num / n.n_rel, 0.0) AS ap,
+              coalesce(a.rel_ret / a.returned, 0.0) AS p, coalesce(a.rel_ret / n.n_rel, 0.0) AS r
        FROM nrel n CROSS JOIN g LEFT JOIN agg a ON a.query_id = n.query_id AND a."lambda" = g."lambda"
        WHERE n.query_id BETWEEN {first} AND {last}),
 means AS (SELECT "lambda", avg(ap) AS mean FROM sw GROUP BY "lambda"),
+means_p AS (SELECT "lambda", avg(p) AS mean FROM sw GROUP BY "lambda"),
+means_r AS (SELECT "lambda", avg(r) AS mean FROM sw GROUP BY "lambda"),
 best AS (SELECT "lambda", mean FROM means ORDER BY round(mean, 9) DESC, "lambda" LIMIT 1)"""
 
 
@@ -376,6 +380,8 @@ SELECT CAST(query_id AS VARCHAR) AS query_id, round(p, 6) AS p, round(r, 6) AS r
 UNION ALL SELECT 'Mean', round(avg(p), 6), round(avg(r), 6), round(avg(ap), 6) FROM met""",
     "lambda_sweep_means": f'WITH {_sweep(*C.TRAIN)} SELECT "lambda", round(mean, 6) AS mean FROM means',
     "lambda_best": f'WITH {_sweep(*C.TRAIN)} SELECT "lambda", round(mean, 6) AS mean FROM best',
+    "lambda_sweep_means_p": f'WITH {_sweep(*C.TRAIN)} SELECT "lambda", round(mean, 6) AS mean FROM means_p',
+    "lambda_sweep_means_r": f'WITH {_sweep(*C.TRAIN)} SELECT "lambda", round(mean, 6) AS mean FROM means_r',
     "lambda_matrix": f"""WITH {_sweep(*C.TRAIN)},
 wide AS (SELECT CAST(query_id AS VARCHAR) AS query_id, {", ".join(
         f"max(CASE WHEN \"lambda\" = {_lam(x)} THEN ap END) AS l{int(round(x * 10)):02d}" for x in LAMBDA_GRID)}

@@ -392,6 +392,13 @@ def lambda_sweep_means(spark, sf_dir):
     return sw.select("lambda", _r("mean").alias("mean"))
 
 
+def _sweep_means(metric):
+    def q(spark, sf_dir):
+        sw = ev.lambda_sweep(_sweep_metrics(spark, sf_dir, *TRAIN), metric)
+        return sw.select("lambda", _r("mean").alias("mean"))
+    return q
+
+
 def lambda_best(spark, sf_dir):
     b = ev.best_lambda(ev.lambda_sweep(_sweep_metrics(spark, sf_dir, *TRAIN), "MAP"))
     return b.select("lambda", _r("mean").alias("mean"))
@@ -503,6 +510,8 @@ QUERIES: dict[str, Query] = {
     "eval_means": eval_means,
     "eval_metrics_with_mean": eval_metrics_with_mean,
     "lambda_sweep_means": lambda_sweep_means,
+    "lambda_sweep_means_p": _sweep_means("P"),
+    "lambda_sweep_means_r": _sweep_means("R"),
     "lambda_best": lambda_best,
     "lambda_matrix": lambda_matrix,
     "tune_train_test": tune_train_test,
