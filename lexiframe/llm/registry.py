@@ -5,16 +5,46 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
-from lexiframe.llm import simhash_golay
-from lexiframe.llm.common import read_docs
+from pyspark.sql import functions as F
+
+from lexiframe.llm import simhash_golay, winnow
+from lexiframe.llm.common import read_docs, read_table
+
+
+OP4_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w FROM documents),
+i AS (
+  SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+iw AS (
+  SELECT DISTINCT item_id, m, array_to_string(w[s:s + m - 1], ' ') AS g
+  FROM (SELECT item_id, w, least(len(w), 10) AS m, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS s FROM i WHERE len(w) > 0)),
+dp AS (SELECT r, unnest(w) AS x, generate_subscripts(w, 1) AS s FROM d),
+dl AS (SELECT r, s, list(x) OVER (PARTITION BY r ORDER BY s ROWS BETWEEN CURRENT ROW AND 9 FOLLOWING) AS l FROM dp),
+dw AS (SELECT r, m, s, array_to_string(l[1:m], ' ') AS g FROM dl, (SELECT DISTINCT m FROM iw) WHERE len(l) >= m),
+hit AS (SELECT dw.r, dw.m, dw.s, iw.item_id FROM dw JOIN iw ON dw.g = iw.g AND dw.m = iw.m),
+n AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(s, s + m)) AS p FROM hit) GROUP BY r),
+it AS (SELECT r, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS items FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS item_id FROM hit WHERE item_id IS NOT NULL) GROUP BY r)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(n.n_hit, 0) AS n_hit, coalesce(it.n_items, 0) AS n_items,
+       sha256(coalesce(it.items, '')) AS items_sha256, n.n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN n USING (r) LEFT JOIN it USING (r)
+"""
 
 
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_golay.near_duplicates(read_docs(spark, sf_dir), shingle=3, max_bits=3)
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = winnow.contamination(read_docs(spark, sf_dir), read_table(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", "n_words", "n_hit", "n_items",
+                      F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash": op3_simhash,
+    "op4_decontamination": op4_decontamination,
+}
+LLM_ORACLE_SQL: dict[str, str] = {
+    "op4_decontamination": OP4_SQL,
 }
-LLM_ORACLE_SQL: dict[str, str] = {}
