@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexiframe.llm import simhash_golay, winnow
+from lexiframe.llm import pii_weak, secret_scan, simhash_golay, winnow
 from lexiframe.llm.common import read_docs, read_table
+from lexiframe.llm.spans import count_kind, listing
 
 
 OP4_SQL = r"""
@@ -41,10 +42,50 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = pii_weak.find_pii(read_docs(spark, sf_dir), name="pii")
+    base = F.filter("pii", lambda s: s["base"])
+    count = [count_kind(base, k).alias(f"n_{k}") for k in pii_weak.BASE_KINDS]
+    return out.select("doc_id", *count, F.sha2(listing(base), 256).alias("base_sha256"), listing(F.col("pii")).alias("spans"))
+
+
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = secret_scan.find_secrets(read_docs(spark, sf_dir), name="secrets")
+    base = secret_scan.base_spans(F.col("secrets"))
+    count = [count_kind(base, r.kind).alias(f"n_{r.kind}") for r in secret_scan.BASE]
+    return out.select("doc_id", *count, F.sha2(listing(base), 256).alias("base_sha256"), listing(F.col("secrets")).alias("spans"))
+
+
+def _op8_sql() -> str:
+    """The same rules by plain scans of every text."""
+    base = [("assign", "(?i:password|passwd|secret|token|api_?key)[\"'']?\\x20*[:=]\\x20*[\"'']?([A-Za-z0-9+/_.=-]+)", "length(regexp_extract(m, pat, 1)) >= 8"),
+            ("access", "AKIA[A-Z0-9]+", "length(m) >= 16"), ("hex", "[0-9a-f]+", "length(m) >= 32")]
+    rules = base + [(r.kind, r.pattern.replace("(?:live|test)", "(live|test)"), "true") for r in secret_scan.EXTRA]
+    ok = " ".join(f"WHEN {i} THEN {c}" for i, (_, _, c) in enumerate(rules))
+    hits = " UNION ALL ".join(
+        f"SELECT r, {i} AS o, '{k}' AS kind, '{p}' AS pat, string_split_regex(t, '{p}') AS gaps, regexp_extract_all(t, '{p}') AS ms FROM d WHERE regexp_matches(t, '{p}')"
+        for i, (k, p, _) in enumerate(rules))
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+h AS ({hits}),
+u AS (SELECT r, o, kind, pat, unnest(ms) AS m, generate_subscripts(ms, 1) AS i, gaps, ms FROM h),
+s AS (SELECT r, o, kind, pat, m, CAST(list_sum(list_transform(gaps[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(ms[1:i - 1], lambda x: length(x))), 0) AS BIGINT) AS a FROM u),
+f AS (SELECT r, o, kind, a, a + length(m) AS b FROM s WHERE CASE o {ok} END),
+g AS (SELECT r, count(*) FILTER (kind = 'assign') AS n1, count(*) FILTER (kind = 'access') AS n2, count(*) FILTER (kind = 'hex') AS n3,
+        string_agg(kind || ':' || a || ':' || b, ',' ORDER BY a, o) FILTER (o < 3) AS base, string_agg(kind || ':' || a || ':' || b, ',' ORDER BY a, o) AS spans FROM f GROUP BY r)
+SELECT d.doc_id, coalesce(n1, 0) AS n_assign, coalesce(n2, 0) AS n_access, coalesce(n3, 0) AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN g USING (r)
+"""
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash": op3_simhash,
     "op4_decontamination": op4_decontamination,
+    "op7_pii": op7_pii,
+    "op8_secrets": op8_secrets,
 }
 LLM_ORACLE_SQL: dict[str, str] = {
     "op4_decontamination": OP4_SQL,
+    "op8_secrets": _op8_sql(),
 }
