@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexiframe.llm import pii_weak, secret_scan, simhash_golay, winnow
-from lexiframe.llm.common import read_docs, read_table
+from lexiframe.llm import pii_weak, secret_scan, simhash_golay, toxicity, winnow
+from lexiframe.llm.common import held_out, read_docs, read_table
 from lexiframe.llm.spans import count_kind, listing
 
 
@@ -42,6 +42,13 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, out = read_docs(spark, sf_dir), held_out("doc_id", 5, 0)
+    model = toxicity.train(docs, read_table(spark, sf_dir, "labels"), train_rows=~out)
+    scored = toxicity.score(docs.select("doc_id", "text"), model)
+    return scored.select("doc_id", out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = pii_weak.find_pii(read_docs(spark, sf_dir), name="pii")
     base = F.filter("pii", lambda s: s["base"])
@@ -82,6 +89,7 @@ FROM d LEFT JOIN g USING (r)
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash": op3_simhash,
     "op4_decontamination": op4_decontamination,
+    "op5_toxicity": op5_toxicity,
     "op7_pii": op7_pii,
     "op8_secrets": op8_secrets,
 }
