@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexiframe.llm import pii_weak, secret_scan, simhash_golay, toxicity, winnow
+from lexiframe.llm import langid, pii_weak, secret_scan, simhash_golay, toxicity, winnow
 from lexiframe.llm.common import held_out, read_docs, read_table
 from lexiframe.llm.spans import count_kind, listing
 
@@ -32,6 +32,13 @@ FROM d LEFT JOIN n USING (r) LEFT JOIN it USING (r)
 """
 
 
+def op2_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, out = read_docs(spark, sf_dir), held_out("doc_id", 4, 2)
+    model = langid.train(docs, rows=~out)
+    found = langid.identify(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", out.alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_golay.near_duplicates(read_docs(spark, sf_dir), shingle=3, max_bits=3)
 
@@ -87,6 +94,7 @@ FROM d LEFT JOIN g USING (r)
 
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_langid": op2_langid,
     "op3_simhash": op3_simhash,
     "op4_decontamination": op4_decontamination,
     "op5_toxicity": op5_toxicity,
