@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexiframe.llm import langid, pii_weak, secret_scan, simhash_golay, toxicity, winnow
+from lexiframe.llm import dualtree, langid, pii_weak, secret_scan, simhash_golay, toxicity, winnow
 from lexiframe.llm.common import held_out, read_docs, read_table
 from lexiframe.llm.spans import count_kind, listing
 
@@ -93,6 +93,21 @@ FROM d LEFT JOIN g USING (r)
 """
 
 
+def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dualtree.top_k(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
+OP10_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+      FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_langid": op2_langid,
     "op3_simhash": op3_simhash,
@@ -100,8 +115,10 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_toxicity": op5_toxicity,
     "op7_pii": op7_pii,
     "op8_secrets": op8_secrets,
+    "op10_topk": op10_topk,
 }
 LLM_ORACLE_SQL: dict[str, str] = {
     "op4_decontamination": OP4_SQL,
     "op8_secrets": _op8_sql(),
+    "op10_topk": OP10_SQL,
 }
