@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexiframe.llm import dualtree, langid, pii_weak, secret_scan, simhash_golay, toxicity, winnow
+from lexiframe.llm import dualtree, htmlmain, langid, pii_weak, secret_scan, simhash_golay, toxicity, winnow
 from lexiframe.llm.common import held_out, read_docs, read_table
 from lexiframe.llm.spans import count_kind, listing
 
@@ -56,6 +56,12 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op6_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_docs(spark, sf_dir, "pages")
+    out = htmlmain.extract(pages, htmlmain.train(pages), name="text")
+    return out.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
+
+
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = pii_weak.find_pii(read_docs(spark, sf_dir), name="pii")
     base = F.filter("pii", lambda s: s["base"])
@@ -113,6 +119,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash": op3_simhash,
     "op4_decontamination": op4_decontamination,
     "op5_toxicity": op5_toxicity,
+    "op6_html": op6_html,
     "op7_pii": op7_pii,
     "op8_secrets": op8_secrets,
     "op10_topk": op10_topk,
