@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexiframe.llm import dualtree, htmlmain, langid, pii_weak, secret_scan, simhash_golay, toxicity, winnow
+from lexiframe.llm import cotrain, dualtree, htmlmain, langid, pii_weak, secret_scan, simhash_golay, toxicity, winnow
 from lexiframe.llm.common import held_out, read_docs, read_table
 from lexiframe.llm.spans import count_kind, listing
 
@@ -99,6 +99,13 @@ FROM d LEFT JOIN g USING (r)
 """
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, out = read_docs(spark, sf_dir), held_out("doc_id", 5, 0)
+    model = cotrain.train(docs, read_table(spark, sf_dir, "labels"), train_rows=~out)
+    scored = cotrain.score(docs, model)
+    return scored.select("doc_id", out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dualtree.top_k(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
 
@@ -122,6 +129,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_html": op6_html,
     "op7_pii": op7_pii,
     "op8_secrets": op8_secrets,
+    "op9_quality": op9_quality,
     "op10_topk": op10_topk,
 }
 LLM_ORACLE_SQL: dict[str, str] = {
