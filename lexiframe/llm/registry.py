@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexiframe.llm import cotrain, dualtree, htmlmain, langid, pii_weak, secret_scan, simhash_golay, toxicity, winnow
+from lexiframe.llm import cotrain, dualtree, htmlmain, langid, pii_weak, secret_scan, simhash_golay, spsample, toxicity, winnow
 from lexiframe.llm.common import held_out, read_docs, read_table
 from lexiframe.llm.spans import count_kind, listing
 
@@ -32,6 +32,17 @@ FROM d LEFT JOIN n USING (r) LEFT JOIN it USING (r)
 """
 
 
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two distinct segmentations per document; digests of their ids, and whether they decode to the text."""
+    out = spsample.encode(read_docs(spark, sf_dir).select("doc_id", "text"), k=2, key="doc_id", name="s")
+    return out.select("doc_id", F.size("s").alias("n_samples"), F.transform("s", lambda x: x["n"]).alias("n_pieces"),
+                      F.transform("s", lambda x: F.sha2(x["ids"], 256)).alias("ids_sha256"),
+                      F.transform("s", lambda x: x["log_prob"]).alias("log_prob"),
+                      F.transform("s", lambda x: x["perturbed"]).alias("perturbed"),
+                      F.transform("s", lambda x: x["inclusion"]).alias("inclusion"),
+                      F.forall("s", lambda x: x["round_trip"]).alias("round_trip"))
+
+
 def op2_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, out = read_docs(spark, sf_dir), held_out("doc_id", 4, 2)
     model = langid.train(docs, rows=~out)
@@ -122,6 +133,7 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_sentencepiece": op1_sentencepiece,
     "op2_langid": op2_langid,
     "op3_simhash": op3_simhash,
     "op4_decontamination": op4_decontamination,
