@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from lexiframe.llm import cotrain, dualtree, htmlmain, langid, pii_weak, secret_scan, simhash_golay, spsample, toxicity, winnow
 from lexiframe.llm.common import held_out, read_docs, read_table
 from lexiframe.llm.spans import count_kind, listing
@@ -143,9 +144,12 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secrets": op8_secrets,
     "op9_quality": op9_quality,
     "op10_topk": op10_topk,
+    "pipeline": corpus_pipeline.run,
 }
 LLM_ORACLE_SQL: dict[str, str] = {
     "op4_decontamination": OP4_SQL,
     "op8_secrets": _op8_sql(),
     "op10_topk": OP10_SQL,
 }
+if corpus_pipeline.ORACLE_SQL:
+    LLM_ORACLE_SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
