@@ -190,7 +190,8 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
         for texts in batches:
             parts = [_identify(list(texts.iloc[at : at + CHUNK]), model) for at in range(0, len(texts), CHUNK)]
             rows = [r for p in parts for r in p]
-            yield pd.DataFrame({"lang": [r[0] for r in rows], "score": [r[1] for r in rows], "spans": [r[2] for r in rows]})
+            yield pd.DataFrame({"lang": pd.Series([r[0] for r in rows], dtype="object"), "score": pd.Series([r[1] for r in rows], dtype="float64"),
+                                "spans": pd.Series([r[2] for r in rows], dtype="object")})
 
     out = docs.withColumn("_lx_lang", run(F.col(text_col).cast("string")))
     return out.select(*docs.columns, F.col("_lx_lang.lang").alias("lang_pred"), F.col("_lx_lang.score").alias("lang_score"),

@@ -52,7 +52,7 @@ class Kind:
 # match what they took; \G and the look-behind skip starts inside a run that already failed.
 KINDS = (
     Kind("email", r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++", "@", True,
-         r"^[A-Za-z0-9](?:[A-Za-z0-9_%+-]|\.(?!\.))*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,24}$"),
+         r"^(?!.*\.\.)[A-Za-z0-9][A-Za-z0-9._%+-]*+@[A-Za-z0-9.-]*\.[A-Za-z]{2,24}$"),
     Kind("ip", r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++", r"[0-9]\.[0-9]+\.[0-9]", True,
          r"^(?:0|[1-9][0-9]{0,2})(?:\.(?:0|[1-9][0-9]{0,2})){3}$"),
     Kind("card", r"[0-9](?:[\x20-]?[0-9])++", r"[0-9](?:[\x20-]?[0-9]){15}", True,
