@@ -8,8 +8,8 @@ reproducible checks).
 Scale: the K centroids (K × dim values, bounded by parameters, not by the data) reach every
 task as one array-valued scalar subquery, so assignment is a map-only projection — no join of
 records × centroids. Centroid recompute is one aggregate with map-side partial sums. Nearest
-centroid = smallest (squared distance rounded to 9 decimals, cluster id): the first wins on
-ties. Empty clusters keep their previous centroid. The centroid table is checkpointed to the
+centroid = smallest (squared distance, cluster id): the first wins on ties. Distances are compared
+unrounded; a report rounds what it shows. Empty clusters keep their previous centroid. The centroid table is checkpointed to the
 shared checkpoint folder every iteration, which cuts the lineage of the loop.
 
 Seeding: ``seeds_smallest_ids`` (deterministic) or ``kmeanspp_seeds`` (D² weighting: every
@@ -20,6 +20,7 @@ draw without a global cumulative sum).
 from __future__ import annotations
 
 from dataclasses import dataclass
+from itertools import count
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -27,8 +28,6 @@ from pyspark.sql import functions as F
 from lexiframe.functions.stats import sq_euclidean
 from lexiframe.operators.sizing import broadcast_when, checkpoint_dir
 
-DIST_DECIMALS = 9
-
 
 @dataclass
 class KMeansResult:
@@ -57,7 +56,7 @@ def assign_nearest(df: DataFrame, centers: Column, id_col: str = "vec_id", vec_c
     # the centers (a scalar subquery) become a column first: subqueries may not sit inside lambdas
     staged = df.select(F.col(id_col), _as_double_array(vec_col).alias("vec"), centers.alias("_centers"))
     best = F.array_min(F.transform("_centers", lambda c: F.struct(
-        F.round(sq_euclidean(F.col("vec"), c["center"]), DIST_DECIMALS).alias("d"), c["cluster"].alias("cluster"))))
+        sq_euclidean(F.col("vec"), c["center"]).alias("d"), c["cluster"].alias("cluster"))))
     return staged.select(id_col, "vec", best.alias("b")).select(
         id_col, "vec", F.col("b.cluster").alias("cluster"), F.col("b.d").alias("dist2"))
 
@@ -76,16 +75,16 @@ def _sse_against(assigned: DataFrame, centers: Column) -> DataFrame:
     """One row ``sse``: Σ squared distance of every record to the given center of its cluster."""
     staged = assigned.select("vec", "cluster", centers.alias("_centers"))
     own = F.element_at(F.filter("_centers", lambda s: s["cluster"] == F.col("cluster")), 1)["center"]
-    return staged.select(F.round(sq_euclidean(F.col("vec"), own), DIST_DECIMALS).alias("d2")) \
+    return staged.select(sq_euclidean(F.col("vec"), own).alias("d2")) \
         .agg(F.sum("d2").alias("sse"))
 
 
 def kmeans(df: DataFrame, k: int, iterations: int | None = 3, id_col: str = "vec_id", vec_col: str = "embedding",
-           seeds: DataFrame | None = None, max_iterations: int = 100) -> KMeansResult:
+           seeds: DataFrame | None = None) -> KMeansResult:
     """Lloyd's algorithm with the centroid table checkpointed every iteration.
 
-    ``iterations=None``: stop when the SSE stops falling (the reference rule), else run exactly
-    ``iterations`` rounds. The per-iteration SSE rows are small aggregates over checkpointed
+    ``iterations=None``: stop when the SSE stops falling, however many rounds that takes, else run
+    exactly ``iterations`` rounds. The per-iteration SSE rows are small aggregates over checkpointed
     centroids and stay DataFrames.
     """
     checkpoint_dir(df.sparkSession)
@@ -94,8 +93,7 @@ def kmeans(df: DataFrame, k: int, iterations: int | None = 3, id_col: str = "vec
     sse_parts: list[DataFrame] = []
     prev_sse = float("inf")
     assigned = None
-    n_iter = iterations if iterations is not None else max_iterations
-    for it in range(1, n_iter + 1):
+    for it in count(1) if iterations is None else range(1, iterations + 1):
         assigned = assign_nearest(df, _centers(centroids), id_col, vec_col)
         new_centroids = recompute_centroids(assigned, centroids).checkpoint(eager=True)
         sse_df = _sse_against(assigned, _centers(new_centroids)).select(F.lit(it).alias("iteration"), "sse")
@@ -115,25 +113,6 @@ def kmeans(df: DataFrame, k: int, iterations: int | None = 3, id_col: str = "vec
     return KMeansResult(final, centroids, sse)
 
 
-def kmeans_fixed(df: DataFrame, k: int, iterations: int, id_col: str = "vec_id", vec_col: str = "embedding",
-                 seeds: DataFrame | None = None) -> KMeansResult:
-    """Fixed-iteration Lloyd as one lazy plan (no action inside). The plan repeats earlier rounds,
-    so use it for a few iterations on small inputs only; ``kmeans`` is the scalable path."""
-    centroids = seeds if seeds is not None else seeds_smallest_ids(df, k, id_col, vec_col)
-    sse_parts = []
-    assigned = None
-    for it in range(1, iterations + 1):
-        assigned = assign_nearest(df, _centers(centroids), id_col, vec_col)
-        new_centroids = recompute_centroids(assigned, centroids)
-        sse_parts.append(_sse_against(assigned, _centers(new_centroids))
-                         .select(F.lit(it).alias("iteration"), "sse"))
-        centroids = new_centroids
-    sse = sse_parts[0]
-    for p in sse_parts[1:]:
-        sse = sse.unionByName(p)
-    return KMeansResult(assigned.select(id_col, "cluster", "dist2"), centroids, sse)
-
-
 def min_distance_to(df: DataFrame, centers: Column, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """``id, min_dist2``: squared distance to the nearest of the given centers."""
     a = assign_nearest(df, centers, id_col, vec_col)
@@ -157,29 +136,36 @@ def kmeanspp_seeds(df: DataFrame, k: int, seed: int = 42, id_col: str = "vec_id"
 
 # ---- sparse vectors (doc_id, term, w) -------------------------------------------------------------
 
-def sparse_kmeans(vectors: DataFrame, k: int, iterations: int, id_col: str = "doc_id") -> KMeansResult:
+def sparse_kmeans(vectors: DataFrame, k: int, iterations: int, id_col: str = "doc_id",
+                  ids: DataFrame | None = None) -> KMeansResult:
     """Lloyd on sparse vectors ``id, term, w``; seeds = the k smallest ids; fixed iterations.
 
+    ``ids``: all records, where some have no term (they are zero vectors and stay in the result).
+
     dist²(d, c) = |d|² + |c|² − 2·d·c; the dot products come from a join on term (only shared
     terms meet), the K centroid norms travel as one small array, so no record × centroid pairs
     are formed by a join. The input vectors once and the centroids every round are checkpointed.
     """
     checkpoint_dir(vectors.sparkSession)
-    vectors = vectors.select(id_col, "term", "w").checkpoint(eager=True)
+    ids = (ids if ids is not None else vectors).select(id_col).distinct()
+    vectors = vectors.select(id_col, "term", "w").where(F.col("term").isNotNull()).checkpoint(eager=True)
     # a centroid holds at most the terms of its members (or its previous terms when it is empty),
     # so k × |vector rows| bounds the centroid table: one count instead of a probe per round
     n_rows = vectors.count()
-    ids = vectors.select(id_col).distinct()
+    ids = ids.checkpoint(eager=True)
     seed_ids = ids.orderBy(id_col).limit(k).select(
         id_col, (F.row_number().over(Window.orderBy(id_col)) - 1).cast("int").alias("cluster"))
+    seed_ids = seed_ids.checkpoint(eager=True)  # k rows
+    clusters = seed_ids.select("cluster")
     centroids = vectors.join(F.broadcast(seed_ids), id_col).select("cluster", "term", "w")
-    dnorm = vectors.groupBy(id_col).agg(F.sum(F.col("w") * F.col("w")).alias("dn"))
+    dnorm = ids.join(vectors.groupBy(id_col).agg(F.sum(F.col("w") * F.col("w")).alias("dn")), id_col, "left").select(
+        id_col, F.coalesce("dn", F.lit(0.0)).alias("dn"))
     sse_parts = []
     assigned = None
     for it in range(1, iterations + 1):
-        assigned = _sparse_assign(vectors, dnorm, centroids, id_col, k, k * n_rows)
+        assigned = _sparse_assign(vectors, dnorm, centroids, clusters, id_col, k * n_rows)
         new_centroids = _sparse_recompute(vectors, assigned, centroids, id_col).checkpoint(eager=True)
-        d2 = _sparse_dist_to_own(vectors, dnorm, assigned, new_centroids, id_col)
+        d2 = _sparse_dist_to_own(vectors, dnorm, assigned, new_centroids, clusters, id_col)
         sse_parts.append(d2.agg(F.sum("d2").alias("sse")).select(F.lit(it).alias("iteration"), "sse"))
         centroids = new_centroids
     sse = sse_parts[0]
@@ -188,8 +174,14 @@ def sparse_kmeans(vectors: DataFrame, k: int, iterations: int, id_col: str = "do
     return KMeansResult(assigned, centroids, sse)
 
 
-def _sparse_assign(vectors, dnorm, centroids, id_col, k, max_centroid_rows):
-    cnorm = centroids.groupBy("cluster").agg(F.sum(F.col("w") * F.col("w")).alias("cn"))
+def _norms(centroids, clusters):
+    """Squared norm of every cluster's centroid; 0 for one without terms."""
+    some = centroids.groupBy("cluster").agg(F.sum(F.col("w") * F.col("w")).alias("cn"))
+    return clusters.join(some, "cluster", "left").select("cluster", F.coalesce("cn", F.lit(0.0)).alias("cn"))
+
+
+def _sparse_assign(vectors, dnorm, centroids, clusters, id_col, max_centroid_rows):
+    cnorm = _norms(centroids, clusters)
     cn_arr = cnorm.select(F.sort_array(F.collect_list(F.struct("cluster", "cn")))).scalar()
     cent = broadcast_when(centroids.select("cluster", "term", F.col("w").alias("wc")), max_centroid_rows)
     dots = (vectors.join(cent, "term").groupBy(id_col, "cluster")
@@ -197,8 +189,7 @@ def _sparse_assign(vectors, dnorm, centroids, id_col, k, max_centroid_rows):
     dot_maps = dots.groupBy(id_col).agg(F.map_from_entries(F.collect_list(F.struct("cluster", "dot"))).alias("m"))
     per = dnorm.join(dot_maps, id_col, "left").withColumn("_cn", cn_arr)
     best = F.array_min(F.transform("_cn", lambda c: F.struct(
-        F.round(F.col("dn") + c["cn"] - 2.0 * F.coalesce(F.col("m")[c["cluster"]], F.lit(0.0)),
-                DIST_DECIMALS).alias("d"),
+        (F.col("dn") + c["cn"] - 2.0 * F.coalesce(F.col("m")[c["cluster"]], F.lit(0.0))).alias("d"),
         c["cluster"].alias("cluster"))))
     return per.select(id_col, best["cluster"].alias("cluster"), best["d"].alias("dist2"))
 
@@ -212,15 +203,14 @@ def _sparse_recompute(vectors, assigned, previous, id_col):
     return fresh.unionByName(kept)
 
 
-def _sparse_dist_to_own(vectors, dnorm, assigned, centroids, id_col):
-    cnorm = centroids.groupBy("cluster").agg(F.sum(F.col("w") * F.col("w")).alias("cn"))
+def _sparse_dist_to_own(vectors, dnorm, assigned, centroids, clusters, id_col):
+    cnorm = _norms(centroids, clusters)
     own = (vectors.join(assigned.select(id_col, "cluster"), id_col)
            .join(centroids.select("cluster", "term", F.col("w").alias("wc")), ["cluster", "term"])
            .groupBy(id_col).agg(F.sum(F.col("w") * F.col("wc")).alias("dot")))
     return (assigned.select(id_col, "cluster").join(dnorm, id_col).join(F.broadcast(cnorm), "cluster")
             .join(own, id_col, "left")
-            .select(id_col, F.round(F.col("dn") + F.col("cn") - 2.0 * F.coalesce("dot", F.lit(0.0)),
-                                    DIST_DECIMALS).alias("d2")))
+            .select(id_col, (F.col("dn") + F.col("cn") - 2.0 * F.coalesce("dot", F.lit(0.0))).alias("d2")))
 
 
 def kmeans_ml(df: DataFrame, k: int, seed: int = 42, max_iter: int = 20, id_col: str = "vec_id",

@@ -7,8 +7,8 @@ Scores (sums over terms t shared by query q and document d):
   TF-IDF(p)  Σ qtf · sqrt(tf) · idf^p / sqrt(dl),  idf = 1 + ln((N+1)/(df+1))
 
 dl = document length in tokens, cf = collection frequency, T = tokens in the collection,
-N = documents, df = document frequency. Scores are rounded to 6 decimals before ranking and
-ties go to the smaller doc id, so ranks do not depend on summation order.
+N = documents, df = document frequency. Scores are rounded to 9 decimals, which only
+takes away differences of summation order; ties go to the smaller doc id.
 
 Plan: the distinct query terms (size-checked broadcast) select the matching postings in a
 map-side hash join — postings never shuffle for the lookup. Term statistics come from the
@@ -31,7 +31,7 @@ from lexiframe.functions.text import tokens, with_term_counts
 from lexiframe.operators.index import CorpusIndex
 from lexiframe.operators.sizing import broadcast_when, small_count
 
-SCORE_DECIMALS = 6
+SCORE_DECIMALS = 9  # fine enough to rank by; reports round what they show
 # Fixed value: the smoothing grid 0.1 … 1.0.
 LAMBDA_GRID = tuple(round(0.1 * i, 1) for i in range(1, 11))
 

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexiframe.functions.stats import normal_cdf, student_t_two_sided_p
+from lexiframe.operators.sizing import checkpoint_dir
 
 DIFF_DECIMALS = 9
 
@@ -44,15 +45,17 @@ def signed_rank_sums(diffs: DataFrame, d: str = "d") -> DataFrame:
     Ranks without a one-partition window over all differences: equal |d| values collapse
     first (one row per distinct |d| with its positive / negative counts); those rows are
     range-partitioned by |d|, numbered inside each partition, and shifted by the sizes of the
-    preceding partitions (a tiny table, broadcast).
+    preceding partitions (one row per partition, broadcast).
     """
     nz = diffs.where(F.col(d) != 0).select(F.abs(F.col(d)).alias("a"), (F.col(d) > 0).alias("pos"))
     groups = nz.groupBy("a").agg(
         F.count(F.lit(1)).alias("cnt"),
         F.sum(F.col("pos").cast("bigint")).alias("n_pos"))
-    # explicit partition count: AQE does not coalesce it, so both branches see the same ids
     n = int(diffs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = groups.repartitionByRange(n, "a").withColumn("_pid", F.spark_partition_id())
+    # range boundaries are sampled: two branches that plan their own exchange may get different
+    # ones, so the numbered table is written once and both branches read it
+    checkpoint_dir(diffs.sparkSession)
+    ranged = groups.repartitionByRange(n, "a").withColumn("_pid", F.spark_partition_id()).checkpoint()
     w_local = Window.partitionBy("_pid").orderBy("a").rowsBetween(Window.unboundedPreceding, -1)
     local = ranged.withColumn("_below", F.coalesce(F.sum("cnt").over(w_local), F.lit(0)))
     sizes = local.groupBy("_pid").agg(F.sum("cnt").alias("_n"))

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexiframe.operators.index import CorpusIndex
-from lexiframe.operators.sizing import broadcast_if_small
+from lexiframe.operators.sizing import broadcast_if_small, checkpoint_dir
 
 ORDERS = ("tf", "df", "idf", "tfxidf")
 _DEFAULT_ASC = {"tf": False, "df": False, "idf": True, "tfxidf": True}
@@ -66,10 +66,10 @@ def _distributed_rank(df: DataFrame, sort_cols) -> DataFrame:
     Range-partition by the order, number rows inside each partition, add the row counts of
     the preceding partitions (a tiny per-partition table, broadcast).
     """
-    # an explicit partition count: AQE leaves user-numbered repartitions alone, so the partition
-    # ids read below are the same in both branches that use them
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = df.repartitionByRange(n, *sort_cols).withColumn("_pid", F.spark_partition_id())
+    # written once: exchanges planned twice may sample different range boundaries
+    checkpoint_dir(df.sparkSession)
+    ordered = df.repartitionByRange(n, *sort_cols).withColumn("_pid", F.spark_partition_id()).checkpoint()
     w = Window.partitionBy("_pid").orderBy(*sort_cols)
     local = ordered.withColumn("_rn", F.row_number().over(w))
     sizes = local.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))

@@ -29,7 +29,7 @@ TOP_TERMS = 50          # collection term reports
 TOP_DOC_TERMS = 20      # per-document term reports
 TOP_SIMILAR = 20        # similar documents
 CUT = 10                # hits per topic
-SHINGLE = 8             # tokens per shared passage in the derived judgements
+SHINGLE = 2             # tokens per shared passage in the derived judgements
 TRAIN = (0, 19)         # training topics (inclusive)
 TEST = (20, 1 << 62)    # test topics (inclusive)
 SUBSET = (5, 15)        # topic subset report

@@ -26,7 +26,7 @@ tv AS (SELECT doc_id, term, count(*) AS tf
 dl AS (SELECT doc_id, CAST(len(toks) AS BIGINT) AS dl FROM tok),
 nd AS (SELECT count(*) AS n FROM documents)"""
 
-# derived judgements: shared 8-token passages between a benchmark item and a document
+# derived judgements: shared passages of C.SHINGLE tokens between a benchmark item and a document
 QRELS = f"""
 btok AS (SELECT item_id AS query_id, {_tok('text')} AS toks FROM benchmark),
 tsh AS (SELECT DISTINCT query_id, sh FROM (
@@ -61,7 +61,7 @@ def _tfidf(p: float) -> str:
 
 def _run(score_expr: str, cut: int = C.CUT) -> str:
     return f"""
-sc AS (SELECT query_id, doc_id, round(sum({score_expr}), 6) AS score FROM m GROUP BY query_id, doc_id),
+sc AS (SELECT query_id, doc_id, round(sum({score_expr}), 9) AS score FROM m GROUP BY query_id, doc_id),
 run AS (SELECT * FROM (SELECT query_id, doc_id, score,
           row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM sc)
         WHERE rank <= {cut})"""
@@ -72,7 +72,7 @@ def _lam(x: float) -> str:
 
 
 def _search(score_expr: str) -> str:
-    return f"WITH {TV}, {_qterms()}, {_run(score_expr)} SELECT query_id, doc_id, score, rank FROM run"
+    return f"WITH {TV}, {_qterms()}, {_run(score_expr)} SELECT query_id, doc_id, round(score, 6) AS score, rank FROM run"
 
 
 # per-topic P/R/AP of a run against the derived judgements (judged topics only)
@@ -104,7 +104,7 @@ def _sweep(first: int, last: int) -> str:
     where = f"WHERE item_id BETWEEN {first} AND {last}"
     return f"""{TV}, {QRELS}, {_qterms(where)},
 g AS (SELECT unnest({GRID}) AS "lambda"),
-sc AS (SELECT query_id, doc_id, "lambda", round(sum({_jm('"lambda"')}), 6) AS score FROM m, g
+sc AS (SELECT query_id, doc_id, "lambda", round(sum({_jm('"lambda"')}), 9) AS score FROM m, g
        GROUP BY query_id, doc_id, "lambda"),
 run AS (SELECT * FROM (SELECT query_id, doc_id, "lambda", score,
           row_number() OVER (PARTITION BY query_id, "lambda" ORDER BY score DESC, doc_id) AS rank FROM sc)
@@ -215,8 +215,8 @@ def _kmeans_sql(k: int, iters: int) -> str:
         p = i - 1
         parts.append(
             f"a{i} AS (SELECT vec_id, v, cluster, d FROM (SELECT e.vec_id, e.v, c.cluster, "
-            f"round({_sqdist('e.v', 'c.center')}, 9) AS d, row_number() OVER (PARTITION BY e.vec_id "
-            f"ORDER BY round({_sqdist('e.v', 'c.center')}, 9), c.cluster) AS rn FROM e, c{p} c) WHERE rn = 1)")
+            f"{_sqdist('e.v', 'c.center')} AS d, row_number() OVER (PARTITION BY e.vec_id "
+            f"ORDER BY {_sqdist('e.v', 'c.center')}, c.cluster) AS rn FROM e, c{p} c) WHERE rn = 1)")
         parts.append(
             f"m{i} AS (SELECT cluster, pos, avg(x) AS x FROM (SELECT cluster, unnest(v) AS x, "
             f"unnest(range(1, len(v) + 1)) AS pos FROM a{i}) GROUP BY cluster, pos)")
@@ -224,7 +224,7 @@ def _kmeans_sql(k: int, iters: int) -> str:
             f"c{i} AS (SELECT cluster, list(x ORDER BY pos) AS center FROM m{i} GROUP BY cluster "
             f"UNION ALL SELECT cluster, center FROM c{p} WHERE cluster NOT IN (SELECT cluster FROM m{i}))")
         parts.append(
-            f"s{i} AS (SELECT {i} AS iteration, sum(round({_sqdist('a.v', 'c.center')}, 9)) AS sse "
+            f"s{i} AS (SELECT {i} AS iteration, sum({_sqdist('a.v', 'c.center')}) AS sse "
             f"FROM a{i} a JOIN c{i} c ON a.cluster = c.cluster)")
     return ",\n".join(parts)
 
@@ -248,7 +248,7 @@ def _sparse_kmeans_sql(k: int, iters: int) -> str:
         parts.append(f"kd{i} AS (SELECT v.doc_id, k.cluster, sum(v.w * k.w) AS dot FROM vec v "
                      f"JOIN k{p} k ON v.term = k.term GROUP BY v.doc_id, k.cluster)")
         parts.append(f"x{i} AS (SELECT doc_id, cluster FROM (SELECT vn.doc_id, kn.cluster, row_number() OVER "
-                     f"(PARTITION BY vn.doc_id ORDER BY round(vn.dn + kn.cn - 2.0 * coalesce(kd.dot, 0.0), 9), "
+                     f"(PARTITION BY vn.doc_id ORDER BY vn.dn + kn.cn - 2.0 * coalesce(kd.dot, 0.0), "
                      f"kn.cluster) AS rn FROM vn CROSS JOIN kn{p} kn LEFT JOIN kd{i} kd "
                      f"ON kd.doc_id = vn.doc_id AND kd.cluster = kn.cluster) WHERE rn = 1)")
         parts.append(f"sz{i} AS (SELECT cluster, count(*) AS size FROM x{i} GROUP BY cluster)")
@@ -358,7 +358,7 @@ SELECT doc_id, CAST(cluster AS BIGINT) AS cluster FROM x{C.KMEANS_ITER}""",
     "search_tfidf_p1": _search(_tfidf(1.0)),
     "search_tfidf_p2": _search(_tfidf(2.0)),
     "search_hits_report": f"""WITH {_eval_jm(0.5)}
-SELECT f.query_id, f.rank, f.doc_id, r.score, d.lang, d.source,
+SELECT f.query_id, f.rank, f.doc_id, round(r.score, 6) AS score, d.lang, d.source,
        CASE WHEN f.is_rel = 1 THEN 'relevant' ELSE 'not relevant' END AS relevance
 FROM flags f JOIN run r ON r.query_id = f.query_id AND r.doc_id = f.doc_id JOIN documents d ON d.doc_id = f.doc_id""",
     "topics_subset": f"""SELECT item_id AS query_id, text FROM benchmark
@@ -409,7 +409,7 @@ tq AS (SELECT query_id, term, count(*) AS qtf FROM (
 tts AS (SELECT term, count(*) AS df, sum(tf) AS cf FROM tv WHERE term IN (SELECT term FROM tq) GROUP BY term),
 tm AS (SELECT tq.query_id, tv.doc_id, tq.qtf, tv.tf, dl.dl, tts.cf, tot.T
        FROM tq JOIN tv ON tq.term = tv.term JOIN tts ON tts.term = tq.term JOIN dl ON dl.doc_id = tv.doc_id, tot),
-tsc AS (SELECT query_id, doc_id, round(sum({_jm('best."lambda"')}), 6) AS score FROM tm, best GROUP BY query_id, doc_id),
+tsc AS (SELECT query_id, doc_id, round(sum({_jm('best."lambda"')}), 9) AS score FROM tm, best GROUP BY query_id, doc_id),
 trun AS (SELECT * FROM (SELECT query_id, doc_id, score,
           row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM tsc)
          WHERE rank <= {C.CUT}),
@@ -461,3 +461,7 @@ ORACLE_SQL["paired_metric_diff"] = f"""WITH {_paired_base()}
 SELECT query_id, round(x, 6) AS x, round(y, 6) AS y, round(d, 6) AS d FROM pd"""
 ORACLE_SQL["paired_t_test"] = _paired_t()
 ORACLE_SQL["wilcoxon_test"] = _wilcoxon()
+ORACLE_SQL["wilcoxon_lineitem"] = """WITH x AS (SELECT round(l_extendedprice * (l_discount - l_tax), 9) AS d FROM lineitem),
+rk AS (SELECT d > 0 AS pos, rank() OVER (ORDER BY abs(d)) + (count(*) OVER (PARTITION BY abs(d)) - 1) / 2.0 AS rk FROM x WHERE d <> 0)
+SELECT CAST(count(*) AS BIGINT) AS n, round(coalesce(sum(CASE WHEN pos THEN rk END), 0.0), 6) AS w_plus,
+       round(coalesce(sum(CASE WHEN NOT pos THEN rk END), 0.0), 6) AS w_minus FROM rk"""

@@ -301,7 +301,7 @@ def cluster_similar_docs(spark, sf_dir):
     ctx = context(spark, sf_dir)
     top = sim.similar_docs(ctx.index, TARGET_DOC, "tf", TOP_SIMILAR).select("doc_id")
     vectors = sim.tf_l1_vectors(ctx.index).join(F.broadcast(top), "doc_id")  # TOP_SIMILAR rows
-    res = km.sparse_kmeans(vectors, DOC_CLUSTERS, KMEANS_ITER, "doc_id")
+    res = km.sparse_kmeans(vectors, DOC_CLUSTERS, KMEANS_ITER, "doc_id", ids=top)
     return res.assignments.select("doc_id", F.col("cluster").cast("bigint").alias("cluster"))
 
 
@@ -314,7 +314,8 @@ def search_stats(spark, sf_dir):
 def _search(model, lam=0.5, power=1.0):
     def q(spark, sf_dir):
         ctx = context(spark, sf_dir)
-        return ctx.eval_run_jm(lam) if model == "jm" else ctx.eval_run_tfidf(power)
+        run = ctx.eval_run_jm(lam) if model == "jm" else ctx.eval_run_tfidf(power)
+        return run.select("query_id", "doc_id", _r("score").alias("score"), "rank")
     return q
 
 
@@ -322,7 +323,7 @@ def search_hits_report(spark, sf_dir):
     ctx = context(spark, sf_dir)
     flags = ev.relevance_flags(ctx.eval_run_jm(0.5), ctx.qrels)
     return (flags.join(ctx.index.docs.select("doc_id", "lang", "source"), "doc_id")
-            .select("query_id", "rank", "doc_id", "score", "lang", "source",
+            .select("query_id", "rank", "doc_id", _r("score").alias("score"), "lang", "source",
                     F.when(F.col("is_rel") == 1, "relevant").otherwise("not relevant").alias("relevance")))
 
 
@@ -454,6 +455,14 @@ def wilcoxon_test(spark, sf_dir):
                     _r("w_minus").alias("w_minus"), _r("w").alias("w"), _r("z").alias("z"), _r("p").alias("p"))
 
 
+def wilcoxon_lineitem(spark, sf_dir):
+    """Signed ranks of discount against tax amount over every line item: n, w_plus, w_minus."""
+    li = context(spark, sf_dir).table("lineitem").select(
+        F.round(F.col("l_extendedprice") * (F.col("l_discount") - F.col("l_tax")), sg.DIFF_DECIMALS).alias("d"))
+    w = sg.signed_rank_sums(li)
+    return w.select("n", _r("w_plus").alias("w_plus"), _r("w_minus").alias("w_minus"))
+
+
 QUERIES: dict[str, Query] = {
     "tokenize_docs": tokenize_docs,
     "term_vectors": term_vectors,
@@ -519,4 +528,5 @@ QUERIES: dict[str, Query] = {
     "paired_metric_diff": paired_metric_diff,
     "paired_t_test": paired_t_test,
     "wilcoxon_test": wilcoxon_test,
+    "wilcoxon_lineitem": wilcoxon_lineitem,
 }

@@ -17,13 +17,16 @@ def read_numeric_csv(spark: SparkSession, path: str, drop: Sequence[str] = ()) -
     return df.drop(*[c for c in drop if c in header])
 
 
-def read_metric_csv(spark: SparkSession, path: str) -> DataFrame:
-    """``queryID, <metric>...`` rows; the trailing ``Mean`` row (and any non-numeric id) is skipped."""
+def read_metric_csv(spark: SparkSession, path: str, id_type: str = "bigint") -> DataFrame:
+    """``queryID, <metric>...`` rows without the ``Mean`` row. An id that is not of ``id_type`` fails
+    the read; ``id_type="string"`` takes any id."""
     df = spark.read.option("header", True).option("ignoreLeadingWhiteSpace", True) \
         .option("ignoreTrailingWhiteSpace", True).csv(path)
     first = df.columns[0]
-    out = df.where(F.trim(F.col(first)).rlike(r"^\d+$")).select(
-        F.trim(F.col(first)).cast("bigint").alias("query_id"),
+    name = F.trim(F.col(first))
+    odd = F.raise_error(F.concat(F.lit("not a query id of type "), F.lit(id_type + ": "), F.coalesce(name, F.lit("null")))).cast(id_type)
+    out = df.where(F.coalesce(name, F.lit("")) != "Mean").select(
+        F.coalesce(name.try_cast(id_type), odd).alias("query_id"),
         *[F.col(c).cast("double").alias(c.strip()) for c in df.columns[1:] if c.strip()],
     )
     return out

@@ -50,15 +50,37 @@ def filter_paths(df: DataFrame, rel: str = "rel_path", extensions: Sequence[str]
     return df.where(cond)
 
 
+def _refuse_hidden(spark: SparkSession, root: str, extensions: Sequence[str] | None) -> None:
+    """Raises if a wanted file lies below the root under a name that Spark does not list."""
+    jvm, sc = spark.sparkContext._jvm, spark.sparkContext
+    top = jvm.org.apache.hadoop.fs.Path(root)
+    found = top.getFileSystem(sc._jsc.hadoopConfiguration()).listFiles(top, True)
+    start = len(top.toUri().getPath().rstrip("/"))
+    while found.hasNext():
+        path = found.next().getPath().toUri().getPath()
+        parts = path[start:].strip("/").split("/")
+        ext = "." + parts[-1].rpartition(".")[2] if "." in parts[-1] else None
+        if len(parts) > 1 and any(p[0] in "_." for p in parts) and (extensions is None or ext in extensions):
+            raise ValueError(f"Spark does not list {path!r}; rename it or read with hidden='skip'")
+
+
 def read_file_tree(spark: SparkSession, root: str, extensions: Sequence[str] | None = DEFAULT_EXTENSIONS,
                    depth: int = -1, top_lines: int = 0, bottom_lines: int = 0,
-                   provenance: bool = False) -> DataFrame:
+                   provenance: bool = False, hidden: str = "error") -> DataFrame:
     """Read a directory tree into ``path, rel_path, text, size_bytes, modified, last_modified_fmt``.
 
+    Spark's file sources do not show files or folders whose names start with ``_`` or ``.``. With
+    ``hidden="error"`` a wanted file among them fails the read; ``"skip"`` leaves them out.
+
     ``provenance``: add ``task`` (the Spark partition that read the file), the counterpart of
     the worker-thread field of a thread-pool indexer.
     """
-    raw = spark.read.text(root, wholetext=True, recursiveFileLookup=True)
+    if hidden == "error":
+        _refuse_hidden(spark, root, extensions)
+    reader = spark.read
+    if extensions is not None:  # other files are neither listed nor opened
+        reader = reader.option("pathGlobFilter", "*{" + ",".join(extensions) + "}")
+    raw = reader.text(root, wholetext=True, recursiveFileLookup=True)
     df = raw.select(
         F.col("_metadata.file_path").alias("path"),
         F.col("value").alias("raw"),

@@ -12,19 +12,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 RECORD_SEPARATOR = "\n.I "
-_ID = r"^(?:\.I )?(\d+)"
-_HEADER = r"^(?:\.I )?\d+[^\n]*(?:\n\.W[^\n]*)?(?:\n|\z)"
+_HEADER = r"^(?:\.I )?(\d+)[ \t]*\n\.W[ \t]*(?:\n|\z)"
 
 
 def parse_smart(records: DataFrame, value_col: str = "value", id_name: str = "id",
                 body_name: str = "body") -> DataFrame:
-    """Turn raw records (text between separators) into ``id BIGINT, body STRING``."""
+    """Turn raw records (text between separators) into ``id BIGINT, body STRING``.
+
+    A record needs its whole header, a number and a ``.W`` line. Text that was cut at a body line
+    starting with ``.I `` has none; it fails the read, since its place in the file is unknown
+    and leaving it out would lose text.
+    """
     v = F.regexp_replace(F.col(value_col), r"\r\n?", "\n")
-    rid = F.regexp_extract(v, _ID, 1)
+    blank = F.rlike(v, F.lit(r"\A\s*\z"))
+    rid = F.when(F.rlike(v, F.lit(_HEADER)), F.regexp_extract(v, _HEADER, 1).cast("bigint")).otherwise(
+        F.raise_error(F.concat(F.lit("not a whole record header: "), F.substring(v, 1, 60))).cast("bigint"))
     body = F.regexp_replace(F.regexp_replace(v, _HEADER, ""), r"\n+\z", "")
-    return (records.select(rid.alias("_id"), body.alias(body_name))
-            .where(F.col("_id") != "")
-            .select(F.col("_id").cast("bigint").alias(id_name), body_name))
+    return records.where(~blank).select(rid.alias(id_name), body.alias(body_name))
 
 
 def read_smart(spark: SparkSession, path: str, id_name: str = "id", body_name: str = "body") -> DataFrame:
