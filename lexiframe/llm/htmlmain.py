@@ -29,6 +29,7 @@ RAW = ("script", "style", "noscript", "template", "textarea", "title", "svg", "i
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = set("a abbr b bdi bdo big cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr acronym".split())
 BOILER = set("nav footer aside form menu button dialog fieldset head".split())
+PROSE = set("p h1 h2 h3 h4 h5 h6 br b strong i em blockquote pre article main".split())
 MAIN = ("article", "main")
 CLASSES = re.compile(r"(?i)(?:^|[\s_-])(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|cookies?|consent|notices?|popup|modal|sidebar|menu|nav\w*|breadcrumbs?|"
                      r"footer|masthead|share|social|related|newsletter|subscribe|comments?|disqus|replies|responses)(?:$|[\s_-])")
@@ -133,7 +134,7 @@ def prior(feature: str) -> tuple[float, float]:
         return 0.5, 10.0
     if feature.startswith("w:"):
         return (1.0, 2.0) if feature in ("w:a", "w:body", "w:other") else (3.0, 1.0)
-    return 1.0, 2.0
+    return (1.0, 1.0) if feature.lstrip("</") in PROSE else (1.0, 2.0)
 
 
 def weight(feature: str, seen: dict[str, tuple[int, int]], totals: tuple[int, int]) -> float:
@@ -160,8 +161,8 @@ def train(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", sam
             for h in b["html"]:
                 for kind, feature, _t, _boil, n, main in tokens(h or ""):
                     (inside if main else outside)[feature] += n if kind == "t" else 1
-        keys = sorted(inside.keys() | outside.keys())
-        yield pd.DataFrame({"f": keys, "a": [inside[k] for k in keys], "b": [outside[k] for k in keys]})
+        if keys := sorted(inside.keys() | outside.keys()):
+            yield pd.DataFrame({"f": keys, "a": [inside[k] for k in keys], "b": [outside[k] for k in keys]})
 
     got = rows.mapInPandas(count, "f string, a long, b long").groupBy("f").agg(F.sum("a").alias("a"), F.sum("b").alias("b")).collect()  # one row per element name
     seen = {r["f"]: (r["a"], r["b"]) for r in got}
@@ -185,10 +186,16 @@ def main_text(page: str | None, weights: dict[str, float]) -> str:
     """The blocks of the best region, one a line."""
     toks = tokens(page or "")
     scores = []
-    for kind, feature, _t, _boil, n, _main in toks:
+    was = False
+    for kind, feature, _t, boil, n, main in toks:
         w = weights.get(feature)
         if w is None:
             w = weight(feature, {}, (0, 0))
+        if kind != "t" and main:  # an element amid the main one breaks nothing off
+            w = max(w, -0.2)
+        if boil and (was or kind == "t"):  # left out in any case; only its first tag scores
+            w = 0.0
+        was = boil
         scores.append(w * n if kind == "t" else w)
     a, b = best_region(scores)
     while a > 0 and toks[a - 1][0] != "b":  # whole blocks
