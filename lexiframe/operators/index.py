@@ -19,9 +19,13 @@ merge of partial indexes (union + key check).
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -106,41 +110,78 @@ class CorpusIndex:
         return self.field_lengths(name).select(F.sum("n_tokens")).scalar()
 
     # ---- persistence ---------------------------------------------------------------------
-    def save(self, path: str, mode: str = "overwrite") -> None:
-        """Write docs, postings (partitioned by field, sorted by term), lengths and dictionary.
+    def save(self, path: str) -> None:
+        """Write the index as one new segment folder below ``path`` and make it the current version.
 
-        When the per-document term arrays are at hand (a fresh build), they are written once as
-        ``term_vectors`` and postings / lengths are derived from that written table: the
-        tokenizer runs once, without caching the collection, and the lineage is cut there.
+        A reader sees the version named by the last commit, written when the segment is complete:
+        a crash before leaves the old version (or none), never half of the new one.
         """
-        path = path.rstrip("/")
         spark = self.docs.sparkSession
-        postings, doc_fields = self.postings, self.doc_fields
-        if self.forward is not None:
-            self.forward.write.mode(mode).partitionBy("field").parquet(f"{path}/term_vectors")
-            fwd = spark.read.parquet(f"{path}/term_vectors")
-            postings, doc_fields = _postings_from(fwd, self.key), _lengths_from(fwd, self.key)
-        self.docs.write.mode(mode).parquet(f"{path}/docs")
-        (postings.sortWithinPartitions("field", "term")
-         .write.mode(mode).partitionBy("field").parquet(f"{path}/postings"))
-        doc_fields.write.mode(mode).partitionBy("field").parquet(f"{path}/doc_fields")
-        terms = self.terms
-        if terms is None:  # aggregate the written postings (read back: partition-pruned columns)
-            terms = spark.read.parquet(f"{path}/postings").groupBy("field", "term").agg(
-                F.count(F.lit(1)).alias("df"), F.sum("tf").cast("bigint").alias("cf"))
-        terms.write.mode(mode).partitionBy("field").parquet(f"{path}/terms")
+        before = _last_commit(spark, path)
+        _commit(spark, path, before, [_write_segment(self, path)])
 
     @classmethod
     def load(cls, spark: SparkSession, path: str, key: str = "doc_id",
              fields: Sequence[FieldSpec] = DOCUMENT_FIELDS) -> "CorpusIndex":
-        path = path.rstrip("/")
-        postings = spark.read.parquet(f"{path}/postings")
-        doc_fields = spark.read.parquet(f"{path}/doc_fields")
-        cols = ["field", key, "term", "tf", "doc_len"]
-        terms = spark.read.parquet(f"{path}/terms").select("field", "term", "df", "cf")
-        return cls(spark.read.parquet(f"{path}/docs"), postings.select(*cols),
-                   doc_fields.select("field", key, "n_terms", "n_tokens", "tf_sq"), key, tuple(fields),
-                   None, terms)
+        """The version of the last commit; FileNotFoundError if there is none."""
+        last = _last_commit(spark, path)
+        if last is None:
+            raise FileNotFoundError(f"no index at {path}")
+        segments = last["segments"]
+
+        def part(name: str) -> DataFrame:
+            tables = [spark.read.parquet(f"{path.rstrip('/')}/{s['name']}/{name}") for s in segments]
+            return reduce(DataFrame.unionByName, tables)
+
+        terms = part("terms").select("field", "term", "df", "cf")
+        if len(segments) > 1:  # df and cf add up over disjoint document sets
+            terms = sum_dictionaries([terms])
+        forward = part("term_vectors").select(key, "field", "terms", "n_tokens") if all(s["vectors"] for s in segments) else None
+        return cls(part("docs"), part("postings").select("field", key, "term", "tf", "doc_len"),
+                   part("doc_fields").select("field", key, "n_terms", "n_tokens", "tf_sq"), key, tuple(fields), forward, terms)
+
+
+def _write_segment(index: CorpusIndex, path: str) -> dict:
+    """Docs, postings (partitioned by field, sorted by term), lengths and dictionary in a new folder.
+
+    When the per-document term arrays are at hand, they are written once as ``term_vectors`` and
+    postings / lengths are derived from that written table: the tokenizer runs once, without caching
+    the collection, and the lineage is cut there.
+    """
+    spark = index.docs.sparkSession
+    name = f"seg-{uuid.uuid4().hex[:12]}"
+    base = f"{path.rstrip('/')}/{name}"
+    postings, doc_fields = index.postings, index.doc_fields
+    if index.forward is not None:
+        index.forward.write.partitionBy("field").parquet(f"{base}/term_vectors")
+        fwd = spark.read.parquet(f"{base}/term_vectors")
+        postings, doc_fields = _postings_from(fwd, index.key), _lengths_from(fwd, index.key)
+    index.docs.write.parquet(f"{base}/docs")
+    postings.sortWithinPartitions("field", "term").write.partitionBy("field").parquet(f"{base}/postings")
+    doc_fields.write.partitionBy("field").parquet(f"{base}/doc_fields")
+    terms = index.terms
+    if terms is None:  # aggregate the written postings (read back: partition-pruned columns)
+        terms = spark.read.parquet(f"{base}/postings").groupBy("field", "term").agg(
+            F.count(F.lit(1)).alias("df"), F.sum("tf").cast("bigint").alias("cf"))
+    terms.write.partitionBy("field").parquet(f"{base}/terms")
+    return {"name": name, "vectors": index.forward is not None}
+
+
+def _last_commit(spark: SparkSession, path: str) -> dict | None:
+    """The newest commit, or None where nothing was ever committed. Any other failure to read it is
+    raised: an index that cannot be read is not an absent one."""
+    try:
+        lines = spark.read.text(f"{path.rstrip('/')}/commits").collect()  # one short line per write
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    return max((json.loads(r["value"]) for r in lines), key=lambda c: c["n"], default=None)
+
+
+def _commit(spark: SparkSession, path: str, before: dict | None, segments: list[dict]) -> None:
+    line = json.dumps({"n": (before["n"] + 1) if before else 1, "segments": segments})
+    spark.createDataFrame([(line,)], "value string").coalesce(1).write.mode("append").text(f"{path.rstrip('/')}/commits")
 
 
 def _field_rows(docs: DataFrame, key: str, spec: FieldSpec) -> DataFrame:
@@ -264,7 +305,7 @@ def append_docs(index: CorpusIndex, new_docs: DataFrame, on_duplicate: str = "er
         if clash.limit(1).count() > 0:
             raise DuplicateKeyError(f"append: {key} values already indexed")
     elif on_duplicate == "skip":
-        new_docs = new_docs.join(broadcast_if_small(clash), key, "left_anti")
+        new_docs = new_docs.join(broadcast_if_small(clash), key, "left_anti").dropDuplicates([key])
     else:
         raise ValueError(on_duplicate)
     dup = new_docs.groupBy(key).count().where("count > 1")
@@ -299,11 +340,14 @@ def upsert_docs(index: CorpusIndex, updates: DataFrame, order_col: str | None =
     upd = updates.select(*index.docs.columns)
     keys = broadcast_if_small(_keys(upd, key))
     add = build_index(upd, key, index.fields, min_partitions)
+    forward = None
+    if index.forward is not None:
+        forward = index.forward.join(keys, key, "left_anti").unionByName(add.forward)
     return CorpusIndex(
         index.docs.join(keys, key, "left_anti").unionByName(add.docs),
         index.postings.join(keys, key, "left_anti").unionByName(add.postings),
         index.doc_fields.join(keys, key, "left_anti").unionByName(add.doc_fields),
-        key, index.fields)
+        key, index.fields, forward)
 
 
 def sum_dictionaries(dicts: Sequence[DataFrame]) -> DataFrame:
@@ -336,48 +380,48 @@ def merge_indexes(parts: Sequence[CorpusIndex], check_keys: bool = True) -> Corp
 
 # ---- open modes on a persisted index -----------------------------------------------------------
 
-OPEN_MODES = ("create", "append", "create_or_append")
+OPEN_MODES = ("create", "append", "create_or_append", "update")
 
 
 def index_exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(f"{path.rstrip('/')}/docs").limit(0).collect()
-        return True
-    except Exception:  # noqa: BLE001 - a missing path raises an AnalysisException
-        return False
+    """Whether a version was committed; folders without a commit are no index."""
+    return _last_commit(spark, path) is not None
 
 
 def write_index(spark: SparkSession, docs: DataFrame, path: str, mode: str = "create", key: str = "doc_id",
-                fields: Sequence[FieldSpec] = DOCUMENT_FIELDS, on_duplicate: str = "error") -> CorpusIndex:
-    """Index ``docs`` into ``path``: create (replace), append (key-checked) or create_or_append.
-
-    Append writes only the new documents' rows (parquet append); keys already present are an
-    error (or skipped), so re-running an append never duplicates documents.
+                fields: Sequence[FieldSpec] = DOCUMENT_FIELDS, on_duplicate: str = "error",
+                order_col: str | None = None) -> CorpusIndex:
+    """Index ``docs`` into ``path``: create (replace), append, create_or_append or update.
+
+    Append writes a segment with the new documents only. A key that the index or the batch itself
+    already has is an error, or with ``on_duplicate="skip"`` left out (of a key that the batch
+    repeats, one row is taken), so re-running an append never duplicates documents. Update replaces
+    documents by key and adds the others; it writes the resulting version to a new segment. A batch
+    with repeated keys needs ``order_col`` there (the newest row wins). Each write becomes visible by
+    one commit at its end.
     """
     if mode not in OPEN_MODES:
         raise ValueError(f"mode must be one of {OPEN_MODES}")
-    exists = index_exists(spark, path)
-    if mode == "create" or (mode == "create_or_append" and not exists):
-        idx = build_index(docs, key, fields)
-        idx.save(path, "overwrite")
-        return CorpusIndex.load(spark, path, key, fields)
-    if not exists:
+    before = _last_commit(spark, path)
+    if before is None and mode == "append":
         raise FileNotFoundError(f"no index at {path}")
+    if mode == "update" and order_col is not None:
+        docs = latest_per_key(docs, key, order_col)
+    if mode in ("append", "create_or_append") and on_duplicate == "skip":
+        docs = docs.dropDuplicates([key])
+    elif docs.groupBy(key).count().where("count > 1").limit(1).count() > 0:
+        raise DuplicateKeyError(f"{mode}: duplicate {key} inside the batch")
+    if before is None or mode == "create":
+        build_index(docs, key, fields).save(path)
+        return CorpusIndex.load(spark, path, key, fields)
     base = CorpusIndex.load(spark, path, key, fields)
-    new_keys = broadcast_if_small(_keys(docs, key))
-    clash = base.docs.select(key).join(new_keys, key, "left_semi")
+    if mode == "update":
+        upsert_docs(base, docs).save(path)
+        return CorpusIndex.load(spark, path, key, fields)
+    clash = base.docs.select(key).join(_keys(docs, key), key, "left_semi")
     if on_duplicate == "error" and clash.limit(1).count() > 0:
         raise DuplicateKeyError(f"append: {key} values already indexed")
-    add_docs = docs.join(broadcast_if_small(clash), key, "left_anti") if on_duplicate == "skip" else docs
-    add = build_index(add_docs.select(*base.docs.columns), key, fields)
-    path = path.rstrip("/")
-    add.docs.write.mode("append").parquet(f"{path}/docs")
-    add.postings.write.mode("append").partitionBy("field").parquet(f"{path}/postings")
-    add.doc_fields.write.mode("append").partitionBy("field").parquet(f"{path}/doc_fields")
-    # df and cf add up over disjoint document sets: new dictionary = old + batch (vocabulary-sized
-    # work, no pass over the stored postings)
-    sum_dictionaries([base.term_dictionary(), add.term_dictionary()]) \
-        .write.mode("overwrite").partitionBy("field").parquet(f"{path}/terms_next")
-    # a path cannot be overwritten while it is read: stage the new dictionary, then copy it over
-    spark.read.parquet(f"{path}/terms_next").write.mode("overwrite").partitionBy("field").parquet(f"{path}/terms")
+    add = docs.join(clash, key, "left_anti") if on_duplicate == "skip" else docs
+    segment = _write_segment(build_index(add.select(*base.docs.columns), key, fields), path)
+    _commit(spark, path, before, [*before["segments"], segment])
     return CorpusIndex.load(spark, path, key, fields)

@@ -10,6 +10,7 @@ folder and read back as parquet (collections larger than memory).
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from urllib.parse import quote
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -69,7 +70,7 @@ class Context:
             index_dir = self.spark.conf.get(INDEX_DIR_CONF, None)
             if index_dir:
                 # collections larger than memory: a saved index (built once) read back as parquet
-                path = f"{index_dir.rstrip('/')}/{self.sf_dir.strip('/').replace('/', '_')}"
+                path = f"{index_dir.rstrip('/')}/{quote(self.sf_dir, safe='')}"
                 if not index_exists(self.spark, path):
                     build_index(self.documents_spread.select(*cols), "doc_id").save(path)
                 self.memo["index"] = CorpusIndex.load(self.spark, path)

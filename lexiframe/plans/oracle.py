@@ -26,6 +26,11 @@ tv AS (SELECT doc_id, term, count(*) AS tf
 dl AS (SELECT doc_id, CAST(len(toks) AS BIGINT) AS dl FROM tok),
 nd AS (SELECT count(*) AS n FROM documents)"""
 
+# term dictionary of the texts in allv
+_DICTIONARY = f"""tf AS (SELECT doc_id, term, count(*) AS tf
+       FROM (SELECT doc_id, unnest({_tok('text')}) AS term FROM allv) GROUP BY doc_id, term)
+SELECT term, count(*) AS df, CAST(sum(tf) AS BIGINT) AS cf FROM tf GROUP BY term"""
+
 # derived judgements: shared passages of C.SHINGLE tokens between a benchmark item and a document
 QRELS = f"""
 btok AS (SELECT item_id AS query_id, {_tok('text')} AS toks FROM benchmark),
@@ -320,14 +325,15 @@ SELECT doc_id, array_to_string(list_concat(ls[1:least(2, len(ls))],
     "smart_parse_topics": "SELECT item_id AS id, regexp_replace(text, '\\n+$', '') AS body FROM benchmark",
     "timestamp_formats": """SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS local_fmt,
        strftime(ts, '%Y%m%d%H%M%S%g') AS ms_fmt FROM events""",
-    "index_upsert": """WITH upd AS (SELECT d.doc_id, d.text || chr(10) || 'quality=' || CAST(l.quality AS VARCHAR)
-                          || ' toxic=' || CAST(l.toxic AS VARCHAR) AS text, 2 AS version
+    "index_upsert": f"""WITH upd AS (SELECT d.doc_id, d.text || chr(10) || 'quality=' || CAST(l.quality AS VARCHAR)
+                          || ' toxic=' || CAST(l.toxic AS VARCHAR) AS text
                     FROM documents d JOIN labels l USING (doc_id)),
-allv AS (SELECT doc_id, text, 1 AS version FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM upd)
-         UNION ALL SELECT doc_id, text, version FROM upd)
-SELECT doc_id, CAST(length(text) AS BIGINT) AS n_chars, CAST(version AS BIGINT) AS version FROM allv""",
-    "index_append": """SELECT doc_id, CAST(1 AS BIGINT) AS batch FROM documents
-UNION ALL SELECT page_id + (SELECT max(doc_id) + 1 FROM documents), CAST(2 AS BIGINT) FROM pages""",
+allv AS (SELECT doc_id, text FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM upd)
+         UNION ALL SELECT doc_id, text FROM upd),
+{_DICTIONARY}""",
+    "index_append": f"""WITH allv AS (SELECT doc_id, text FROM documents
+         UNION ALL SELECT page_id + (SELECT max(doc_id) + 1 FROM documents), html FROM pages),
+{_DICTIONARY}""",
     "partial_merge_df": f"WITH {TV} SELECT term, count(*) AS df FROM tv GROUP BY term",
     "tf_l1_vectors": f"WITH {TV} SELECT doc_id, term, round(tf / dl, 6) AS w FROM tv JOIN dl USING (doc_id)",
     "similar_tf": _similar("tf"),

@@ -20,11 +20,9 @@ from lexiframe.operators import similarity as sim
 from lexiframe.operators import terms as tm
 from lexiframe.operators import index as idxmod
 from lexiframe.operators.index import (
-    append_docs,
     build_index,
     merge_indexes,
     postings_with_positions,
-    upsert_docs,
 )
 from lexiframe.operators.sizing import scratch_path
 from lexiframe.plans.context import (
@@ -175,30 +173,31 @@ def timestamp_formats(spark, sf_dir):
 
 def index_upsert(spark, sf_dir):
     ctx = context(spark, sf_dir)
-    base_docs = ctx.documents.select("doc_id", "text", "lang", "source", F.lit(1).alias("version"))
-    base = build_index(base_docs)
+    path = scratch_path(spark, "index-upsert")
+    idxmod.write_index(spark, ctx.documents_spread.select("doc_id", "text", "lang", "source", F.lit(1).alias("version")), path)
     labels = ctx.table("labels")
     updates = (ctx.documents.join(labels, "doc_id")
                .select("doc_id",
                        F.concat(F.col("text"), F.lit("\nquality="), F.col("quality").cast("string"),
                                 F.lit(" toxic="), F.col("toxic").cast("string")).alias("text"),
                        "lang", "source", F.lit(2).alias("version")))
-    out = upsert_docs(base, updates, order_col="version")
-    return out.docs.select("doc_id", F.length("text").cast("bigint").alias("n_chars"),
-                           F.col("version").cast("bigint").alias("version"))
+    older = updates.withColumn("version", F.lit(1)).withColumn("text", F.lit("superseded"))
+    out = idxmod.write_index(spark, updates.unionByName(older), path, "update", order_col="version")
+    return tm.doc_freqs(out).select("term", "df", "cf")
 
 
 def index_append(spark, sf_dir):
     ctx = context(spark, sf_dir)
-    docs = ctx.documents.select("doc_id", "text", "lang", "source", F.lit(1).alias("batch"))
-    base = build_index(docs)
+    path = scratch_path(spark, "index-append")
+    docs = ctx.documents_spread.select("doc_id", "text", "lang", "source", F.lit(1).alias("batch"))
+    idxmod.write_index(spark, docs, path)
     offset = docs.select(F.max("doc_id") + 1).scalar()
     pages = ctx.table("pages").select((F.col("page_id") + offset).alias("doc_id"), F.col("html").alias("text"),
                                       F.lit(None).cast("string").alias("lang"), F.lit("pages").alias("source"),
                                       F.lit(2).alias("batch"))
     again = docs.join(ctx.table("labels").select("doc_id"), "doc_id", "left_semi").withColumn("batch", F.lit(2))
-    out = append_docs(base, pages.unionByName(again), on_duplicate="skip")
-    return out.docs.select("doc_id", F.col("batch").cast("bigint").alias("batch"))
+    out = idxmod.write_index(spark, pages.unionByName(again), path, "append", on_duplicate="skip")
+    return tm.doc_freqs(out).select("term", "df", "cf")
 
 
 def partial_merge_df(spark, sf_dir):

@@ -165,3 +165,57 @@ def test_registry_with_saved_index(spark):
     finally:
         spark.conf.unset(INDEX_DIR_CONF)
         context(spark, sf).release()
+
+
+def _titles(spark, rows):
+    return spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")
+
+
+def test_update_on_disk_replaces_and_adds(spark, tiny_docs, tmp_path):
+    from lexiframe.operators.index import write_index
+
+    path = str(tmp_path / "idx")
+    write_index(spark, tiny_docs, path)
+    write_index(spark, _titles(spark, [(9, "i", "en", "s")]), path, "append")
+    new = _titles(spark, [(2, "z z", "en", "s1"), (7, "a", "en", "s1"), (9, "a", "en", "s")])
+    idx = write_index(spark, new, path, "update")
+    fresh = tiny_docs.where("doc_id <> 2").unionByName(new)
+    want = {tuple(r) for r in build_index(fresh).term_dictionary().collect()}
+    assert {tuple(r) for r in idx.term_dictionary().collect()} == want
+    assert {r["doc_id"] for r in idx.forward.select("doc_id").collect()} == {1, 2, 3, 4, 7, 9}
+
+
+def test_repeated_keys_in_a_batch(spark, tiny_docs, tmp_path):
+    from lexiframe.operators.index import DuplicateKeyError, write_index
+
+    path = str(tmp_path / "idx")
+    twice = _titles(spark, [(30, "x", "en", "s"), (30, "y", "en", "s")])
+    write_index(spark, tiny_docs, path)
+    for mode in ("append", "update"):
+        with pytest.raises(DuplicateKeyError):
+            write_index(spark, twice, path, mode)
+    idx = write_index(spark, twice, path, "append", on_duplicate="skip")
+    assert idx.docs.count() == 5 and idx.forward.select("doc_id").distinct().count() == 5
+
+
+def test_folders_of_a_crashed_write_are_no_index(spark, tiny_docs, tmp_path):
+    from lexiframe.operators.index import CorpusIndex, index_exists, write_index
+
+    path = str(tmp_path / "idx")
+    tiny_docs.write.parquet(f"{path}/seg-left/docs")
+    assert not index_exists(spark, path)
+    with pytest.raises(FileNotFoundError):
+        CorpusIndex.load(spark, path)
+    assert write_index(spark, tiny_docs, path, "create_or_append").docs.count() == 4
+
+
+def test_an_unreadable_index_is_not_an_absent_one(spark, tiny_docs, tmp_path):
+    from lexiframe.operators.index import write_index
+
+    path = tmp_path / "idx"
+    write_index(spark, tiny_docs, str(path))
+    for f in (path / "commits").glob("part-*"):
+        f.write_text("not a commit\n")
+    with pytest.raises(Exception):  # noqa: B017 - whichever error reading the commits gives
+        write_index(spark, tiny_docs, str(path), "create_or_append")
+    assert len(list(path.glob("seg-*"))) == 1  # nothing was written
