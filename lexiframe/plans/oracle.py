@@ -471,3 +471,9 @@ ORACLE_SQL["wilcoxon_lineitem"] = """WITH x AS (SELECT round(l_extendedprice * (
 rk AS (SELECT d > 0 AS pos, rank() OVER (ORDER BY abs(d)) + (count(*) OVER (PARTITION BY abs(d)) - 1) / 2.0 AS rk FROM x WHERE d <> 0)
 SELECT CAST(count(*) AS BIGINT) AS n, round(coalesce(sum(CASE WHEN pos THEN rk END), 0.0), 6) AS w_plus,
        round(coalesce(sum(CASE WHEN NOT pos THEN rk END), 0.0), 6) AS w_minus FROM rk"""
+ORACLE_SQL["numeric_csv_profile"] = ORACLE_SQL["numeric_profile"]
+ORACLE_SQL["qrels_file"] = f"""WITH {TV}, {QRELS}
+SELECT query_id, CAST(0 AS INTEGER) AS iter, doc_id, CAST(1 AS INTEGER) AS rel FROM qrels"""
+# result files hold three decimals
+ORACLE_SQL["compare_result_files"] = ORACLE_SQL["paired_t_test"].replace(
+    "a.ap AS x, b.ap AS y, round(a.ap - b.ap, 9) AS d", "round(a.ap, 3) AS x, round(b.ap, 3) AS y, round(round(a.ap, 3) - round(b.ap, 3), 9) AS d")

@@ -24,6 +24,7 @@ from lexiframe.operators.index import (
     merge_indexes,
     postings_with_positions,
 )
+from lexiframe.operators.reports import write_csv, write_text
 from lexiframe.operators.sizing import scratch_path
 from lexiframe.plans.context import (
     CUT,
@@ -41,6 +42,8 @@ from lexiframe.plans.context import (
     context,
 )
 from lexiframe.sources.filetree import DEFAULT_EXTENSIONS, filter_paths
+from lexiframe.sources.csv import read_metric_csv, read_numeric_csv
+from lexiframe.sources.judgements import read_qrels
 from lexiframe.sources.smart import read_smart, write_smart
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -454,6 +457,34 @@ def wilcoxon_test(spark, sf_dir):
                     _r("w_minus").alias("w_minus"), _r("w").alias("w"), _r("z").alias("z"), _r("p").alias("p"))
 
 
+def numeric_csv_profile(spark, sf_dir):
+    """The line items' numbers written as CSV, read back by the numeric reader and profiled."""
+    path = scratch_path(spark, "numeric-csv")
+    write_csv(context(spark, sf_dir).table("lineitem").select(*PROFILE_COLUMNS), path)
+    return _profile(read_numeric_csv(spark, path), PROFILE_COLUMNS)
+
+
+def qrels_file(spark, sf_dir):
+    """The derived judgements written in the judgement file layout and read back."""
+    path = scratch_path(spark, "qrels")
+    q = context(spark, sf_dir).qrels
+    write_text(q, path, "%d %d %d %d", ["query_id", "iter", "doc_id", "rel"])
+    return read_qrels(spark, path)
+
+
+def compare_result_files(spark, sf_dir):
+    """Two runs' metric files, with their Mean rows, written, read back and compared by a t test."""
+    sides = []
+    for name, m in (("x", _eval_metrics(spark, sf_dir)), ("y", _tfidf_ap(spark, sf_dir))):
+        path = scratch_path(spark, f"metrics-{name}")
+        mean = m.agg(F.lit("Mean").alias("queryID"), F.avg("ap").alias("AP"))
+        write_csv(m.select(F.col("query_id").cast("string").alias("queryID"), F.col("ap").alias("AP")).unionByName(mean), path)
+        sides.append(read_metric_csv(spark, path).select("query_id", F.col("AP").alias("value")))
+    t = sg.paired_t_test(sg.paired_differences(*sides))
+    return t.select(F.col("n").cast("bigint").alias("n"), _r("mean").alias("mean"), _r("sd").alias("sd"),
+                    _r("t").alias("t"), F.col("df").cast("bigint").alias("df"), _r("p").alias("p"))
+
+
 def wilcoxon_lineitem(spark, sf_dir):
     """Signed ranks of discount against tax amount over every line item: n, w_plus, w_minus."""
     li = context(spark, sf_dir).table("lineitem").select(
@@ -528,4 +559,7 @@ QUERIES: dict[str, Query] = {
     "paired_t_test": paired_t_test,
     "wilcoxon_test": wilcoxon_test,
     "wilcoxon_lineitem": wilcoxon_lineitem,
+    "numeric_csv_profile": numeric_csv_profile,
+    "qrels_file": qrels_file,
+    "compare_result_files": compare_result_files,
 }
