@@ -6,7 +6,9 @@ contiguous region with the highest total. Weights are log-odds of lying in the m
 counted on labelled pages, with priors for elements that the sample lacks: words positive, tags
 negative. Pages that mark their main content with one ``article`` or ``main`` element serve as
 labelled ones. Inside the region, elements that are no article text (navigation, asides, forms,
-adverts, notices, comments of readers) are left out.
+adverts, notices, comments of readers) are left out. A class names such an element only as a
+whole, and never a heading, a paragraph, the main element or what it stands in; an id only gives
+its words a weight of their own, which is learned like any other.
 """
 
 from __future__ import annotations
@@ -25,48 +27,62 @@ from lexiframe.llm.common import on_workers
 
 SAMPLE = 400  # labelled pages that the weights are counted on
 # fixed values: elements of HTML
-RAW = ("script", "style", "noscript", "template", "textarea", "title", "svg", "iframe", "select", "math", "object", "canvas")
+RAW = ("script", "style", "noscript", "template", "textarea", "title", "svg", "iframe", "select", "canvas", "annotation", "annotation-xml")
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-INLINE = set("a abbr b bdi bdo big cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr acronym".split())
+INLINE = set("a abbr b bdi bdo big cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr acronym object".split())
+MATHML = set("math mi mn mo ms mtext mrow msub msup msubsup mfrac msqrt mroot mover munder munderover mtable mtr mtd mlabeledtr mstyle mspace mpadded "
+             "mphantom menclose merror mfenced mmultiscripts mprescripts none semantics".split())
+INLINE |= MATHML
 BOILER = set("nav footer aside form menu button dialog fieldset head".split())
 PROSE = set("p h1 h2 h3 h4 h5 h6 br b strong i em blockquote pre article main".split())
 MAIN = ("article", "main")
-CLASSES = re.compile(r"(?i)(?:^|[\s_-])(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|cookies?|consent|notices?|popup|modal|sidebar|menu|nav\w*|breadcrumbs?|"
-                     r"footer|masthead|share|social|related|newsletter|subscribe|comments?|disqus|replies|responses)(?:$|[\s_-])")
+NO_CLASS = set("p h1 h2 h3 h4 h5 h6 article main html body".split())  # what a class or id never marks
+_NAMED = (r"(?:ads?|adverts?|advertisements?|advertising|banner|sponsor(?:s|ed)?|promos?|promotions?|promoted|cookies?|consent|notices?|popup|modal|sidebar|menu|"
+          r"nav|navbar|navigation|breadcrumbs?|footer|masthead|share|sharing|social|related|newsletter|subscribe|comments?|disqus|replies|responses)")
+# a whole class or id: such words only, or with one that says what holds them
+NAMED = re.compile(rf"(?i){_NAMED}(?:[_-]{_NAMED})*(?:[_-](?:area|articles|bar|box|buttons|icons|links|list|posts|widget))?")
 ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert"}
 TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*>?|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^>\"']|\"[^\"]*(?:\"|$)|'[^']*(?:'|$))*)(?:>|$)", re.S)
 ATTR = re.compile(r"(?i)(?:^|\s)(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
 END_P = set("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 
 
-def _boiler(name: str, attrs: str, inside: bool) -> bool:
-    """Whether an element starts something that is no article text. ``inside``: in the main element,
-    where a header belongs to the article."""
+def _boiler(name: str, attrs: str, inside: bool) -> str:
+    """What an element starts: `always` or, by its class, `class` for no article text; `id` for what
+    its id alone makes doubtful; else nothing. ``inside``: in the main element, where a header
+    belongs to the article."""
     if name in BOILER or name == "header" and not inside:
-        return True
+        return "always"
+    found = ""
     for key, a, b, c in ATTR.findall(attrs) if attrs else ():
-        value = a or b or c
-        if key.lower() == "role":
+        key, value = key.lower(), a or b or c
+        if key == "role":
             if value.lower() in ROLES:
-                return True
-        elif name not in ("html", "body") and CLASSES.search(value):
-            return True
-    return False
+                return "always"
+        elif name not in NO_CLASS and any(map(NAMED.fullmatch, value.split())):
+            found = "class" if "class" in (key, found) else "id"
+    return found
 
 
 def tokens(page: str) -> list[tuple[str, str, str, bool, int, bool]]:
     """(kind, feature, text, boilerplate, words, main): kind is `t` for a text run, `b` for a block
     boundary and `i` for other tags. Raw elements, comments and declarations give no text."""
-    out: list = []
-    stack: list[tuple[str, bool, bool]] = []  # (name, boilerplate, main)
+    out: list[tuple[str, str, str, int, int]] = []  # (kind, tag, text, element, words)
+    # elements, after their parents: what stands for the page itself comes first
+    names, parent, marks, mains, words = [""], [0], [""], [False], [0]
+    stack: list[int] = []
     at, n = 0, len(page)
 
+    def here() -> int:
+        return stack[-1] if stack else 0
+
     def text(a: int, b: int) -> None:
         run = page[a:b]
         if run:
-            name, boil, main = stack[-1] if stack else ("", False, False)
             run = entities.unescape(run)
-            out.append(("t", "w:" + (("boiler/" if boil else "") + _place(name)), run, boil, len(run.split()), main))
+            k = len(run.split())
+            words[here()] += k
+            out.append(("t", "", run, here(), k))
 
     while at < n:
         m = TOKEN.search(page, at)
@@ -78,50 +94,66 @@ def tokens(page: str) -> list[tuple[str, str, str, bool, int, bool]]:
         name = (m[2] or "").lower()
         if not name:
             continue
-        if name in VOID:
-            boil, main = stack[-1][1:] if stack else (False, False)
-            out.append(("i" if name in INLINE else "b", "<" + name, "", boil, 0, main))
+        if name in VOID or name in MATHML and not m[1] and m[3].endswith("/"):
+            out.append(("i" if name in INLINE else "b", "<" + name, "", here(), 0))
             continue
         if m[1]:
-            while stack and not any(s[0] == name for s in stack):
-                name = ""
-                break
-            if name:
-                while stack and stack.pop()[0] != name:
+            if any(names[e] == name for e in stack):
+                while names[stack.pop()] != name:
                     pass
-            shown = (m[2] or "").lower()
-            boil, main = stack[-1][1:] if stack else (False, False)
-            out.append(("i" if shown in INLINE else "b", "</" + shown, "", boil, 0, main))
+            out.append(("i" if name in INLINE else "b", "</" + name, "", here(), 0))
             continue
         if name in RAW:
             end = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
             at = end.end() if end else n
-            boil, main = stack[-1][1:] if stack else (False, False)
-            out.append(("i", "<" + name, "", boil, 0, main))
+            out.append(("i", "<" + name, "", here(), 0))
             continue
         if name in END_P:  # an open paragraph ends here, with the inline elements left open in it
             for j in range(len(stack) - 1, -1, -1):
-                if stack[j][0] == "p":
+                if names[stack[j]] == "p":
                     del stack[j:]
                     break
-                if stack[j][0] not in INLINE:
+                if names[stack[j]] not in INLINE:
                     break
         if name == "li":
             for j in range(len(stack) - 1, -1, -1):
-                if stack[j][0] == "li":
+                if names[stack[j]] == "li":
                     del stack[j:]
                     break
-                if stack[j][0] in ("ul", "ol", "menu"):
+                if names[stack[j]] in ("ul", "ol", "menu"):
                     break
         if name in MAIN:  # a main element is not part of boilerplate left open before it
-            while stack and stack[-1][0] not in ("html", "body", "div", "section", "main", "article"):
+            while stack and names[stack[-1]] not in ("html", "body", "div", "section", "main", "article"):
                 stack.pop()
-        boil, main = stack[-1][1:] if stack else (False, False)
-        main = main or name in MAIN
-        boil = boil or _boiler(name, m[3] or "", main)
-        stack.append((name, boil, main))
-        out.append(("i" if name in INLINE else "b", ("<boiler:" if boil else "<") + name, "", boil, 0, main))
-    return out
+        up, e = here(), len(names)
+        names.append(name)
+        parent.append(up)
+        mains.append(mains[up] or name in MAIN)
+        marks.append(_boiler(name, m[3] or "", mains[e]))
+        words.append(0)
+        stack.append(e)
+        out.append(("i" if name in INLINE else "b", "<" + name, "", e, 0))
+
+    for e in range(len(names) - 1, 0, -1):
+        words[parent[e]] += words[e]
+    # the classes around a main element, and around the longest article, do not mark it
+    held = [e for e, x in enumerate(names) if x == "main"]
+    held += sorted((e for e, x in enumerate(names) if x == "article"), key=lambda e: -words[e])[:1]
+    for e in held:
+        while e:
+            e = parent[e]
+            marks[e] = "" if marks[e] in ("class", "id") else marks[e]
+    boil, doubt = [False], [False]
+    for e in range(1, len(names)):
+        boil.append(boil[parent[e]] or marks[e] in ("always", "class"))
+        doubt.append(doubt[parent[e]] or marks[e] == "id")
+
+    def feature(kind: str, tag: str, e: int) -> str:
+        if kind == "t":
+            return "w:" + ("boiler/" if boil[e] else "doubt/" if doubt[e] else "") + _place(names[e])
+        return "<boiler:" + tag[1:] if boil[e] and not tag.startswith("</") and tag[1:] == names[e] else tag
+
+    return [(kind, feature(kind, tag, e), run, boil[e], k, mains[e]) for kind, tag, run, e, k in out]
 
 
 def _place(name: str) -> str:
@@ -132,9 +164,11 @@ def prior(feature: str) -> tuple[float, float]:
     """Counts (in the main content, outside) that stand for no observation."""
     if "boiler" in feature:
         return 0.5, 10.0
+    if "doubt/" in feature:
+        return 1.0, 3.0
     if feature.startswith("w:"):
         return (1.0, 2.0) if feature in ("w:a", "w:body", "w:other") else (3.0, 1.0)
-    return (1.0, 1.0) if feature.lstrip("</") in PROSE else (1.0, 2.0)
+    return (1.0, 1.0) if feature.lstrip("</") in PROSE | MATHML else (1.0, 2.0)
 
 
 def weight(feature: str, seen: dict[str, tuple[int, int]], totals: tuple[int, int]) -> float:
@@ -191,6 +225,9 @@ def main_text(page: str | None, weights: dict[str, float]) -> str:
         w = weights.get(feature)
         if w is None:
             w = weight(feature, {}, (0, 0))
+        if main and "doubt/" in feature:  # an id takes no more than half from a word of the main element
+            own = feature.replace("doubt/", "")
+            w = max(w, weights.get(own, weight(own, {}, (0, 0))) / 2)
         if kind != "t" and main:  # an element amid the main one breaks nothing off
             w = max(w, -0.2)
         if boil and (was or kind == "t"):  # left out in any case; only its first tag scores

@@ -180,3 +180,18 @@ def test_views_teach_each_other():
     assert ((model.score(pool) >= 0.5) == (pool_y == 1)).mean() > 0.95
     one = cotrain.co_train([x[:5] for x in xs], np.ones(5), [p[:0] for p in pool], np.zeros(5, bool), 1.0)
     assert np.isfinite(one.score(pool)).all()
+
+
+def test_classes_and_ids_that_only_look_like_boilerplate():
+    body = "".join(f"<p>Paragraph {i} holds several plain words of text.</p>" for i in range(4))
+    plain = [f"Paragraph {i} holds several plain words of text." for i in range(4)]
+    for around in ('<article class="post has-sidebar">{}</article>', '<div class="content no-sidebar">{}</div>', '<div class="content no-sidebar"><article>{}</article></div>',
+                   '<div class="sidebar"><main>{}</main></div>', '<div id="social"><article class="related">{}</article></div>',
+                   '<section id="social-impact">{}</section>', '<div class="comments-on-the-method">{}</div>'):
+        assert htmlmain.main_text(page(around.format(body)), {}).split("\n") == plain, around
+    inner = f'{body}<h2 id="related-work" class="related">Other work</h2><section id="related">{body}</section><p class="notice">Last words of it.</p>'
+    assert htmlmain.main_text(page(f"<article>{inner}</article>"), {}).split("\n") == [*plain, "Other work", *plain, "Last words of it."]
+    teaser = "<div class='related-posts'><article><p>Read this teaser too</p></article></div>"
+    assert htmlmain.main_text(page(f"<main><article>{body}</article>{teaser}</main>"), {}).split("\n") == plain
+    formula = "<p>Energy is <math><mi>E</mi><mspace/><mo>=</mo><mi>m</mi><annotation>E=m</annotation></math> and <object>a drawing</object> here.</p>"
+    assert htmlmain.main_text(page(f"<article>{body}{formula}</article>"), {}).split("\n") == [*plain, "Energy is E=m and a drawing here."]
