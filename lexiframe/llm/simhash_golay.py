@@ -26,7 +26,7 @@ from functools import cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexiframe.llm.common import cut, on_workers
@@ -119,14 +119,23 @@ def fingerprint(text: str | None, shingle: int) -> int:
 def simhash(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
     """(id, fp bigint) for every row of ``docs``, repeated rows and null ids included. A null or
     blank text has fingerprint 0; a text of fewer than ``shingle`` words is one shingle."""
+    return _fingerprints(docs, id_col, text_col, shingle).select(id_col, "fp")
+
+
+def _text_hash(text_col: str) -> Column:
+    return F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
+
+
+def _fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
+    """``simhash`` with the hash of the whole text, which names a row's text beside its id."""
     on_workers(docs.sparkSession)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield pd.DataFrame({"id": b["id"], "fp": np.fromiter((fingerprint(t, shingle) for t in b["text"]), np.int64, len(b))})
+            yield pd.DataFrame({"id": b["id"], "_lx_hash": b["hash"], "fp": np.fromiter((fingerprint(t, shingle) for t in b["text"]), np.int64, len(b))})
 
-    rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInPandas(run, "id bigint, fp bigint").withColumnRenamed("id", id_col)
+    rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"), _text_hash(text_col).alias("hash"))
+    return rows.mapInPandas(run, "id bigint, _lx_hash bigint, fp bigint").withColumnRenamed("id", id_col)
 
 
 def _local_stars(a: np.ndarray, b: np.ndarray) -> pd.DataFrame:
@@ -209,7 +218,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     others. Repeated rows each get a row; null ids join groups but are no component id (a group
     of null ids only has a null one). An empty table gives an empty result.
     """
-    fps = cut(simhash(docs, id_col, text_col, shingle))
+    return _grouped(docs, id_col, text_col, shingle, max_bits).drop("_lx_hash")
+
+
+def _grouped(docs: DataFrame, id_col: str, text_col: str, shingle: int, max_bits: int) -> DataFrame:
+    fps = cut(_fingerprints(docs, id_col, text_col, shingle))
     nodes = cut(fps.groupBy("fp").agg(F.min(id_col).alias("low")))
     roots = connected_components(close_links(nodes, max_bits))
     named = nodes.join(roots, nodes["fp"] == roots["node"], "left").select(
@@ -217,15 +230,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     lows = named.groupBy("root").agg(F.min("low").alias("component_id"))
     classes = cut(named.join(lows, "root").select("fp", "component_id"))
     return fps.join(classes, "fp").select(
-        id_col, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+        id_col, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "_lx_hash")
 
 
 def keep_one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
                        max_bits: int = MAX_BITS) -> DataFrame:
-    """The rows of ``docs`` whose id is their group's component id, with all their columns. Rows
-    that repeat id and text are one document; a row with a null id, which no group can be named
-    by, stays."""
-    out = near_duplicates(docs, id_col, text_col, shingle, max_bits)
-    gone = out.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("_lx_gone")).distinct()
-    kept = docs.join(gone, F.col(id_col) == F.col("_lx_gone"), "left_anti")
+    """The rows of ``docs`` whose id is their group's component id, with all their columns. A row
+    is judged by its id and text: an id that stands on several texts keeps those whose group it
+    names. Rows that repeat id and text are one document; a row with a null id, which no group can
+    be named by, stays."""
+    out = _grouped(docs, id_col, text_col, shingle, max_bits)
+    gone = out.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("_lx_gone"), F.col("_lx_hash").alias("_lx_text")).distinct()
+    kept = docs.join(gone, (F.col(id_col) == F.col("_lx_gone")) & (_text_hash(text_col) == F.col("_lx_text")), "left_anti")
     return kept.dropDuplicates([id_col, text_col])

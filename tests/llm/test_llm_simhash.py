@@ -100,3 +100,9 @@ def test_components_of_a_chain_and_a_star(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 30)] + [(7, 7), (None, 3)]
     got = {x["node"]: x["root"] for x in graph.connected_components(spark.createDataFrame(edges, "u bigint, v bigint")).collect()}
     assert got == {i: 0 for i in range(41)} | {100 + i: 100 for i in range(30)}
+
+
+def test_one_id_on_two_texts_loses_no_group(rows_of):
+    x, y, z = (" ".join(f"{k}{i}" for i in range(60)) for k in "xyz")
+    kept = s.keep_one_per_group(rows_of([(3, y), (5, x), (5, y), (9, x), (9, z), (9, z), (None, x)]))
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in kept.collect()) == [(0, x), (3, y), (5, x), (9, z)]
