@@ -10,6 +10,7 @@ language is that of the most letters.
 from __future__ import annotations
 
 import re
+import sys
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -26,12 +27,20 @@ SAMPLE_PER_LANG = 1500  # training documents per language, by the hash of their
 SWITCH = 10.0  # log-score that a change of language costs
 FLOOR = -6.0  # least log-score of a word in a candidate language
 CHUNK = 1500  # documents labelled together
-WORD = re.compile(r"[^\W\d_]+")
+RUN = re.compile(r"[^\W\d_]+")  # also takes numbers that are no decimal digits (superscripts, fractions, circled and Roman ones)
+_NUMBERS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
+WORD = re.compile(rf"[^\W\d_{_NUMBERS}]+")  # letters only; slower
 # fixed values: first code points of script blocks, in order; a letter's script is the block it falls in
 SCRIPTS = np.array([0x0000, 0x0370, 0x0400, 0x0530, 0x0590, 0x0600, 0x0900, 0x0E00, 0x10A0, 0x1100, 0x1200, 0x1E00, 0x1F00, 0x2000,
                     0x3040, 0x3100, 0x3400, 0xAC00, 0xD800, 0xF900])
 
 
+def words_of(t: str) -> list[str]:
+    """The words of letters: those of ``WORD``."""
+    words = RUN.findall(t)
+    return words if all(map(str.isalpha, words)) else WORD.findall(t)
+
+
 def script_of(words: list[str]) -> np.ndarray:
     return np.searchsorted(SCRIPTS, np.fromiter((ord(w[0]) for w in words), np.int64, len(words)), side="right") - 1
 
@@ -154,7 +163,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
         for b in batches:
             for t, lang in zip(b["text"], b["lang"], strict=True):
                 c = total.setdefault(lang, np.zeros(BUCKETS + len(SCRIPTS), np.int64))
-                if words := WORD.findall((t or "").lower()):
+                if words := words_of((t or "").lower()):
                     c[:BUCKETS] += np.bincount(grams(words)[1], minlength=BUCKETS)
                     c[BUCKETS:] += np.bincount(script_of(words), minlength=len(SCRIPTS))
         for lang, c in total.items():
@@ -199,7 +208,7 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
 
 
 def _identify(texts: list, model: Model) -> list[tuple]:
-    docs = [WORD.findall(t.lower()) if t else [] for t in texts]
+    docs = [words_of(t.lower()) if t else [] for t in texts]
     out = []
     for t, words, labels in zip(texts, docs, model.label(docs), strict=True):
         if not len(words):
@@ -211,7 +220,8 @@ def _identify(texts: list, model: Model) -> list[tuple]:
         cuts = np.flatnonzero(np.diff(labels)) + 1
         first, last = np.concatenate([[0], cuts]), np.concatenate([cuts, [len(words)]]) - 1
         if len(words) and len(t) == len(t.lower()):
-            at = [m.span() for m in WORD.finditer(t.lower())] if len(cuts) else None
+            word = RUN if len(cuts) and all(map(str.isalpha, RUN.findall(t))) else WORD
+            at = [m.span() for m in word.finditer(t.lower())] if len(cuts) else None
             ends = [(at[a][0], at[b][1]) for a, b in zip(first, last, strict=True)] if at else [_outer(t)]
         else:  # lower-casing changed the length: positions from the text itself
             at = [m.span() for m in WORD.finditer(t)]
@@ -224,6 +234,6 @@ def _identify(texts: list, model: Model) -> list[tuple]:
 def _outer(t: str) -> tuple[int, int]:
     a = WORD.search(t).start()
     b = len(t)
-    while not (t[b - 1].isalpha()):
+    while b > a and not t[b - 1].isalpha():
         b -= 1
     return a, b

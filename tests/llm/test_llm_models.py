@@ -195,3 +195,12 @@ def test_classes_and_ids_that_only_look_like_boilerplate():
     assert htmlmain.main_text(page(f"<main><article>{body}</article>{teaser}</main>"), {}).split("\n") == plain
     formula = "<p>Energy is <math><mi>E</mi><mspace/><mo>=</mo><mi>m</mi><annotation>E=m</annotation></math> and <object>a drawing</object> here.</p>"
     assert htmlmain.main_text(page(f"<article>{body}{formula}</article>"), {}).split("\n") == [*plain, "Energy is E=m and a drawing here."]
+
+
+def test_numbers_that_are_no_letters(spark, lang_model):
+    texts = ["½", "3² = 9", "① Ⅷ", "x² кот½", "½ кот ²"]
+    got = langid.identify(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"), lang_model).orderBy("doc_id").collect()
+    assert [(r["lang_pred"], r["lang_score"], r["lang_spans"]) for r in got[:3]] == [("und", 0.0, [])] * 3
+    assert got[3]["lang_pred"] == "ru"
+    assert [(texts[4][s["start"] : s["end"]], s["lang"]) for s in got[4]["lang_spans"]] == [("кот", "ru")]
+    assert all(langid.WORD.fullmatch(c) is not None for c in "aßжقक漢") and langid.WORD.findall("a¼b٣c_dⅧ") == ["a", "b", "c", "d"]
