@@ -204,3 +204,21 @@ def test_numbers_that_are_no_letters(spark, lang_model):
     assert got[3]["lang_pred"] == "ru"
     assert [(texts[4][s["start"] : s["end"]], s["lang"]) for s in got[4]["lang_spans"]] == [("кот", "ru")]
     assert all(langid.WORD.fullmatch(c) is not None for c in "aßжقक漢") and langid.WORD.findall("a¼b٣c_dⅧ") == ["a", "b", "c", "d"]
+
+
+def test_threat_sequences_and_reports_behind(spark):
+    lex = toxicity.Lexicon({"idiot": 2.0, "kill": 2.0, "zorfel": 2.0}, {}, frozenset({"zorfel"}))
+    def labels(t):
+        return {n for n, v in zip(toxicity.LABELS, toxicity.features(t, lex)) if v > 0}
+    assert labels("I will end you") == labels("I'm sure we'll crush them") == labels("ich werde dich vernichten") == {"ht"}
+    assert labels("I will never end you") == {"htn"} and labels("te voy a destruir") == {"ht"}
+    assert labels("I will end the meeting soon") == labels("the end of you") == labels("a piece of cake") == set()
+    assert labels("you piece of garbage") == {"it"} and labels("they zorfel") == {"ht"}
+    assert labels('"you idiot", he said') == labels('"You idiot! Get out!" he said.') == {"itr"}
+    assert labels('"You idiot!" It was late. He said so.') == {"it"} and labels("you idiot. He said no.") == {"it"}
+    mean = [(i, f"i will zorfel you n{i} m{i} k{i}") for i in range(30)] + [(i, f"what a grumbit n{i} m{i} k{i} day") for i in range(30, 60)]
+    kind = [(i, f"a fine day n{i} m{i} k{i} with you and will i what") for i in range(60, 160)]
+    docs = spark.createDataFrame(mean + kind, "doc_id bigint, text string")
+    model = toxicity.train(docs, docs.selectExpr("doc_id", "int(doc_id < 60) AS toxic"))
+    assert model.score("what a grumbit") > model.score("i will crush you") > model.score("a day")
+    assert model.lexicon.read("zorfel")[0] == toxicity.THREAT and model.lexicon.read("grumbit")[0] == toxicity.INSULT
