@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexiframe.llm.common import on_workers
+from lexiframe.llm.common import cut, on_workers
 from lexiframe.llm.fit import logistic, sigmoid
 
 # fixed values: closed classes and seeds, English, German, French and Spanish
@@ -246,15 +246,15 @@ def _sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, labe
     return rows.withColumn("h", F.array_min(grams)).drop("_w").dropDuplicates(["h"])
 
 
-def _evidence(t: int, c: int, n_tox: int, n_clean: int) -> tuple[float, float]:
-    """(smoothed toxic share in a balanced sample, G² of t toxic texts among t + c)."""
+def _evidence(n_tox: int, n_clean: int) -> tuple[Column, Column]:
+    """(smoothed toxic share in a balanced sample, G² of ``tox`` toxic texts among ``tox + clean``)."""
+    t, c = F.col("tox"), F.col("clean")
     a, b = (t + 0.2) / (n_tox + 1), (c + 0.2) / (n_clean + 1)
     p = n_tox / max(1, n_tox + n_clean)
-    n = t + c
-    if not n or not 0 < p < 1:
-        return a / (a + b), 0.0
-    g = 2 * sum(x * math.log(x / (n * q)) for x, q in ((t, p), (c, 1 - p)) if x)
-    return a / (a + b), g
+    if not 0 < p < 1:
+        return a / (a + b), F.lit(0.0)
+    g = sum((F.when(x > 0, x * F.log(x / ((t + c) * q))).otherwise(0.0) for x, q in ((t, p), (c, 1 - p))), F.lit(0.0))
+    return a / (a + b), 2 * g
 
 
 def _arcs(rows: DataFrame, known: set[str], lengths: tuple[int, ...], share: float, evidence: float) -> dict[str, float]:
@@ -272,14 +272,11 @@ def _arcs(rows: DataFrame, known: set[str], lengths: tuple[int, ...], share: flo
         yield pd.DataFrame({"f": [*keys, ""], "tox": [*(count[1][k] for k in keys), n[1]], "clean": [*(count[0][k] for k in keys), n[0]]})
 
     counts = rows.mapInPandas(parts, "f string, tox long, clean long").groupBy("f").agg(F.sum("tox").alias("tox"), F.sum("clean").alias("clean"))
-    got = counts.where("f = '' or tox >= 4 and tox > clean").orderBy(F.col("f") != "", F.desc("tox"), "f").limit(20_000).collect()
-    n_tox, n_clean = (got[0]["tox"], got[0]["clean"]) if got and got[0]["f"] == "" else (0, 0)
-    out = {}
-    for r in got:
-        p, g = _evidence(r["tox"], r["clean"], n_tox, n_clean)
-        if r["f"] and p >= share and g >= evidence:
-            out[r["f"]] = math.log(p / (1 - p))
-    return out
+    counts = cut(counts)  # parts of the sample's words
+    total = counts.where("f = ''").first()
+    p, g = _evidence(total["tox"], total["clean"]) if total else _evidence(0, 0)
+    passed = counts.where("f <> '' and tox >= 4 and tox > clean").select("f", p.alias("p"), g.alias("g")).where((F.col("p") >= share) & (F.col("g") >= evidence))
+    return {r["f"]: math.log(r["p"] / (1 - r["p"])) for r in passed.orderBy("f").collect()}  # at least 4 texts of the sample hold each
 
 
 def _threats(rows: DataFrame, lex: Lexicon) -> frozenset[str]:
@@ -319,7 +316,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     same on the texts that no such word explains. Without labels only the seeds are left.
     """
     on_workers(docs.sparkSession)
-    rows = _sample(docs, labels, id_col, text_col, label_col, train_rows, per_class)
+    rows = cut(_sample(docs, labels, id_col, text_col, label_col, train_rows, per_class))  # read four times
     words = _arcs(rows, set(), (0,), share, evidence)
     stems = _arcs(rows, {*words, *INSULT_SEEDS}, tuple(STEMS), share, evidence)
     stems = {x: v for x, v in stems.items() if not any(x[:k] in stems for k in STEMS if k < len(x))}

@@ -222,3 +222,10 @@ def test_threat_sequences_and_reports_behind(spark):
     model = toxicity.train(docs, docs.selectExpr("doc_id", "int(doc_id < 60) AS toxic"))
     assert model.score("what a grumbit") > model.score("i will crush you") > model.score("a day")
     assert model.lexicon.read("zorfel")[0] == toxicity.THREAT and model.lexicon.read("grumbit")[0] == toxicity.INSULT
+
+
+def test_every_arc_with_evidence_is_learned(spark):
+    # 21,000 words in 25 toxic texts come before the one in 20
+    many = [(" ".join(f"x{chr(97 + i // 676 % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i % 26)}{chr(97 + i // 17576)}" for i in range(21_000)), 1, i) for i in range(25)]
+    df = spark.createDataFrame(many + [("zzgrumbit", 1, 90 + i) for i in range(20)] + [("fine", 0, 200 + i) for i in range(45)], "text string, y int, h long")
+    assert "zzgrumbit" in toxicity._arcs(df, set(), (0,), 0.85, 20.0)
