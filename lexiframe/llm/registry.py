@@ -8,7 +8,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from lexiframe.llm import cotrain, dualtree, htmlmain, langid, pii_weak, secret_scan, simhash_golay, spsample, toxicity, winnow
+from lexiframe.llm import (
+    bpe_segtree,
+    cotrain,
+    dualtree,
+    htmlmain,
+    langid,
+    merkle,
+    pii_weak,
+    secret_scan,
+    simhash_golay,
+    spsample,
+    toxicity,
+    whitening,
+    winnow,
+)
 from lexiframe.llm.common import held_out, read_docs, read_table
 from lexiframe.llm.spans import count_kind, listing
 
@@ -133,6 +147,69 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_docs(spark, sf_dir, "embeddings")
+    model = whitening.fit(vectors)
+    out = whitening.whiten(vectors, model, components=32)
+    rows = out.select(F.col("id").alias("vec_id"), "deviation", F.posexplode("whitened").alias("at", "whitened"))
+    if model is None:
+        return rows.select("vec_id", F.col("at").alias("component"), F.lit(0).cast("bigint").alias("n"), "deviation", "whitened",
+                           F.lit(0.0).alias("explained"), F.lit(0.0).alias("identity_error"))
+    error = whitening.identity_error(out, model.n)
+    share = F.array(*[F.lit(x) for x in model.explained[:32]])
+    return rows.select("vec_id", (F.col("at") + 1).alias("component"), F.lit(model.n).cast("bigint").alias("n"), "deviation", "whitened",
+                       F.element_at(share, F.col("at") + 1).alias("explained"), F.lit(error).alias("identity_error"))
+
+
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The manifest of ``documents``, checked against rows of which half have lost their newlines."""
+    docs = read_docs(spark, sf_dir)
+    fields = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    tampered = merkle.leaf_hash(*fields, F.replace("text", F.lit("\n"), F.lit("")))
+    leaves = docs.select("source", "doc_id", merkle.leaf_hash(*fields, F.col("text")).alias("leaf"),
+                         F.when(held_out("doc_id", 2, 0), tampered).alias("tampered"))
+    out = merkle.manifest(leaves, "source", "doc_id", "leaf", carry=("tampered",))
+    folded = out.withColumn("folded_root", merkle.fold(F.coalesce("tampered", "leaf"), F.col("path")))
+    return folded.select("doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("path")).alias("proof_sha256"),
+                         "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+def _op12_sql() -> str:
+    """Level by level over all nodes; a group with one node left is done."""
+    text = lambda c: f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen(CAST({c} AS VARCHAR)) || ':' || {c} END"
+    head = " || ".join(text(c) for c in ("doc_id", "source", "lang", "n_chars"))
+    crc = """xor(4294967295, list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: ord(c)::BIGINT)),
+        lambda c, b: list_reduce(list_concat([xor(c, b)], range(8)), lambda v, x: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END)))"""
+    parts = [f"""d AS MATERIALIZED (SELECT row_number() OVER () AS rid, doc_id, source, sha256({head} || {text('text')}) AS leaf,
+        CASE WHEN {crc} % 2 = 0 THEN sha256({head} || {text("replace(text, chr(10), '')")}) END AS tampered FROM documents)""",
+             """p0 AS MATERIALIZED (SELECT rid, source AS g, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i,
+        leaf AS h, coalesce(tampered, leaf) AS f, '' AS s FROM d)"""]
+
+    def climb(a: int, b: int) -> None:
+        for k in range(a, b):
+            parts.append(f"""a{k} AS MATERIALIZED (SELECT g, i, h, count(*) OVER (PARTITION BY g) AS n,
+        coalesce(string_agg(h, '') OVER (PARTITION BY g, i // 3 ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+        coalesce(string_agg(h, '') OVER (PARTITION BY g, i // 3 ORDER BY i ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r
+        FROM (SELECT DISTINCT g, i, h FROM p{k}))""")
+            parts.append(f"""p{k + 1} AS MATERIALIZED (SELECT rid, p.g, p.i // 3 AS i, CASE WHEN n = 1 THEN p.h ELSE sha256(l || p.h || r) END AS h,
+        CASE WHEN n = 1 THEN f ELSE sha256(l || f || r) END AS f, s || l || r AS s FROM p{k} p JOIN a{k} a ON p.g IS NOT DISTINCT FROM a.g AND p.i = a.i)""")
+
+    rows, groups = 16, 10  # levels: trees of up to 3^16 rows and 3^10 sources
+    climb(0, rows)
+    parts.append(f"u AS MATERIALIZED (SELECT rid, h AS subroot FROM p{rows})")
+    parts.append(f"p{rows + 1} AS MATERIALIZED (SELECT rid, 0 AS g, dense_rank() OVER (ORDER BY g NULLS FIRST) - 1 AS i, h, f, s FROM p{rows})")
+    climb(rows + 1, rows + 1 + groups)
+    return "WITH " + ", ".join(parts) + f"""
+SELECT doc_id, leaf, subroot, h AS root, sha256(s) AS proof_sha256, f AS folded_root, f = h AS verified
+FROM p{rows + 1 + groups} JOIN d USING (rid) JOIN u USING (rid)"""
+
+
+def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = bpe_segtree.encode(read_docs(spark, sf_dir).select("doc_id", "text"), name="bpe", with_text=True)
+    return out.select("doc_id", F.col("bpe.n").alias("n_tokens"), F.sha2("bpe.ids", 256).alias("ids_sha256"),
+                      F.sha2("bpe.text", 256).alias("decoded_sha256"))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_langid": op2_langid,
@@ -144,12 +221,16 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secrets": op8_secrets,
     "op9_quality": op9_quality,
     "op10_topk": op10_topk,
+    "op11_whitening": op11_whitening,
+    "op12_merkle": op12_merkle,
+    "op13_bpe": op13_bpe,
     "pipeline": corpus_pipeline.run,
 }
 LLM_ORACLE_SQL: dict[str, str] = {
     "op4_decontamination": OP4_SQL,
     "op8_secrets": _op8_sql(),
     "op10_topk": OP10_SQL,
+    "op12_merkle": _op12_sql(),
 }
 if corpus_pipeline.ORACLE_SQL:
     LLM_ORACLE_SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
