@@ -8,7 +8,13 @@ negative. Pages that mark their main content with one ``article`` or ``main`` el
 labelled ones. Inside the region, elements that are no article text (navigation, asides, forms,
 adverts, notices, comments of readers) are left out. A class names such an element only as a
 whole, and never a heading, a paragraph, the main element or what it stands in; an id only gives
-its words a weight of their own, which is learned like any other.
+its words a weight of their own, which is learned like any other. A form, or another element by
+name, is none where it holds at least half of a page's words or of its main element.
+
+A page's longest main element, or else its longest article, is where the scan starts from: nothing
+in it that is no boilerplate costs anything, so that the region may go beyond its ends but not stop
+within. Null and empty pages give the empty text, repeated rows the same text each, an empty table
+an empty one.
 """
 
 from __future__ import annotations
@@ -34,7 +40,9 @@ MATHML = set("math mi mn mo ms mtext mrow msub msup msubsup mfrac msqrt mroot mo
              "mphantom menclose merror mfenced mmultiscripts mprescripts none semantics".split())
 INLINE |= MATHML
 BOILER = set("nav footer aside form menu button dialog fieldset head".split())
-PROSE = set("p h1 h2 h3 h4 h5 h6 br b strong i em blockquote pre article main".split())
+PROSE = set("p h1 h2 h3 h4 h5 h6 br b strong i em blockquote pre article main dl dt dd figure figcaption details summary caption".split())
+# elements whose words have a weight of their own
+PLACES = set("a p li td th h1 h2 h3 h4 h5 h6 div body section blockquote pre dl dt dd figcaption details summary caption".split())
 MAIN = ("article", "main")
 NO_CLASS = set("p h1 h2 h3 h4 h5 h6 article main html body".split())  # what a class or id never marks
 _NAMED = (r"(?:ads?|adverts?|advertisements?|advertising|banner|sponsor(?:s|ed)?|promos?|promotions?|promoted|cookies?|consent|notices?|popup|modal|sidebar|menu|"
@@ -64,9 +72,10 @@ def _boiler(name: str, attrs: str, inside: bool) -> str:
     return found
 
 
-def tokens(page: str) -> list[tuple[str, str, str, bool, int, bool]]:
-    """(kind, feature, text, boilerplate, words, main): kind is `t` for a text run, `b` for a block
-    boundary and `i` for other tags. Raw elements, comments and declarations give no text."""
+def tokens(page: str) -> list[tuple[str, str, str, bool, int, bool, bool]]:
+    """(kind, feature, text, boilerplate, words, main, span): kind is `t` for a text run, `b` for a block
+    boundary and `i` for other tags; ``main`` is any article or main element, ``span`` the one that the
+    scan starts from. Raw elements, comments and declarations give no text."""
     out: list[tuple[str, str, str, int, int]] = []  # (kind, tag, text, element, words)
     # elements, after their parents: what stands for the page itself comes first
     names, parent, marks, mains, words = [""], [0], [""], [False], [0]
@@ -140,24 +149,30 @@ def tokens(page: str) -> list[tuple[str, str, str, bool, int, bool]]:
     held = [e for e, x in enumerate(names) if x == "main"]
     held += sorted((e for e, x in enumerate(names) if x == "article"), key=lambda e: -words[e])[:1]
     for e in held:
+        most = 2 * words[e] >= words[0]
         while e:
             e = parent[e]
-            marks[e] = "" if marks[e] in ("class", "id") else marks[e]
-    boil, doubt = [False], [False]
+            marks[e] = "" if most or marks[e] in ("class", "id") else marks[e]
+    for e, x in enumerate(names):  # a form around the page, as some servers write it
+        if x == "form" and 2 * words[e] >= words[0]:
+            marks[e] = ""
+    longest = max(held, key=lambda e: (names[e] == "main", words[e]), default=0)
+    boil, doubt, span = [False], [False], [False]
     for e in range(1, len(names)):
         boil.append(boil[parent[e]] or marks[e] in ("always", "class"))
         doubt.append(doubt[parent[e]] or marks[e] == "id")
+        span.append(span[parent[e]] or e == longest)
 
     def feature(kind: str, tag: str, e: int) -> str:
         if kind == "t":
             return "w:" + ("boiler/" if boil[e] else "doubt/" if doubt[e] else "") + _place(names[e])
         return "<boiler:" + tag[1:] if boil[e] and not tag.startswith("</") and tag[1:] == names[e] else tag
 
-    return [(kind, feature(kind, tag, e), run, boil[e], k, mains[e]) for kind, tag, run, e, k in out]
+    return [(kind, feature(kind, tag, e), run, boil[e], k, mains[e], span[e]) for kind, tag, run, e, k in out]
 
 
 def _place(name: str) -> str:
-    return "inline" if name in INLINE - {"a"} else name if name in ("a", "p", "li", "td", "h1", "h2", "h3", "h4", "div", "body") else "other"
+    return "inline" if name in INLINE - {"a"} else name if name in PLACES else "other"
 
 
 def prior(feature: str) -> tuple[float, float]:
@@ -167,7 +182,7 @@ def prior(feature: str) -> tuple[float, float]:
     if "doubt/" in feature:
         return 1.0, 3.0
     if feature.startswith("w:"):
-        return (1.0, 2.0) if feature in ("w:a", "w:body", "w:other") else (3.0, 1.0)
+        return (1.0, 2.0) if feature in ("w:a", "w:body", "w:section", "w:other") else (3.0, 1.0)
     return (1.0, 1.0) if feature.lstrip("</") in PROSE | MATHML else (1.0, 2.0)
 
 
@@ -193,7 +208,7 @@ def train(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", sam
         inside, outside = Counter(), Counter()
         for b in batches:
             for h in b["html"]:
-                for kind, feature, _t, _boil, n, main in tokens(h or ""):
+                for kind, feature, _t, _boil, n, main, _span in tokens(h or ""):
                     (inside if main else outside)[feature] += n if kind == "t" else 1
         if keys := sorted(inside.keys() | outside.keys()):
             yield pd.DataFrame({"f": keys, "a": [inside[k] for k in keys], "b": [outside[k] for k in keys]})
@@ -221,7 +236,7 @@ def main_text(page: str | None, weights: dict[str, float]) -> str:
     toks = tokens(page or "")
     scores = []
     was = False
-    for kind, feature, _t, boil, n, main in toks:
+    for kind, feature, _t, boil, n, main, span in toks:
         w = weights.get(feature)
         if w is None:
             w = weight(feature, {}, (0, 0))
@@ -230,6 +245,8 @@ def main_text(page: str | None, weights: dict[str, float]) -> str:
             w = max(w, weights.get(own, weight(own, {}, (0, 0))) / 2)
         if kind != "t" and main:  # an element amid the main one breaks nothing off
             w = max(w, -0.2)
+        if span and not boil:
+            w = max(w, 0.05 if kind == "t" else 0.0)
         if boil and (was or kind == "t"):  # left out in any case; only its first tag scores
             w = 0.0
         was = boil
@@ -240,7 +257,7 @@ def main_text(page: str | None, weights: dict[str, float]) -> str:
     while b < len(toks) and toks[b][0] != "b":
         b += 1
     blocks, now = [], []
-    for kind, _f, run, boil, _n, _main in toks[a:b]:
+    for kind, _f, run, boil, _n, _main, _span in toks[a:b]:
         if kind == "b":
             blocks.append("".join(now))
             now = []

@@ -24,6 +24,7 @@ from lexiframe.llm.common import on_workers
 BUCKETS = 1 << 15
 NGRAMS = (1, 2, 3, 4)
 SAMPLE_PER_LANG = 1500  # training documents per language, by the hash of their id
+DEALT = 256  # hash buckets that the training ids of a language are dealt into
 SWITCH = 10.0  # log-score that a change of language costs
 FLOOR = -6.0  # least log-score of a word in a candidate language
 CHUNK = 1500  # documents labelled together
@@ -149,13 +150,19 @@ class Model:
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", rows: Column | None = None,
           per_lang: int = SAMPLE_PER_LANG) -> Model:
     """Learns from at most ``per_lang`` texts of each language, chosen by the hash of their id among
-    the given rows with a text and a language. What reaches the driver is bounded by ``BUCKETS``
-    counts a language. Without any such row there is no language to predict (ValueError)."""
+    the given rows with a text and a language: the smallest hashes of ``DEALT`` hash buckets, four
+    times as many as an even share, and of these the smallest of all, so that no task ranks all ids of
+    a language. What reaches the driver is bounded by ``BUCKETS`` counts a language. Without any such
+    row the model knows no language, and every text is `und`."""
     on_workers(docs.sparkSession)
     ids = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & F.col(id_col).isNotNull())
     ids = ids if rows is None else ids.where(rows)
-    rank = F.row_number().over(Window.partitionBy(lang_col).orderBy(F.xxhash64(id_col), id_col))
-    ids = ids.select(F.col(id_col).alias("_lx_id"), lang_col, rank.alias("_lx_n")).where(F.col("_lx_n") <= per_lang).select("_lx_id").distinct()
+    ids = ids.select(F.col(id_col).alias("_lx_id"), F.col(lang_col).alias("_lx_lang")).withColumn("_lx_h", F.xxhash64("_lx_id"))
+    ids = ids.withColumn("_lx_b", F.pmod(F.xxhash64("_lx_id", F.lit(1)), F.lit(DEALT)))
+    for by, most in ((["_lx_lang", "_lx_b"], max(1, 4 * per_lang // DEALT)), (["_lx_lang"], per_lang)):
+        rank = F.row_number().over(Window.partitionBy(*by).orderBy("_lx_h", "_lx_id"))
+        ids = ids.withColumn("_lx_n", rank).where(F.col("_lx_n") <= most)
+    ids = ids.select("_lx_id").distinct()
     some = docs.where(F.col(lang_col).isNotNull()).join(F.broadcast(ids), F.col(id_col) == F.col("_lx_id"))  # per_lang ids a language
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -173,7 +180,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     got = (some.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
            .mapInPandas(count, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas())
     if not len(got):
-        raise ValueError("no row to learn a language from")
+        return Model([], np.zeros((BUCKETS, 0), np.float32), np.zeros((len(SCRIPTS), 0), bool), 0)
     langs = sorted(got["lang"].unique())
     counts = np.zeros((BUCKETS + len(SCRIPTS), len(langs)))
     counts[got["bucket"], got["lang"].map({x: i for i, x in enumerate(langs)})] = got["n"]
@@ -190,7 +197,8 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
 
     ``lang_score`` is the share of the letters in spans of the predicted language; ties go to the
     first language in order. A text that is null or has no letter gets `und`, 0 and no span. Rows
-    keep their other columns and are not moved.
+    keep their other columns and are not moved; repeated rows get the same each, and an empty table
+    gives an empty one.
     """
     on_workers(docs.sparkSession)
 
@@ -208,6 +216,8 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
 
 
 def _identify(texts: list, model: Model) -> list[tuple]:
+    if not model.langs:
+        return [("und", 0.0, [])] * len(texts)
     docs = [words_of(t.lower()) if t else [] for t in texts]
     out = []
     for t, words, labels in zip(texts, docs, model.label(docs), strict=True):

@@ -39,8 +39,8 @@ def test_language_spans_of_mixed_text(spark, lang_model, odd, empty):
     out = langid.identify(odd, lang_model)
     assert out.columns == [*odd.columns, "lang_pred", "lang_score", "lang_spans"] and out.count() == 9
     assert langid.identify(empty, lang_model).count() == 0
-    with pytest.raises(ValueError):
-        langid.train(empty)
+    none = langid.identify(odd, langid.train(empty)).collect()
+    assert len(none) == 9 and {(r["lang_pred"], r["lang_score"]) for r in none} == {("und", 0.0)}
 
 
 def test_viterbi_equals_plain_recursion(lang_model):
@@ -197,6 +197,26 @@ def test_classes_and_ids_that_only_look_like_boilerplate():
     assert htmlmain.main_text(page(f"<article>{body}{formula}</article>"), {}).split("\n") == [*plain, "Energy is E=m and a drawing here."]
 
 
+def test_forms_and_ends_of_articles(spark):
+    body = "".join(f"<p>Paragraph {i} holds several plain words of text.</p>" for i in range(4))
+    plain = [f"Paragraph {i} holds several plain words of text." for i in range(4)]
+    learned = htmlmain.train(spark.read.parquet("/root/testdata/sf0.01/pages.parquet"))
+    ends = {"<pre>some code of it</pre>": ["some code of it"], "<blockquote>words of another</blockquote>": ["words of another"],
+            "<dl><dt>Term</dt><dd>what the term means</dd></dl>": ["Term", "what the term means"], "<h5>Small head</h5>": ["Small head"],
+            "<figure><img src=x><figcaption>What it shows</figcaption></figure>": ["What it shows"],
+            "<details><summary>More</summary>of the same</details>": ["More", "of the same"],
+            "<ul><li><a href=1>First link</a></li><li><a href=2>Second</a></li></ul>": ["First link", "Second"],
+            "<table><tr><th>Name</th><td>1</td></tr></table>": ["Name", "1"]}
+    for weights in ({}, learned):
+        for around in ("<form><div><article>{}</article></div></form>", "<form><div>{}</div></form>", "<form method=post><main>{}</main></form>"):
+            for end, lines in ends.items():
+                if "article" in around or "main" in around or "<ul>" not in end and "<table>" not in end:
+                    assert htmlmain.main_text(page(around.format(body + end)), weights).split("\n") == [*plain, *lines], (around, end)
+            assert htmlmain.main_text(page(around.format("<nav>Go there</nav>" + body + "<form>Your name</form>")), weights).split("\n") == plain
+        long = "".join(f"<p>Line {i} of a very long page.</p>" for i in range(20_000))
+        assert htmlmain.main_text(page(f"<article>{long}</article>"), weights).count("\n") == 19_999
+
+
 def test_numbers_that_are_no_letters(spark, lang_model):
     texts = ["½", "3² = 9", "① Ⅷ", "x² кот½", "½ кот ²"]
     got = langid.identify(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"), lang_model).orderBy("doc_id").collect()
