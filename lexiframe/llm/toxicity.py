@@ -21,6 +21,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -148,7 +149,7 @@ class Lexicon:
         if got is None:
             arc, weight = self.arc(w)
             got = ((THREAT if w in self.threat or arc in self.threat else INSULT), weight) if weight > 0 else (self.closed.get(w, OTHER), 0.0)
-            if len(self.cache) >= 300_000:  # memory only: a word's reading does not change
+            if len(self.cache) >= 100_000:  # memory only: a word's reading does not change
                 self.cache.clear()
             self.cache[w] = got
         return got
@@ -349,9 +350,9 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", name: str = "sc
     matched clause. All columns stay; rows are neither dropped nor moved."""
     on_workers(docs.sparkSession)
 
-    @F.pandas_udf("double")
-    def run(texts: pd.Series) -> pd.Series:
-        return pd.Series([model.score(t) for t in texts], dtype="float64")
+    @F.arrow_udf("double")
+    def run(texts: pa.Array) -> pa.Array:  # one Python string at a time
+        return pa.array([model.score(t.as_py()) for t in texts], pa.float64())
 
     return docs.withColumn(name, run(F.col(text_col).cast("string")))
 
