@@ -32,6 +32,8 @@ from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -39,8 +41,10 @@ from lexiframe.llm.common import on_workers
 
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 UNITS = re.compile(r" +[^ \n]*|[^ \n]+|\n+")
-CHUNK_CHARS = 400_000  # characters whose lattices are walked together
-CACHE_EDGES = 6_000_000  # lattice edges that a worker keeps (24 bytes each), for speed only
+CHUNK_CHARS = 300_000  # characters whose lattices are walked together
+CACHE_EDGES = 1_500_000  # lattice edges that a worker keeps (32 bytes each), for speed only
+SEEN_BITS = 20  # log2 of the marks that tell units seen before
+NEAR_ONE = 0.999  # above this the mass beside an edge is summed, not taken from 1
 BYTE_WEIGHT = -10.5  # log-weight of a byte piece
 GOLD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -91,7 +95,7 @@ class Vocabulary:
                 s = kids[s][j]
             ends[s] = i
         self.width = len(letters) + 1
-        self.trie = np.full((len(kids), self.width), -1, np.int32)
+        self.trie = np.zeros((len(kids), self.width), np.uint16 if len(kids) < 2**16 else np.uint32)  # 0: no such piece
         for s, k in enumerate(kids):
             for j, t in k.items():
                 self.trie[s, j] = t
@@ -103,6 +107,9 @@ class Vocabulary:
         self.texts = [p.replace("▁", " ").encode() for p in self.pieces]
         for b, i in self.byte.items():
             self.texts[i] = bytes([b])
+        self.flat = np.frombuffer(b"".join(self.texts), np.uint8)
+        self.length = np.array([len(t) for t in self.texts], np.int64)
+        self.start = np.cumsum(self.length) - self.length
         self.spelled: list[list[int]] = []  # byte pieces of characters beyond ASCII, by number
         if len(self.byte) < 256:
             raise ValueError("the model needs byte pieces for exact round trips")
@@ -135,14 +142,14 @@ class Vocabulary:
         w = np.where(lone < 0, BYTE_WEIGHT * spelled[np.minimum(np.maximum(-2 - lone, 0), len(spelled) - 1)], w)
         at = np.arange(len(text))
         got = [(at, at + 1, lone, w)]
-        state = self.trie[col]
-        at = np.flatnonzero(state >= 0)
+        state = self.trie[col].astype(np.int64)
+        at = np.flatnonzero(state)
         state, d = state[at], 1
         while len(at):
             ok = at + d < ends[at]
             at, state = at[ok], state[ok]
-            state = self.trie[state * self.width + col[at + d]]
-            ok = state >= 0
+            state = self.trie[state * self.width + col[at + d]].astype(np.int64)
+            ok = state > 0
             at, state = at[ok], state[ok]
             d += 1
             hit = self.ends[state]
@@ -151,41 +158,47 @@ class Vocabulary:
         return tuple(np.concatenate(x) for x in zip(*got, strict=True))  # type: ignore[return-value]
 
 
+EDGE_KINDS = {"src": np.int32, "piece": np.int32, "p": np.float64, "beside": np.float64, "cum": np.float64}
+UNIT_KINDS = {"first": np.int64, "last": np.int64}
+
+
 @dataclass
 class Lattices:
-    """Edges of the units seen so far, grouped by end node."""
+    """Edges of the units seen so far, grouped by end node. Arrays have room to grow into; the first
+    ``edges``, ``nodes`` + 1 (``ptr``) and ``units`` entries count.
+
+    Of edge i, ``src`` is how many nodes back it starts and ``beside`` the probability of the other
+    edges into its end, exact also where it is tiny; the edges of node i are ptr[i]:ptr[i + 1];
+    ``first`` and ``last`` are a unit's first and last node.
+
+    Units that come up in a second chunk are kept until there are ``CACHE_EDGES`` edges, and those
+    start anew once they serve less than half of a chunk; other units make room for the next chunk's.
+    """
     vocab: Vocabulary
     place: dict[str, int] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
+        self.ptr = np.zeros(1, np.int64)
+        for name, kind in (EDGE_KINDS | UNIT_KINDS).items():
+            setattr(self, name, np.zeros(0, kind))
         self.clear()
 
     def clear(self) -> None:
         self.place.clear()
-        self.used = np.zeros(0, np.int64)
-        self.last = np.zeros(0, np.int64)  # last node of a unit
-        self.first = np.zeros(0, np.int64)
-        self.ptr = np.zeros(1, np.int64)  # edges of node i: ptr[i]:ptr[i + 1]
-        self.src = np.zeros(0, np.int32)  # how many nodes back an edge starts
-        self.piece = np.zeros(0, np.int32)
-        self.p = np.zeros(0, np.float64)
-        self.cum = np.zeros(0, np.float64)
-
-    def forget(self) -> None:
-        """Drops the units that were used least; a unit that comes back is built again."""
-        size = self.ptr[self.last + 1] - self.ptr[self.first]
-        by = np.argsort(-self.used, kind="stable")
-        keep = np.sort(by[np.cumsum(size[by]) <= CACHE_EDGES // 2])
-        nodes = self.last[keep] - self.first[keep] + 1
-        n_off, e_off = np.cumsum(nodes) - nodes, np.cumsum(size[keep]) - size[keep]
-        node = np.repeat(self.first[keep] - n_off, nodes) + np.arange(int(nodes.sum()))
-        edge = np.repeat(self.ptr[self.first[keep]] - e_off, size[keep]) + np.arange(int(size[keep].sum()))
-        self.ptr = np.concatenate([[0], np.cumsum((self.ptr[1:] - self.ptr[:-1])[node])])
-        self.src, self.piece, self.p, self.cum = self.src[edge], self.piece[edge], self.p[edge], self.cum[edge]
-        self.first, self.last, self.used = n_off, n_off + nodes - 1, self.used[keep] // 2
-        names = np.full(len(size), -1)
-        names[keep] = np.arange(len(keep))
-        self.place = {u: int(names[i]) for u, i in self.place.items() if names[i] >= 0}
+        self.seen = np.zeros(1 << SEEN_BITS, bool)
+        self.edges = self.nodes = self.units = 0
+        self.kept = (0, 0, 0)
+        self.passing: list[str] = []
+
+    def _put(self, name: str, at: int, values: np.ndarray) -> None:
+        """Writes ``values`` from entry ``at`` on; a full array is copied to one of twice the size."""
+        have, need = getattr(self, name), at + len(values)
+        if need > len(have):
+            more = np.zeros(max(need, 2 * len(have)), have.dtype)
+            more[:at] = have[:at]
+            setattr(self, name, more)
+            have = more
+        have[at:need] = values
 
     def add(self, units: list[str]) -> None:
         """Forward pass over the lattices of new units, all of them at once by position."""
@@ -218,28 +231,55 @@ class Lattices:
         p = np.exp(alpha[node_s] + w - alpha[node_e])
         run = np.cumsum(p)
         before = np.where(ptr[:-1] > 0, run[np.maximum(ptr[:-1] - 1, 0)], 0.0)
-        base, edges = len(self.ptr) - 1, len(self.p)
-        self.place.update(zip(units, range(len(self.last), len(self.last) + len(units)), strict=True))
-        self.first = np.concatenate([self.first, base + begin + np.arange(len(units))])
-        self.last = np.concatenate([self.last, base + stop + np.arange(len(units))])
-        self.used = np.concatenate([self.used, np.zeros(len(units), np.int64)])
-        self.ptr = np.concatenate([self.ptr, edges + ptr[1:]])
-        self.src = np.concatenate([self.src, (node_e - node_s).astype(np.int32)])
-        self.piece = np.concatenate([self.piece, piece])
-        self.p = np.concatenate([self.p, p])
-        self.cum = np.concatenate([self.cum, run - np.repeat(before, count)])
+        beside = 1.0 - p
+        near = np.flatnonzero(p > NEAR_ONE)
+        if len(near):
+            a, b = ptr[node_e[near]], ptr[node_e[near] + 1]
+            rest = np.zeros(len(near))
+            for j in range(int((b - a).max())):
+                rest += np.where((a + j < b) & (a + j != near), p[np.minimum(a + j, b - 1)], 0.0)
+            beside[near] = rest
+        node, at, n = self.nodes, self.edges, self.units
+        self.place.update(zip(units, range(n, n + len(units)), strict=True))
+        self._put("first", n, node + begin + np.arange(len(units)))
+        self._put("last", n, node + stop + np.arange(len(units)))
+        self._put("ptr", node + 1, at + ptr[1:])
+        self._put("src", at, node_e - node_s)
+        self._put("piece", at, piece)
+        self._put("p", at, p)
+        self._put("beside", at, beside)
+        self._put("cum", at, run - np.repeat(before, count))
+        self.edges, self.nodes, self.units = at + len(p), node + total, n + len(units)
 
     def numbers(self, docs: list[list[str]]) -> np.ndarray:
-        if len(self.p) > CACHE_EDGES:
-            self.forget()
+        for u in self.passing:
+            del self.place[u]
+        self.edges, self.nodes, self.units = self.kept
+        self.passing = []
         flat = list(chain.from_iterable(docs))
         got = list(map(self.place.get, flat))
         if None in got:
-            self.add(list(dict.fromkeys(u for u, g in zip(flat, got, strict=True) if g is None)))
-            got = list(map(self.place.get, flat))
-        ids = np.array(got, np.int64)
-        self.used += np.bincount(ids, minlength=len(self.used))
-        return ids
+            if self.edges > CACHE_EDGES and 2 * got.count(None) > len(got):  # other texts than those it was filled with
+                self.clear()
+                got = [None] * len(flat)
+            new = [i for i, g in enumerate(got) if g is None]
+            units = list(dict.fromkeys([flat[i] for i in new]))
+            mark = np.fromiter(map(hash, units), np.int64, len(units)) & ((1 << SEEN_BITS) - 1)
+            again = self.seen[mark] & (self.edges <= CACHE_EDGES)
+            self.seen[mark] = True
+            if again.any():
+                self.add([units[i] for i in np.flatnonzero(again)])
+            self.kept = self.edges, self.nodes, self.units
+            if not again.all():
+                self.passing = [units[i] for i in np.flatnonzero(~again)]
+                self.add(self.passing)
+            for i in new:
+                got[i] = self.place[flat[i]]
+        return np.array(got, np.int64)
+
+    def ends(self, edge: np.ndarray) -> np.ndarray:
+        """The node that an edge ends at."""
+        return np.searchsorted(self.ptr[: self.nodes + 1], edge, side="right") - 1
 
     def pick(self, node: np.ndarray, u: np.ndarray) -> np.ndarray:
         """The edge into each node at quantile u."""
@@ -274,6 +314,17 @@ def _truncated(loc: np.ndarray, most: np.ndarray, u: np.ndarray) -> np.ndarray:
         return -np.logaddexp(-most, -(loc - np.log(-np.log(u))))
 
 
+def _free(lat: Lattices, edge: np.ndarray, barred: np.ndarray) -> np.ndarray:
+    """Probabilities of all edges into the end of each edge, with 0 for the barred ones."""
+    node = lat.ends(edge)
+    a, b = lat.ptr[node][:, None], lat.ptr[node + 1][:, None]
+    e = a + np.arange(int((b - a).max()))[None, :]
+    p = np.where(e < b, lat.p[np.minimum(e, b - 1)], 0.0)
+    for j in range(barred.shape[1]):
+        p = np.where(e == barred[:, j][:, None], 0.0, p)
+    return p
+
+
 def sample(docs: list[list[str]], keys: np.ndarray, k: int, lat: Lattices) -> list[list[tuple[np.ndarray, float, float, float]]]:
     """Per document up to k (edges of the whole text in reading order, log-probability, perturbed
     log-probability, inclusion probability), by falling perturbed log-probability."""
@@ -306,15 +357,13 @@ def sample(docs: list[list[str]], keys: np.ndarray, k: int, lat: Lattices) -> li
         total = np.cumsum(lp)
         before = total - lp
         before -= np.repeat(np.where(count > 0, before[np.minimum(begin, max(len(before) - 1, 0))], 0.0), count) if len(lp) else 0
-        taken = p.copy()
-        here = begin + diverge
+        rest = lat.beside[edge]
         has = np.flatnonzero(alive & (count > 0) & (barred >= 0).any(axis=1))
-        for j in range(k + 1):
-            w = has[barred[has, j] >= 0]
-            taken[here[w]] += lat.p[barred[w, j]]
+        if len(has):  # where the set diverges, what is neither taken nor barred
+            here = begin[has] + diverge[has]
+            rest[here] = _free(lat, edge[here], np.column_stack([barred[has], edge[here]])).sum(axis=1)
         with np.errstate(divide="ignore"):
-            mass = before + np.log(np.maximum(1.0 - taken, 0.0))
-        mass[1.0 - taken < 1e-12] = -np.inf
+            mass = before + np.log(rest)
         g = _truncated(mass, top[d], uniform(keys[d], 2 + 4 * r, at))
         g[at < diverge[d]] = -np.inf
         log_p = np.bincount(d, lp, n)
@@ -352,7 +401,7 @@ def sample(docs: list[list[str]], keys: np.ndarray, k: int, lat: Lattices) -> li
             again = place[mine] == o["diverge"][mine]
             bars[mine] = np.where(again[:, None], o["barred"][mine], -1)
             bars[mine, r] = x
-            node[mine] = np.searchsorted(lat.ptr, x, side="right") - 1
+            node[mine] = lat.ends(x)
             cut_unit[mine] = o["unit"][pos]
             div[mine] = place[mine]
             keep = np.zeros(n, np.int64)
@@ -363,15 +412,11 @@ def sample(docs: list[list[str]], keys: np.ndarray, k: int, lat: Lattices) -> li
             new_edge.append(o["edge"][pre])
         mine = np.flatnonzero(alive)
         # an edge that is not barred, at the node where the set diverges
-        deg = lat.ptr[node[mine] + 1] - lat.ptr[node[mine]]
-        cols = np.arange(int(deg.max()))
-        e = lat.ptr[node[mine]][:, None] + np.minimum(cols[None, :], deg[:, None] - 1)
-        pr = np.where(cols[None, :] < deg[:, None], lat.p[e], 0.0)
-        for j in range(k + 1):
-            pr = np.where(e == bars[mine, j][:, None], 0.0, pr)
+        pr = _free(lat, lat.ptr[node[mine]], bars[mine])
         cum = np.cumsum(pr, axis=1)
         u = uniform(keys[mine], 3 + 4 * r, div[mine]) * cum[:, -1]
-        took = e[np.arange(len(mine)), np.minimum((cum < u[:, None]).sum(axis=1), deg - 1)]
+        last_free = pr.shape[1] - 1 - (pr[:, ::-1] > 0).argmax(axis=1)
+        took = lat.ptr[node[mine]] + np.minimum((cum < u[:, None]).sum(axis=1), last_free)
         new_unit.append(cut_unit[mine])
         new_edge.append(took)
         cut_node = np.full(n, -1, np.int64)
@@ -417,7 +462,10 @@ def _ids(pieces: np.ndarray, vocab: Vocabulary) -> np.ndarray:
 
 
 def decode_bytes(ids, vocab: Vocabulary) -> bytes:
-    return b"".join(map(vocab.texts.__getitem__, ids))
+    ids = np.asarray(ids, np.int64)
+    n = vocab.length[ids]
+    total = np.cumsum(n)
+    return vocab.flat[np.repeat(vocab.start[ids] - total + n, n) + np.arange(total[-1] if len(n) else 0)].tobytes()
 
 
 def decode_ids(ids, vocab: Vocabulary) -> str:
@@ -434,15 +482,15 @@ def _lattices(path: str) -> Lattices:
     return _LOADED[path]
 
 
-def _chunks(texts: list[str]) -> Iterator[tuple[int, int]]:
+def _chunks(sizes: list[int]) -> Iterator[tuple[int, int]]:
     a, size = 0, 0
-    for b, t in enumerate(texts):
-        if b > a and size + len(t) > CHUNK_CHARS:
+    for b, n in enumerate(sizes):
+        if b > a and size + n > CHUNK_CHARS:
             yield a, b
             a, size = b, 0
-        size += len(t)
-    if len(texts) > a:
-        yield a, len(texts)
+        size += n
+    if len(sizes) > a:
+        yield a, len(sizes)
 
 
 SAMPLES = "array<struct<ids:binary,n:int,log_prob:double,perturbed:double,inclusion:double,round_trip:boolean>>"
@@ -462,24 +510,26 @@ def encode(docs: DataFrame, k: int = 2, key: Column | str = "doc_id", text_col:
         raise ValueError("k must be at least 1")
     on_workers(docs.sparkSession)
 
-    @F.pandas_udf(SAMPLES)
-    def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+    kind = pa.list_(pa.struct([("ids", pa.binary()), ("n", pa.int32()), ("log_prob", pa.float64()), ("perturbed", pa.float64()),
+                               ("inclusion", pa.float64()), ("round_trip", pa.bool_())]))
+
+    @F.arrow_udf(SAMPLES)
+    def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         lat = _lattices(model_path)
         vocab = lat.vocab
         for seeds, texts in batches:
-            rows = [t or "" for t in texts]
-            seeds = seeds.to_numpy(np.int64)
-            got = []
-            for a, b in _chunks(rows):
-                docs_ = [UNITS.findall(" " + t) for t in rows[a:b]]
-                for t, found in zip(rows[a:b], sample(docs_, seeds[a:b].copy(), k, lat), strict=True):
+            for a, b in _chunks(pc.fill_null(pc.binary_length(texts), 0).to_pylist()):  # a chunk's texts and samples at a time
+                rows = [t or "" for t in texts[a:b].to_pylist()]
+                keys = seeds[a:b].to_numpy(zero_copy_only=False).astype(np.int64)
+                got = []
+                for t, found in zip(rows, sample([UNITS.findall(" " + t) for t in rows], keys, k, lat), strict=True):
                     one, raw = [], (" " + t).encode("utf-8", "surrogatepass")
                     for pieces, lp, g, inc in found:
                         ids = _ids(pieces, vocab)
                         one.append({"ids": ids.astype("<i4").tobytes(), "n": len(ids), "log_prob": lp, "perturbed": g, "inclusion": inc,
-                                    "round_trip": decode_bytes(ids.tolist(), vocab) == raw})
+                                    "round_trip": decode_bytes(ids, vocab) == raw})
                     got.append(one)
-            yield pd.Series(got)
+                yield pa.array(got, kind)
 
     key = F.col(key) if isinstance(key, str) else key
     return docs.withColumn(name, run(F.xxhash64(key, F.col(text_col).cast("string")), F.col(text_col).cast("string")))

@@ -88,6 +88,17 @@ def test_probabilities_and_first_draw(lattices):
             assert abs(first[w] / n - math.exp(lp)) < 0.03
 
 
+def test_k_beyond_all_returns_every_segmentation(lattices):
+    for text in ("a", " a", " cat", " dogs", " the", "  x", "\n\n\n", " é", " tests", " a1b2c", " zzzz", "日本", " ing", " aaaaa"):
+        exact = every_way(text, lattices.vocab)
+        for r in s.sample([[text]] * 5, np.arange(5).astype(np.int64) * 104729, len(exact) + 2, lattices):
+            assert {tuple(int(p) for p in x[0]) for x in r} == set(exact) and len(r) == len(exact), text
+            assert all(x[3] == 1.0 for x in r)
+    two = s.sample([["a", " a"]] * 20, np.arange(20).astype(np.int64), 5, lattices)
+    n = len(every_way("a", lattices.vocab)) * len(every_way(" a", lattices.vocab))
+    assert all(len(r) == min(5, n) for r in two)
+
+
 def test_pairs_follow_gumbel_top_k(lattices):
     """Ordered pairs have the probabilities of drawing twice without replacement, over two units."""
     one = every_way(" the", lattices.vocab)
