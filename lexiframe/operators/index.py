@@ -9,12 +9,22 @@
                   without a distinct-count or a pass over all postings.
 
 Everything is built inside the row: a document's tokens are in one row, so term counting,
-lengths and positions need no shuffle. Build = one map-only stage; persisted as parquet,
-``postings`` partitioned by field and sorted by term inside each file (row-group skipping
-for term lookups).
-
-Write modes: create (overwrite), append (key-checked), upsert by key (latest version wins),
-merge of partial indexes (union + key check).
+lengths and positions need no shuffle.
+
+On disk an index is a list of segments, named by the last commit. A segment holds
+
+* ``term_vectors``  the term arrays, range-partitioned by document: one document is a pushed range;
+* ``postings``      range-partitioned by (field, term, document) into folders ``field=/bucket=``, with
+                    ``ranges`` (first and last term of every bucket). A look-up maps its terms to
+                    buckets and joins on (bucket, term), so that Spark prunes the other folders at
+                    run time; a term in very many documents spreads over several buckets;
+* ``docs``, ``doc_fields``, ``terms`` as above, and ``tombstones``: the keys of earlier segments that
+                    this segment replaces. Readers leave them out by an anti-join; the dictionary of
+                    the segment takes their counts off.
+
+Write modes: create (replace), append (key-checked), update by key (latest version wins; writes the
+batch only), merge of segments, merge of partial indexes (union + key check). A commit names the
+version it follows and fails if another writer was first.
 """
 
 from __future__ import annotations
@@ -25,12 +35,13 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lexiframe.functions.text import keyword_terms, tokens, with_term_counts
-from lexiframe.operators.sizing import broadcast_if_small, spread
+from lexiframe.operators.sizing import broadcast_if_small, saved, spread
 
 
 @dataclass(frozen=True)
@@ -46,10 +57,29 @@ class FieldSpec:
 DOCUMENT_FIELDS = (FieldSpec("text", True), FieldSpec("lang", False), FieldSpec("source", False))
 
 
+RANGE_ROWS = 20_000_000   # postings per task that writes them
+LEAST_RANGES = 32         # and buckets of a segment, at least
+MOST_BUCKETS = 4096       # folders per segment and field; beyond it several files lie in a folder
+MERGE_SEGMENTS = 8        # an update or append that would make more merges small segments
+
+
 class DuplicateKeyError(ValueError):
     pass
 
 
+class ConcurrentWriteError(RuntimeError):
+    """Another writer committed the version that this one was to become."""
+
+
+@dataclass(frozen=True)
+class Segment:
+    """Postings of one segment with their bucket, and the term range of each bucket."""
+
+    postings: DataFrame  # field, bucket, key, term, tf, doc_len
+    ranges: DataFrame    # field, bucket, lo, hi
+    dead: DataFrame | None  # keys that later segments replace
+
+
 @dataclass
 class CorpusIndex:
     docs: DataFrame
@@ -61,6 +91,35 @@ class CorpusIndex:
     forward: DataFrame | None = None
     # term dictionary ``field, term, df, cf`` when materialised (see ``with_term_dictionary``)
     terms: DataFrame | None = None
+    # of an index on disk: its segments, folder and version
+    segments: tuple[Segment, ...] = ()
+    path: str | None = None
+    version: int = 0
+
+    def lookup(self, wanted: DataFrame, name: str = "text") -> DataFrame:
+        """Postings of the terms in ``wanted`` (``term`` and any other columns, which come along).
+
+        On disk, every wanted term is mapped to the buckets whose range holds it, and the join on
+        (bucket, term) lets Spark skip all other folders (dynamic partition pruning)."""
+        if not self.segments:
+            return self.field_postings(name).join(wanted, "term")
+        found = []
+        for s in self.segments:
+            # one row per bucket: at most MOST_BUCKETS
+            ranges = s.ranges.where(F.col("field") == name).select(F.collect_list(F.struct("bucket", "lo", "hi"))).scalar()
+            staged = wanted.where(F.length("term") > 0).withColumn("_ranges", ranges)
+            own = F.filter("_ranges", lambda r: (r["lo"] <= F.col("term")) & (F.col("term") <= r["hi"]))
+            dealt = staged.select(*wanted.columns, F.explode(own).alias("_b")).select(*wanted.columns, F.col("_b.bucket").alias("bucket"))
+            rows = s.postings.where(F.col("field") == name).drop("field").join(dealt, ["bucket", "term"]).drop("bucket")
+            found.append(rows if s.dead is None else rows.join(s.dead, self.key, "left_anti"))
+        return reduce(DataFrame.unionByName, found)
+
+    def vector(self, doc_id, name: str = "text") -> DataFrame:
+        """``term, tf`` of one document: a pushed range of the term vectors where they are at hand."""
+        if self.forward is None:
+            return self.field_postings(name).where(F.col(self.key) == F.lit(doc_id)).select("term", "tf")
+        own = self.forward.where((F.col("field") == name) & (F.col(self.key) == F.lit(doc_id)))
+        return own.select(F.inline_outer("terms")).where(F.col("term").isNotNull()).select("term", "tf")
 
     def term_dictionary(self) -> DataFrame:
         """``field, term, df, cf`` — the stored dictionary, or one aggregate over the postings."""
@@ -127,44 +186,70 @@ class CorpusIndex:
         last = _last_commit(spark, path)
         if last is None:
             raise FileNotFoundError(f"no index at {path}")
-        segments = last["segments"]
+        return _open(spark, path, last["n"], last["segments"], key, tuple(fields))
 
-        def part(name: str) -> DataFrame:
-            tables = [spark.read.parquet(f"{path.rstrip('/')}/{s['name']}/{name}") for s in segments]
-            return reduce(DataFrame.unionByName, tables)
 
-        terms = part("terms").select("field", "term", "df", "cf")
-        if len(segments) > 1:  # df and cf add up over disjoint document sets
-            terms = sum_dictionaries([terms])
-        forward = part("term_vectors").select(key, "field", "terms", "n_tokens") if all(s["vectors"] for s in segments) else None
-        return cls(part("docs"), part("postings").select("field", key, "term", "tf", "doc_len"),
-                   part("doc_fields").select("field", key, "n_terms", "n_tokens", "tf_sq"), key, tuple(fields), forward, terms)
+def _open(spark: SparkSession, path: str, version: int, segments: list[dict], key: str, fields: tuple[FieldSpec, ...]) -> CorpusIndex:
+    base = path.rstrip("/")
+    read = lambda i, name: spark.read.parquet(f"{base}/{segments[i]['name']}/{name}")
+    at = range(len(segments))
+    dead: list[DataFrame | None] = []
+    for i in at:
+        later = [read(j, "tombstones") for j in at if j > i and segments[j]["tombstones"]]
+        dead.append(reduce(DataFrame.unionByName, later).distinct() if later else None)
 
+    def part(name: str, *columns: str) -> DataFrame:
+        tables = [read(i, name) if dead[i] is None else read(i, name).join(dead[i], key, "left_anti") for i in at]
+        rows = reduce(DataFrame.unionByName, tables)
+        return rows.select(*columns) if columns else rows
 
-def _write_segment(index: CorpusIndex, path: str) -> dict:
-    """Docs, postings (partitioned by field, sorted by term), lengths and dictionary in a new folder.
+    terms = [read(i, "terms").select("field", "term", "df", "cf") for i in at]
+    # df and cf add up over disjoint document sets; a term whose documents are all replaced goes
+    dictionary = terms[0] if len(terms) == 1 else sum_dictionaries(terms).where("df > 0")
+    forward = part("term_vectors", key, "field", "terms", "n_tokens") if all(s["vectors"] for s in segments) else None
+    postings = tuple(Segment(read(i, "postings").select("field", "bucket", key, "term", "tf", "doc_len"), read(i, "ranges"), dead[i]) for i in at)
+    return CorpusIndex(part("docs"), part("postings", "field", key, "term", "tf", "doc_len"),
+                       part("doc_fields", "field", key, "n_terms", "n_tokens", "tf_sq"), key, fields, forward, dictionary,
+                       postings, base, version)
+
+
+def _write_segment(index: CorpusIndex, path: str, replaced: DataFrame | None = None, lost: DataFrame | None = None) -> dict:
+    """All tables of a segment in a new folder. ``replaced``: the keys of earlier segments that it
+    takes the place of; ``lost``: their dictionary rows, which are taken off.
 
     When the per-document term arrays are at hand, they are written once as ``term_vectors`` and
     postings / lengths are derived from that written table: the tokenizer runs once, without caching
     the collection, and the lineage is cut there.
     """
-    spark = index.docs.sparkSession
+    spark, key = index.docs.sparkSession, index.key
     name = f"seg-{uuid.uuid4().hex[:12]}"
     base = f"{path.rstrip('/')}/{name}"
     postings, doc_fields = index.postings, index.doc_fields
     if index.forward is not None:
-        index.forward.write.partitionBy("field").parquet(f"{base}/term_vectors")
+        parts = max(1, index.forward.rdd.getNumPartitions())
+        # neighbours in key order share files: one document, or a range of keys, is a pushed range
+        index.forward.repartitionByRange(parts, "field", key).sortWithinPartitions("field", key).write.partitionBy("field").parquet(f"{base}/term_vectors")
         fwd = spark.read.parquet(f"{base}/term_vectors")
-        postings, doc_fields = _postings_from(fwd, index.key), _lengths_from(fwd, index.key)
+        postings, doc_fields = _postings_from(fwd, key), _lengths_from(fwd, key)
     index.docs.write.parquet(f"{base}/docs")
-    postings.sortWithinPartitions("field", "term").write.partitionBy("field").parquet(f"{base}/postings")
     doc_fields.write.partitionBy("field").parquet(f"{base}/doc_fields")
+    total = spark.read.parquet(f"{base}/doc_fields").agg(F.sum("n_terms")).first()[0] or 0
+    tasks = max(LEAST_RANGES, -(-total // RANGE_ROWS))
+    ranged = postings.repartitionByRange(tasks, "field", "term", key).withColumn(
+        "bucket", F.floor(F.spark_partition_id() / -(-tasks // MOST_BUCKETS)).cast("int"))
+    ranged.sortWithinPartitions("field", "term", key).write.partitionBy("field", "bucket").parquet(f"{base}/postings")
+    stored = spark.read.schema(ranged.schema).parquet(f"{base}/postings")
+    stored.groupBy("field", "bucket").agg(F.min("term").alias("lo"), F.max("term").alias("hi")).coalesce(1).write.parquet(f"{base}/ranges")
     terms = index.terms
     if terms is None:  # aggregate the written postings (read back: partition-pruned columns)
-        terms = spark.read.parquet(f"{base}/postings").groupBy("field", "term").agg(
-            F.count(F.lit(1)).alias("df"), F.sum("tf").cast("bigint").alias("cf"))
-    terms.write.partitionBy("field").parquet(f"{base}/terms")
-    return {"name": name, "vectors": index.forward is not None}
+        terms = stored.groupBy("field", "term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").cast("bigint").alias("cf"))
+    if lost is not None:
+        terms = sum_dictionaries([terms.select("field", "term", "df", "cf"), lost.select(
+            "field", "term", (-F.col("df")).alias("df"), (-F.col("cf")).alias("cf"))])
+    terms.sortWithinPartitions("field", "term").write.partitionBy("field").parquet(f"{base}/terms")
+    if replaced is not None:
+        replaced.write.parquet(f"{base}/tombstones")
+    return {"name": name, "vectors": index.forward is not None, "tombstones": replaced is not None, "docs": spark.read.parquet(f"{base}/docs").count()}
 
 
 def _last_commit(spark: SparkSession, path: str) -> dict | None:
@@ -180,8 +265,24 @@ def _last_commit(spark: SparkSession, path: str) -> dict | None:
 
 
 def _commit(spark: SparkSession, path: str, before: dict | None, segments: list[dict]) -> None:
-    line = json.dumps({"n": (before["n"] + 1) if before else 1, "segments": segments})
-    spark.createDataFrame([(line,)], "value string").coalesce(1).write.mode("append").text(f"{path.rstrip('/')}/commits")
+    """One small file per version, made by a create that fails if the file is there: of two writers
+    that follow the same version the second one gets ConcurrentWriteError, and nothing is lost."""
+    n = (before["n"] + 1) if before else 1
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    at = hadoop.Path(f"{path.rstrip('/')}/commits/part-{n:012d}")
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.exists(at):
+        raise ConcurrentWriteError(f"version {n} of {path} was written by another writer")
+    try:
+        out = fs.create(at, False)
+    except Py4JJavaError as e:
+        if "AlreadyExists" not in e.java_exception.getClass().getName():
+            raise
+        raise ConcurrentWriteError(f"version {n} of {path} was written by another writer") from e
+    try:
+        out.write(bytearray((json.dumps({"n": n, "segments": segments}) + "\n").encode()))
+    finally:
+        out.close()
 
 
 def _field_rows(docs: DataFrame, key: str, spec: FieldSpec) -> DataFrame:
@@ -396,9 +497,10 @@ def write_index(spark: SparkSession, docs: DataFrame, path: str, mode: str = "cr
     Append writes a segment with the new documents only. A key that the index or the batch itself
     already has is an error, or with ``on_duplicate="skip"`` left out (of a key that the batch
     repeats, one row is taken), so re-running an append never duplicates documents. Update replaces
-    documents by key and adds the others; it writes the resulting version to a new segment. A batch
-    with repeated keys needs ``order_col`` there (the newest row wins). Each write becomes visible by
-    one commit at its end.
+    documents by key and adds the others; it writes the batch and the keys it replaces, whatever the
+    size of the index. A batch with repeated keys needs ``order_col`` there (the newest row wins). Each
+    write becomes visible by one commit at its end, which fails (ConcurrentWriteError) if another writer
+    committed since this one began. Beyond ``MERGE_SEGMENTS`` segments the newest ones are merged.
     """
     if mode not in OPEN_MODES:
         raise ValueError(f"mode must be one of {OPEN_MODES}")
@@ -414,14 +516,62 @@ def write_index(spark: SparkSession, docs: DataFrame, path: str, mode: str = "cr
     if before is None or mode == "create":
         build_index(docs, key, fields).save(path)
         return CorpusIndex.load(spark, path, key, fields)
-    base = CorpusIndex.load(spark, path, key, fields)
+    base = _open(spark, path, before["n"], before["segments"], key, tuple(fields))
     if mode == "update":
-        upsert_docs(base, docs).save(path)
-        return CorpusIndex.load(spark, path, key, fields)
-    clash = base.docs.select(key).join(_keys(docs, key), key, "left_semi")
-    if on_duplicate == "error" and clash.limit(1).count() > 0:
-        raise DuplicateKeyError(f"append: {key} values already indexed")
-    add = docs.join(clash, key, "left_anti") if on_duplicate == "skip" else docs
-    segment = _write_segment(build_index(add.select(*base.docs.columns), key, fields), path)
+        add = build_index(saved(docs.select(*base.docs.columns), "update-batch"), key, fields)
+        # the batch's keys that the index has: the tombstones of this segment
+        replaced = saved(base.docs.select(key).join(add.docs.select(key), key, "left_semi"), "replaced-keys")
+        segment = _write_segment(add, path, replaced, _lost(base, replaced))
+    else:
+        clash = base.docs.select(key).join(_keys(docs, key), key, "left_semi")
+        if on_duplicate == "error" and clash.limit(1).count() > 0:
+            raise DuplicateKeyError(f"append: {key} values already indexed")
+        add = docs.join(clash, key, "left_anti") if on_duplicate == "skip" else docs
+        segment = _write_segment(build_index(add.select(*base.docs.columns), key, fields), path)
     _commit(spark, path, before, [*before["segments"], segment])
+    if len(before["segments"]) >= MERGE_SEGMENTS:
+        merge_segments(spark, path, key, fields)
     return CorpusIndex.load(spark, path, key, fields)
+
+
+def _lost(base: CorpusIndex, replaced: DataFrame) -> DataFrame:
+    """Dictionary rows of the documents that are replaced, from their term vectors: files whose keys
+    lie outside the replaced ones are not read."""
+    key = base.key
+    low, high = replaced.agg(F.min(key), F.max(key)).first()
+    if base.forward is None:
+        rows = base.postings.join(replaced, key, "left_semi")
+    else:
+        near = base.forward.where(F.col(key).between(F.lit(low), F.lit(high)))
+        rows = near.join(replaced, key, "left_semi").select("field", F.inline_outer("terms")).where(F.col("term").isNotNull())
+    return rows.groupBy("field", "term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").cast("bigint").alias("cf"))
+
+
+def merge_segments(spark: SparkSession, path: str, key: str = "doc_id", fields: Sequence[FieldSpec] = DOCUMENT_FIELDS) -> bool:
+    """Write the newest segments that together hold no more documents than the one before them as one
+    segment; whether there was anything to merge. Older segments stay untouched, so that a document
+    is rewritten a logarithmic number of times. Fails like any writer if another one was first."""
+    before = _last_commit(spark, path)
+    if before is None:
+        raise FileNotFoundError(f"no index at {path}")
+    segments = before["segments"]
+    first, size = len(segments) - 1, segments[-1]["docs"]
+    while first > 0 and segments[first - 1]["docs"] <= max(size, 1):
+        first -= 1
+        size += segments[first]["docs"]
+    if len(segments) - first < 2:
+        first = max(0, len(segments) - 2)
+    if len(segments) - first < 2:
+        return False
+    some = segments[first:]
+    part = _open(spark, path, before["n"], some, key, tuple(fields))
+    base = path.rstrip("/")
+    # counts that these segments take off earlier ones stay taken off
+    part.terms = sum_dictionaries([spark.read.parquet(f"{base}/{s['name']}/terms").select("field", "term", "df", "cf") for s in some])
+    dead = [spark.read.parquet(f"{base}/{s['name']}/tombstones") for s in some if s["tombstones"]]
+    replaced = reduce(DataFrame.unionByName, dead).distinct() if dead and first else None
+    if not first:
+        part.terms = part.terms.where("df > 0")
+    segment = _write_segment(part, path, replaced)
+    _commit(spark, path, before, [*segments[:first], segment])
+    return True

@@ -10,10 +10,10 @@ dl = document length in tokens, cf = collection frequency, T = tokens in the col
 N = documents, df = document frequency. Scores are rounded to 9 decimals, which only
 takes away differences of summation order; ties go to the smaller doc id.
 
-Plan: the distinct query terms (size-checked broadcast) select the matching postings in a
-map-side hash join — postings never shuffle for the lookup. Term statistics come from the
-stored term dictionary restricted to the query vocabulary (or, without a dictionary, are
-aggregated for that vocabulary only). One ``groupBy(query_id, doc_id)`` computes the score — for a
+Plan: query terms meet the stored term dictionary (or statistics aggregated for that vocabulary
+only), and the result, written once, selects the matching postings in one join, which Spark
+broadcasts by its known size: postings then do not shuffle for the look-up, and on a saved index only
+the folders of the query vocabulary are read. One ``groupBy(query_id, doc_id)`` computes the score — for a
 λ grid all λ sums in the same aggregate — and the per-query top-k uses a window whose
 ``row_number() <= k`` filter Spark turns into a partial per-partition limit before the
 shuffle (WindowGroupLimit), so a query matching a third of the collection ships only k rows
@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from lexiframe.functions.text import tokens, with_term_counts
 from lexiframe.operators.index import CorpusIndex
-from lexiframe.operators.sizing import broadcast_when, small_count
+from lexiframe.operators.sizing import saved
 
 SCORE_DECIMALS = 9  # fine enough to rank by; reports round what they show
 # Fixed value: the smoothing grid 0.1 … 1.0.
@@ -46,22 +46,18 @@ def query_terms(topics: DataFrame, id_col: str = "query_id", text_col: str = "te
 
 
 def _matched(index: CorpusIndex, qterms: DataFrame, field: str):
-    """Postings of the query vocabulary joined with query terms and per-term statistics."""
+    """Postings of the query vocabulary with query terms and per-term statistics.
+
+    Topics meet the dictionary first; that table, as large as the topics, is written once, and the
+    postings are read in one join with it, pruned to its terms on a saved index."""
     key = index.key
-    n_qt = small_count(qterms)
-    qt = broadcast_when(qterms, n_qt)
-    vocab = qterms.select("term").distinct()
-    # the query vocabulary is no larger than the query terms: one probe bounds both
-    postings = index.field_postings(field).join(broadcast_when(vocab, n_qt), "term")
     if index.terms is not None:
-        # the stored term dictionary, restricted to the query vocabulary
-        stats = (index.terms.where(F.col("field") == field).select("term", "df", "cf")
-                 .join(broadcast_when(vocab, n_qt), "term"))
+        stats = index.terms.where(F.col("field") == field).select("term", "df", "cf")
     else:
-        stats = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").cast("bigint").alias("cf"))
-    stats = broadcast_when(stats, n_qt)
-    return (postings.join(qt, "term").join(stats, "term")
-            .select("query_id", key, "term", "qtf", "tf", "doc_len", "df", "cf"))
+        vocab = qterms.select("term").distinct()
+        stats = index.lookup(vocab, field).groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").cast("bigint").alias("cf"))
+    wanted = saved(saved(qterms, "query-terms").join(stats, "term"), "query-statistics")
+    return index.lookup(wanted, field).select("query_id", key, "term", "qtf", "tf", "doc_len", "df", "cf")
 
 
 def _jm_term(lam: float, total_tokens):

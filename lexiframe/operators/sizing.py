@@ -63,3 +63,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared checkpoint folder for intermediate tables."""
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def saved(df: DataFrame, name: str) -> DataFrame:
+    """Write a derived table to the shared folder and read it back: it is computed once, and later
+    joins know its size, so that Spark broadcasts it only below its own threshold."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
