@@ -121,6 +121,25 @@ class CorpusIndex:
         own = self.forward.where((F.col("field") == name) & (F.col(self.key) == F.lit(doc_id)))
         return own.select(F.inline_outer("terms")).where(F.col("term").isNotNull()).select("term", "tf")
 
+    def stored(self, name: str, table: DataFrame) -> DataFrame:
+        """A table derived from this version of an index on disk: written once beside the segments and
+        read back by later calls. It carries the version's number, so that the next version, with
+        other document frequencies, gets its own. An index in memory computes it."""
+        if self.path is None:
+            return table
+        spark = self.docs.sparkSession
+        at = f"{self.path}/derived/v{self.version:012d}-{name}"
+        done = spark._jvm.org.apache.hadoop.fs.Path(f"{at}/_SUCCESS")
+        fs = done.getFileSystem(spark._jsc.hadoopConfiguration())
+        if not fs.exists(done):
+            try:
+                table.write.parquet(at)
+            except AnalysisException as e:  # another writer is at it, or one was lost
+                if e.getCondition() != "PATH_ALREADY_EXISTS":
+                    raise
+                return table
+        return spark.read.parquet(at)
+
     def term_dictionary(self) -> DataFrame:
         """``field, term, df, cf`` — the stored dictionary, or one aggregate over the postings."""
         if self.terms is not None:

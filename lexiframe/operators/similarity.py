@@ -9,20 +9,22 @@ Representations (weights of term t in document d):
 
 Cosine is scale-invariant, so L1 normalisation of the vectors (``tf_l1_vectors``) does not change
 it and is not applied before the cosine. Vectors stay sparse (long tables); the target vector is
-broadcast after a size check and joined on term; only postings that share a term with the
-target move through a shuffle. Norms come from the per-document field lengths of the index
-(tf) or one aggregate over the weighted postings (tfxidf). A document sharing no term with the
+written once and joined on term; only postings that share a term with the target are read (on a
+saved index) and move through a shuffle. Norms come from the per-document field lengths of the index
+(tf) or a table that a saved index keeps per version (tfxidf). A document sharing no term with the
 target gets similarity 0; NaN (zero norm) becomes 0. Similarities are rounded to 3 decimals
 (HALF_UP), ordered by similarity descending then doc id.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexiframe.operators.index import CorpusIndex
-from lexiframe.operators.sizing import broadcast_when, small_count
+from lexiframe.operators.sizing import broadcast_when, saved, small_count
 from lexiframe.operators.terms import doc_freqs, idf_expr
 
 REPRESENTATIONS = ("tf", "tfxidf", "bin", "bin_cosine")
@@ -70,57 +72,77 @@ def tf_l1_vectors(index: CorpusIndex, field: str = "text") -> DataFrame:
     return p.select(key, "term", (F.col("tf") / F.col("doc_len")).alias("w"))
 
 
-def similarity_scores(index: CorpusIndex, doc_id, rep: str = "tf", field: str = "text",
-                      dictionary_broadcast_rows: int = DICTIONARY_BROADCAST_ROWS) -> DataFrame:
-    """``doc_id, sim`` for every document except the target."""
+def tfxidf_norms(index: CorpusIndex, field: str = "text", dictionary_broadcast_rows: int = DICTIONARY_BROADCAST_ROWS) -> DataFrame:
+    """``doc_id, norm`` of the tf×idf vectors: one aggregate over the postings per version of a saved
+    index, which keeps the table; other calls read it."""
+    w = tfxidf_weights(index, field, dictionary_broadcast_rows)
+    return index.stored(f"norms-{field}", w.groupBy(index.key).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm")))
+
+
+def matched_scores(index: CorpusIndex, doc_id, rep: str = "tf", field: str = "text",
+                   dictionary_broadcast_rows: int = DICTIONARY_BROADCAST_ROWS) -> DataFrame:
+    """``doc_id, sim`` for every other document that shares a term with the target.
+
+    The target is one document of the term vectors, written once (its terms and weights); the postings
+    of its terms are one pruned look-up. Norms are read from the length table, or the stored tf×idf ones."""
     rep = rep.lower()
     if rep not in REPRESENTATIONS:
         raise ValueError(f"rep must be one of {REPRESENTATIONS}")
     key = index.key
-    target_id = F.lit(doc_id)
-    candidates = index.docs.select(key).where(F.col(key) != target_id)
-    lengths = index.field_lengths(field)
-    target_len = lengths.where(F.col(key) == target_id)
-    # the target's distinct-term count bounds its vector: read it from the (small) length table
-    n_target = target_len.select("n_terms").first()
-    n_target = int(n_target[0]) if n_target is not None else 0
-
+    target = index.vector(doc_id, field).select("term", F.col("tf").alias("tft"))
+    if rep == "tfxidf":
+        dfs = doc_freqs(index, field).select("term", idf_expr(index.num_docs()).alias("idf"))
+        target = target.join(dfs, "term").withColumn("wt", F.col("tft") * F.col("idf"))
+    target = saved(target, "target-vector")
+    shared = index.lookup(target, field).where(F.col(key) != F.lit(doc_id)).groupBy(key)
     if rep == "tfxidf":
-        weights = tfxidf_weights(index, field, dictionary_broadcast_rows)
-        target = broadcast_when(weights.where(F.col(key) == target_id).select("term", F.col("w").alias("wt")),
-                                n_target)
         tnorm = target.select(F.sqrt(F.sum(F.col("wt") * F.col("wt")))).scalar()
-        per_doc = (weights.where(F.col(key) != target_id)
-                   .join(target, "term", "left")
-                   .groupBy(key)
-                   .agg(F.sum(F.col("w") * F.coalesce(F.col("wt"), F.lit(0.0))).alias("dot"),
-                        F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm")))
+        per_doc = shared.agg(F.sum(F.col("tf") * F.col("idf") * F.col("wt")).alias("dot")).join(
+            tfxidf_norms(index, field, dictionary_broadcast_rows), key)
         sim = _safe_div(F.col("dot"), F.col("norm") * tnorm)
+    elif rep == "tf":
+        tnorm = target.select(F.sqrt(F.sum(F.col("tft") * F.col("tft")).cast("double"))).scalar()
+        per_doc = shared.agg(F.sum(F.col("tf") * F.col("tft")).alias("dot")).join(index.field_lengths(field).select(key, "tf_sq"), key)
+        sim = _safe_div(F.col("dot").cast("double"), F.sqrt(F.col("tf_sq")) * tnorm)
     else:
-        p = index.field_postings(field)
-        target = broadcast_when(p.where(F.col(key) == target_id).select("term", F.col("tf").alias("tft")), n_target)
-        shared = (p.where(F.col(key) != target_id).join(target, "term")
-                  .groupBy(key)
-                  .agg(F.sum(F.col("tf") * F.col("tft")).alias("dot"), F.count(F.lit(1)).alias("n_shared")))
-        per_doc = lengths.select(key, "n_terms", "tf_sq").join(shared, key, "left")
-        if rep == "tf":
-            tnorm = target_len.select(F.sqrt(F.first("tf_sq").cast("double"))).scalar()
-            sim = _safe_div(F.coalesce(F.col("dot"), F.lit(0)).cast("double"), F.sqrt(F.col("tf_sq")) * tnorm)
-        elif rep == "bin":
-            sim = F.sqrt(_safe_div(F.coalesce(F.col("n_shared"), F.lit(0)).cast("double"), F.lit(float(n_target))))
+        n_target = target.select(F.count(F.lit(1)).cast("double")).scalar()
+        per_doc = shared.agg(F.count(F.lit(1)).cast("double").alias("n_shared"))
+        if rep == "bin":
+            sim = F.sqrt(_safe_div(F.col("n_shared"), n_target))
         else:  # bin_cosine
-            sim = _safe_div(F.coalesce(F.col("n_shared"), F.lit(0)).cast("double"),
-                            F.sqrt(F.col("n_terms").cast("double") * F.lit(float(n_target))))
-    scored = per_doc.select(key, F.coalesce(F.round(F.nanvl(sim, F.lit(0.0)), 3), F.lit(0.0)).alias("sim"))
-    return candidates.join(scored, key, "left").select(key, F.coalesce("sim", F.lit(0.0)).alias("sim"))
+            per_doc = per_doc.join(index.field_lengths(field).select(key, "n_terms"), key)
+            sim = _safe_div(F.col("n_shared"), F.sqrt(F.col("n_terms").cast("double") * n_target))
+    return per_doc.select(key, F.coalesce(F.round(F.nanvl(sim, F.lit(0.0)), 3), F.lit(0.0)).alias("sim"))
+
+
+def similarity_scores(index: CorpusIndex, doc_id, rep: str = "tf", field: str = "text",
+                      dictionary_broadcast_rows: int = DICTIONARY_BROADCAST_ROWS) -> DataFrame:
+    """``doc_id, sim`` for every document except the target; 0 where no term is shared."""
+    key = index.key
+    scored = matched_scores(index, doc_id, rep, field, dictionary_broadcast_rows)
+    others = index.docs.select(key).where(F.col(key) != F.lit(doc_id))
+    return others.join(scored, key, "left").select(key, F.coalesce("sim", F.lit(0.0)).alias("sim"))
+
 
+def similar_docs(index: CorpusIndex, doc_id, rep: str = "tf", top: int = 10, field: str = "text",
+                 show: Sequence[str] = ()) -> DataFrame:
+    """Top ``top`` documents most similar to ``doc_id``: ``doc_id, sim, rank`` (rank from 1), and the
+    stored columns named by ``show`` (a path, say).
 
-def similar_docs(index: CorpusIndex, doc_id, rep: str = "tf", top: int = 10, field: str = "text") -> DataFrame:
-    """Top ``top`` documents most similar to ``doc_id``: ``doc_id, sim, rank`` (rank from 1)."""
+    Documents with a positive similarity are ranked first; only if they are too few, the documents
+    with none follow by id, which takes no more than an anti-join with the few found."""
     key = index.key
     order = [F.col("sim").desc(), F.col(key).asc()]
-    best = similarity_scores(index, doc_id, rep, field).orderBy(*order).limit(top)
-    return best.withColumn("rank", F.row_number().over(Window.orderBy(*order)).cast("bigint"))
+    scored = matched_scores(index, doc_id, rep, field).where(F.col("sim") > 0)
+    best = saved(scored.orderBy(*order).limit(top), "similar")  # at most ``top`` rows
+    found = best.count()
+    if found < top:
+        rest = index.docs.select(key).where(F.col(key) != F.lit(doc_id)).join(F.broadcast(best.select(key)), key, "left_anti")
+        best = best.unionByName(rest.orderBy(key).limit(top - found).withColumn("sim", F.lit(0.0)))
+    ranked = best.withColumn("rank", F.row_number().over(Window.orderBy(*order)).cast("bigint"))
+    if not show:
+        return ranked
+    return index.docs.select(key, *show).join(F.broadcast(ranked), key).select(key, "sim", "rank", *show)
 
 
 def euclidean_to_target(vectors: DataFrame, target_id, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:

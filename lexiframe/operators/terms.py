@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexiframe.operators.index import CorpusIndex
-from lexiframe.operators.sizing import broadcast_if_small, checkpoint_dir
+from lexiframe.operators.sizing import checkpoint_dir, saved
 
 ORDERS = ("tf", "df", "idf", "tfxidf")
 _DEFAULT_ASC = {"tf": False, "df": False, "idf": True, "tfxidf": True}
@@ -98,18 +98,19 @@ def best_terms_document(index: CorpusIndex, doc_id, order: str = "tf", top: int
                         field: str = "text", ascending: bool | None = None) -> DataFrame:
     """Terms of one document with ``tf, df, idf, tfxidf`` and their rank under ``order``.
 
-    df is computed only for the document's own terms: the document's term list (size-checked
-    broadcast) filters the postings before the count.
+    The document is one pushed range of the term vectors and df comes from the stored dictionary;
+    without them, from the postings of the document's own terms.
     """
     order = order.lower()  # the order name is case-insensitive everywhere
     if order not in ORDERS:
         raise ValueError(f"order must be one of {ORDERS}")
     asc = _DEFAULT_ASC[order] if ascending is None else ascending
-    p = index.field_postings(field)
-    target = p.where(F.col(index.key) == F.lit(doc_id)).select("term", "tf")
-    small = broadcast_if_small(target)
-    dfs = p.join(small.select("term"), "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    rows = (small.join(dfs, "term")
+    target = saved(index.vector(doc_id, field), "document-terms")
+    if index.terms is not None:
+        dfs = doc_freqs(index, field).select("term", "df")
+    else:
+        dfs = index.lookup(target.select("term"), field).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    rows = (target.join(dfs, "term")
             .withColumn("idf", idf_expr(index.num_docs()))
             .withColumn("tfxidf", F.col("tf") * F.col("idf")))
     key = F.col(order).asc() if asc else F.col(order).desc()

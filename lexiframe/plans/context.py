@@ -1,10 +1,8 @@
 """Shared, lazily-built inputs of the registered queries for one ``sf_dir``.
 
-The index of the ``documents`` table is built once per session and data folder; its postings,
-length table and term dictionary are persisted (memory, spilling to disk) because nearly every
-query reads them. A lost executor only means recomputing the lost blocks from the parquet
-source. With ``spark.lexiframe.indexDir`` set, the index is instead saved once to that shared
-folder and read back as parquet (collections larger than memory).
+The index of the ``documents`` table is saved once per session and data folder below the shared
+checkpoint folder, and read back as parquet: look-ups prune it, and nothing is lost with an executor.
+With ``spark.lexiframe.indexDir`` set, it is saved to that folder, where later sessions find it.
 """
 
 from __future__ import annotations
@@ -19,7 +17,7 @@ from pyspark.sql import functions as F
 from lexiframe.operators.evaluation import derive_qrels
 from lexiframe.operators.index import CorpusIndex, build_index, index_exists
 from lexiframe.operators.search import query_terms, score_jm, score_tfidf, top_hits
-from lexiframe.operators.sizing import spread
+from lexiframe.operators.sizing import scratch_path, spread
 from lexiframe.operators.terms import doc_freqs
 from lexiframe.sources.tables import read_table
 
@@ -38,8 +36,7 @@ KMEANS_K = 5
 KMEANS_ITER = 3
 DOC_CLUSTERS = 3
 
-# Optional session setting: a shared folder for saved indexes. When set, the registry builds the
-# index of a data folder once into it and reads it back (no in-memory persist of the collection).
+# Optional session setting: a shared folder for saved indexes, kept between sessions.
 INDEX_DIR_CONF = "spark.lexiframe.indexDir"
 
 _CACHE: dict = {}
@@ -68,18 +65,11 @@ class Context:
         if "index" not in self.memo:
             cols = ["doc_id", "text", "lang", "source", "n_chars"]
             index_dir = self.spark.conf.get(INDEX_DIR_CONF, None)
-            if index_dir:
-                # collections larger than memory: a saved index (built once) read back as parquet
-                path = f"{index_dir.rstrip('/')}/{quote(self.sf_dir, safe='')}"
-                if not index_exists(self.spark, path):
-                    build_index(self.documents_spread.select(*cols), "doc_id").save(path)
-                self.memo["index"] = CorpusIndex.load(self.spark, path)
-                return self.memo["index"]
-            idx = build_index(self.documents_spread.select(*cols), "doc_id").persisted(StorageLevel.MEMORY_AND_DISK)
-            # stored fields straight from the source: only tokenizing needs the spread input, a
-            # doc-keyed join should not pay a round-robin exchange first
-            idx.docs = self.documents.select(*cols)
-            self.memo["index"] = idx.with_term_dictionary(StorageLevel.MEMORY_AND_DISK)
+            # without a folder of its own, an index of this session below the shared checkpoint folder
+            path = f"{index_dir.rstrip('/')}/{quote(self.sf_dir, safe='')}" if index_dir else scratch_path(self.spark, "index")
+            if not index_exists(self.spark, path):
+                build_index(self.documents_spread.select(*cols), "doc_id").save(path)
+            self.memo["index"] = CorpusIndex.load(self.spark, path)
         return self.memo["index"]
 
     @property

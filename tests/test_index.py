@@ -219,3 +219,122 @@ def test_an_unreadable_index_is_not_an_absent_one(spark, tiny_docs, tmp_path):
     with pytest.raises(Exception):  # noqa: B017 - whichever error reading the commits gives
         write_index(spark, tiny_docs, str(path), "create_or_append")
     assert len(list(path.glob("seg-*"))) == 1  # nothing was written
+
+
+def test_update_writes_the_batch_only(spark, tiny_docs, tmp_path):
+    from lexiframe.operators.index import _last_commit, write_index
+
+    path = str(tmp_path / "idx")
+    write_index(spark, tiny_docs, path)
+    first = _last_commit(spark, path)["segments"]
+    new = _titles(spark, [(2, "z z", "en", "s1"), (7, "a", "en", "s1")])
+    write_index(spark, new, path, "update")
+    last = _last_commit(spark, path)["segments"]
+    assert last[0] == first[0] and len(last) == 2 and last[1]["docs"] == 2
+    read = lambda name: spark.read.parquet(f"{path}/{last[1]['name']}/{name}")
+    assert {r[0] for r in read("postings").where("field = 'text'").select("doc_id").collect()} == {2, 7}
+    assert {r[0] for r in read("tombstones").collect()} == {2}
+    assert {(r["term"], r["df"], r["cf"]) for r in read("terms").where("field = 'text'").collect()} == {("z", 1, 2), ("a", 0, 0), ("b", -1, -1)}
+
+
+def test_two_writers_of_one_version(spark, tiny_docs, tmp_path):
+    from lexiframe.operators import index as ix
+
+    path = str(tmp_path / "idx")
+    ix.write_index(spark, tiny_docs, path)
+    before = ix._last_commit(spark, path)
+    ix.write_index(spark, _titles(spark, [(8, "q", "en", "s")]), path, "append")  # the other writer is first
+    add = ix._write_segment(build_index(_titles(spark, [(9, "r", "en", "s")])), path)
+    with pytest.raises(ix.ConcurrentWriteError):
+        ix._commit(spark, path, before, [*before["segments"], add])
+    idx = CorpusIndex.load(spark, path)
+    assert {r["doc_id"] for r in idx.docs.select("doc_id").collect()} == {1, 2, 3, 4, 8} and idx.version == 2
+
+
+def _same_as_rebuilt(idx, docs):
+    fresh = build_index(docs)
+    for got, want in ((idx.term_dictionary(), fresh.term_dictionary()), (idx.postings, fresh.postings), (idx.doc_fields, fresh.doc_fields),
+                      (idx.docs.select("doc_id", "text"), fresh.docs.select("doc_id", "text")),
+                      (idx.lookup(fresh.postings.where("field = 'text'").select("term").distinct()), fresh.field_postings("text"))):
+        cols = sorted(want.columns)
+        assert sorted(map(str, got.select(*cols).collect())) == sorted(map(str, want.select(*cols).collect()))
+
+
+def test_many_updates_and_merges_equal_a_rebuild(spark, tmp_path):
+    import random
+
+    from lexiframe.operators.index import _last_commit, merge_segments, write_index
+
+    rnd, path = random.Random(4), str(tmp_path / "idx")
+    now = {i: " ".join(rnd.choices("a b c d e f g".split(), k=rnd.randint(0, 6))) for i in range(12)}
+    write_index(spark, _titles(spark, [(i, t, "en", "s") for i, t in now.items()]), path)
+    for step in range(4):
+        batch = {rnd.randrange(16): " ".join(rnd.choices("c d x y".split(), k=rnd.randint(0, 3))) for _ in range(3)}
+        now |= batch
+        idx = write_index(spark, _titles(spark, [(i, t, "en", "s") for i, t in batch.items()]), path, "update")
+        if step == 2:
+            n = len(_last_commit(spark, path)["segments"])
+            assert merge_segments(spark, path)
+            idx = CorpusIndex.load(spark, path)
+            assert 1 < len(_last_commit(spark, path)["segments"]) < n  # the large segment stays
+    _same_as_rebuilt(idx, _titles(spark, [(i, t, "en", "s") for i, t in now.items()]))
+    while merge_segments(spark, path):
+        pass
+    idx = CorpusIndex.load(spark, path)
+    assert len(idx.segments) == 1
+    _same_as_rebuilt(idx, _titles(spark, [(i, t, "en", "s") for i, t in now.items()]))
+
+
+def test_lookup_reads_only_the_buckets_of_its_terms(spark, tmp_path):
+    docs = _titles(spark, [(i, " ".join(f"w{(i * 7 + j) % 500:03d}" for j in range(40)) + " hot", "en", "s") for i in range(300)])
+    path = str(tmp_path / "idx")
+    build_index(docs).save(path)
+    idx = CorpusIndex.load(spark, path)
+    at = tmp_path / "wanted"
+    spark.createDataFrame([("w003",), ("w004",)], "term string").write.parquet(str(at))
+    found = idx.lookup(spark.read.parquet(str(at)))
+    rows = found.collect()
+    assert {r["term"] for r in rows} == {"w003", "w004"} and len(rows) == sum(w in f" {d['text']} " for d in docs.collect() for w in (" w003 ", " w004 "))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan.lower()
+    ranges = idx.segments[0].ranges.where("field = 'text'")
+    assert ranges.where("lo <= 'w004' and hi >= 'w003'").count() < ranges.count() / 4
+    assert ranges.where("lo <= 'hot' and hi >= 'hot'").count() == ranges.where("lo = 'hot' or hi = 'hot'").count()
+
+
+def test_vector_is_a_pushed_range(spark, tiny_docs, tmp_path):
+    tiny = build_index(tiny_docs)
+    tiny.save(str(tmp_path / "idx"))
+    idx = CorpusIndex.load(spark, str(tmp_path / "idx"))
+    v = idx.vector(1)
+    assert {(r["term"], r["tf"]) for r in v.collect()} == {("a", 2), ("b", 1), ("c", 1)}
+    assert "EqualTo(doc_id,1)" in v._jdf.queryExecution().executedPlan().toString()
+    assert idx.vector(99).count() == 0
+
+
+def test_similar_docs_fills_with_unrelated_documents_only_when_needed(spark, tiny_docs, tmp_path):
+    from lexiframe.operators import similarity as sim
+
+    build_index(tiny_docs).save(str(tmp_path / "idx"))
+    for idx in (build_index(tiny_docs), CorpusIndex.load(spark, str(tmp_path / "idx"))):
+        for rep in sim.REPRESENTATIONS:
+            rows = sim.similar_docs(idx, 2, rep, top=3, show=("source",)).orderBy("rank").collect()
+            assert rows[0]["doc_id"] == 1 and rows[0]["source"] == "s1"
+            assert [(r["doc_id"], r["sim"], r["rank"]) for r in rows[1:]] == [(3, 0.0, 2), (4, 0.0, 3)]
+        full = {(r["doc_id"], r["sim"]) for r in sim.similar_docs(idx, 1, "tf", top=2).collect()}
+        assert full == {(r["doc_id"], r["sim"]) for r in sim.similarity_scores(idx, 1, "tf").where("sim > 0").collect()}
+
+
+def test_norms_follow_the_version(spark, tiny_docs, tmp_path):
+    from lexiframe.operators import similarity as sim
+    from lexiframe.operators.index import write_index
+
+    path = str(tmp_path / "idx")
+    idx = write_index(spark, tiny_docs, path)
+    for _ in range(2):  # the second call reads the stored table
+        got = {r["doc_id"]: r["norm"] for r in sim.tfxidf_norms(idx).collect()}
+        assert got == {r["doc_id"]: r["norm"] for r in sim.tfxidf_norms(build_index(tiny_docs)).collect()}
+    more = _titles(spark, [(5, "a a", "en", "s"), (6, "c", "en", "s")])
+    idx = write_index(spark, more, path, "append")
+    got = {r["doc_id"]: round(r["norm"], 9) for r in sim.tfxidf_norms(idx).collect()}
+    assert got == {r["doc_id"]: round(r["norm"], 9) for r in sim.tfxidf_norms(build_index(tiny_docs.unionByName(more))).collect()}
