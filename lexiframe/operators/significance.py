@@ -3,9 +3,10 @@
 * paired t test: t = mean(d) / (sd(d)/sqrt(n)), df = n − 1, two-sided p from the exact
   Student-t series for integer df;
 * Wilcoxon signed-rank: zero differences dropped, |d| ranked with average ranks for ties,
-  W+ / W− rank sums, W = min(W+, W−), normal approximation
-  z = (W − n(n+1)/4) / sqrt(n(n+1)(2n+1)/24) without continuity or tie correction,
-  p = 2 Φ(−|z|).
+  W+ / W− rank sums, W = min(W+, W−),
+  z = (W − n(n+1)/4) / sqrt(n(n+1)(2n+1)/24 − Σ(t³ − t)/48) over the sizes t of groups of ties, no
+  continuity correction. Up to ``EXACT_N`` differences p is exact: a dynamic program over the
+  doubled ranks counts the sign choices whose rank sum is at most W; beyond that p = 2 Φ(−|z|).
 Decision: the null hypothesis is rejected when p < α.
 
 Differences are rounded to 9 decimals before the sign / tie logic, so 0.6 − 0.6 and ties of
@@ -14,13 +15,14 @@ binary-inexact differences behave as exact decimals.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexiframe.functions.stats import normal_cdf, student_t_two_sided_p
 from lexiframe.operators.sizing import checkpoint_dir
 
 DIFF_DECIMALS = 9
+EXACT_N = 50  # 2^50 sign choices are still counted exactly by doubles
 
 
 def paired_differences(x: DataFrame, y: DataFrame, value: str = "value", key: str = "query_id") -> DataFrame:
@@ -39,8 +41,8 @@ def paired_t_test(diffs: DataFrame, alpha: float = 0.05, d: str = "d") -> DataFr
     return out.withColumn("reject", F.col("p") < F.lit(alpha))
 
 
-def signed_rank_sums(diffs: DataFrame, d: str = "d") -> DataFrame:
-    """One row ``n, w_plus, w_minus`` with average ranks for tied |d| (zeros dropped).
+def _ranked_groups(diffs: DataFrame, d: str) -> DataFrame:
+    """``cnt, n_pos, avg_rank`` of every distinct |d| (zeros dropped).
 
     Ranks without a one-partition window over all differences: equal |d| values collapse
     first (one row per distinct |d| with its positive / negative counts); those rows are
@@ -61,23 +63,51 @@ def signed_rank_sums(diffs: DataFrame, d: str = "d") -> DataFrame:
     sizes = local.groupBy("_pid").agg(F.sum("cnt").alias("_n"))
     offs = sizes.withColumn("_off", F.coalesce(
         F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    ranked = local.join(F.broadcast(offs.select("_pid", "_off")), "_pid").select(
+    return local.join(F.broadcast(offs.select("_pid", "_off")), "_pid").select(
         "cnt", "n_pos",
         (F.col("_off") + F.col("_below") + (F.col("cnt") + 1) / 2.0).alias("avg_rank"))
+
+
+def _sums(ranked: DataFrame, *more: Column) -> DataFrame:
     return ranked.agg(
         F.coalesce(F.sum("cnt"), F.lit(0)).cast("bigint").alias("n"),
         F.coalesce(F.sum(F.col("avg_rank") * F.col("n_pos")), F.lit(0.0)).alias("w_plus"),
-        F.coalesce(F.sum(F.col("avg_rank") * (F.col("cnt") - F.col("n_pos"))), F.lit(0.0)).alias("w_minus"))
+        F.coalesce(F.sum(F.col("avg_rank") * (F.col("cnt") - F.col("n_pos"))), F.lit(0.0)).alias("w_minus"), *more)
+
+
+def signed_rank_sums(diffs: DataFrame, d: str = "d") -> DataFrame:
+    """One row ``n, w_plus, w_minus`` with average ranks for tied |d| (zeros dropped)."""
+    return _sums(_ranked_groups(diffs, d))
+
+
+def exact_signed_rank_p(ranks: Column, w: Column) -> Column:
+    """Two-sided p of the rank sum ``w`` under all sign choices of ``ranks``, an array of doubled ranks
+    (whole numbers also with ties). ``counts[s]`` is how many choices have the doubled sum s; each rank
+    adds the counts shifted by it."""
+    total = F.aggregate(ranks, F.lit(0), lambda a, r: a + r)
+    start = F.concat(F.array(F.lit(1.0)), F.array_repeat(F.lit(0.0), total))
+    counts = F.aggregate(ranks, start, lambda acc, r: F.transform(
+        acc, lambda c, s: c + F.when(s >= r, F.get(acc, s - r)).otherwise(0.0)))
+    most = F.floor(2 * w).cast("int") + 1
+    below = F.aggregate(F.slice(counts, F.lit(1), most), F.lit(0.0), lambda a, c: a + c)
+    return F.least(F.lit(1.0), 2.0 * below / F.pow(F.lit(2.0), F.size(ranks)))
 
 
 def wilcoxon_test(diffs: DataFrame, alpha: float = 0.05, d: str = "d") -> DataFrame:
-    """One row: ``n, w_plus, w_minus, w, z, p, reject``."""
-    s = signed_rank_sums(diffs, d)
+    """One row: ``n, w_plus, w_minus, w, z, p, reject``; z and p are null without a difference."""
+    checkpoint_dir(diffs.sparkSession)
+    ranked = _ranked_groups(diffs, d).checkpoint()
+    few = ranked.agg(F.sum("cnt")).scalar() <= EXACT_N  # the ranks come together only if they are few
+    ranks = ranked.where(few).agg(F.flatten(F.collect_list(
+        F.array_repeat((2 * F.col("avg_rank")).cast("int"), F.col("cnt").cast("int")))).alias("r"))
+    cnt = F.col("cnt").cast("double")
+    s = _sums(ranked, F.coalesce(F.sum(cnt * cnt * cnt - cnt), F.lit(0.0)).alias("ties")).withColumn("r", ranks.scalar())
     n = F.col("n").cast("double")
     mu = n * (n + 1) / 4.0
-    sigma = F.sqrt(n * (n + 1) * (2 * n + 1) / 24.0)
+    sigma = F.sqrt(n * (n + 1) * (2 * n + 1) / 24.0 - F.col("ties") / 48.0)
     w = F.least("w_plus", "w_minus")
     z = F.when(F.col("n") > 0, (w - mu) / sigma)
-    out = s.select("n", "w_plus", "w_minus", w.alias("w"), z.alias("z"))
-    out = out.withColumn("p", 2.0 * normal_cdf(-F.abs(F.col("z"))))
-    return out.withColumn("reject", F.col("p") < F.lit(alpha))
+    out = s.select("n", "w_plus", "w_minus", w.alias("w"), z.alias("z"), "r")
+    p = F.when(F.col("n") == 0, F.lit(None)).when(F.col("n") <= EXACT_N, exact_signed_rank_p(F.col("r"), F.col("w"))).otherwise(
+        2.0 * normal_cdf(-F.abs(F.col("z"))))
+    return out.withColumn("p", p).drop("r").withColumn("reject", F.col("p") < F.lit(alpha))

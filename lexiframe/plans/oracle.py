@@ -450,16 +450,26 @@ SELECT CAST(n AS BIGINT) AS n, round(mean, 6) AS mean, round(sd, 6) AS sd, round
 
 
 def _wilcoxon() -> str:
-    return f"""WITH {_paired_base()},
+    return f"""WITH RECURSIVE {_paired_base()},
 nz AS (SELECT abs(d) AS a, d > 0 AS pos FROM pd WHERE d <> 0),
-rk AS (SELECT a, pos, rank() OVER (ORDER BY a) + (count(*) OVER (PARTITION BY a) - 1) / 2.0 AS rk FROM nz),
+rk AS (SELECT a, pos, rank() OVER (ORDER BY a) + (count(*) OVER (PARTITION BY a) - 1) / 2.0 AS rk,
+              row_number() OVER (ORDER BY a) AS i FROM nz),
+ti AS (SELECT coalesce(sum(t * t * t - t), 0.0) AS ties FROM (SELECT CAST(count(*) AS DOUBLE) AS t FROM nz GROUP BY a)),
 w AS (SELECT count(*) AS n, coalesce(sum(CASE WHEN pos THEN rk ELSE 0 END), 0.0) AS w_plus,
              coalesce(sum(CASE WHEN pos THEN 0 ELSE rk END), 0.0) AS w_minus FROM rk),
 z AS (SELECT n, w_plus, w_minus, least(w_plus, w_minus) AS w,
              CASE WHEN n > 0 THEN (least(w_plus, w_minus) - n * (n + 1) / 4.0)
-                  / sqrt(n * (n + 1) * (2 * n + 1) / 24.0) END AS z FROM w)
+                  / sqrt(n * (n + 1) * (2 * n + 1) / 24.0 - ties / 48.0) END AS z FROM w, ti),
+-- sign choices of the first i differences by their rank sum, for up to 50 differences
+dist AS (SELECT CAST(0 AS BIGINT) AS i, CAST(0 AS DOUBLE) AS s, CAST(1 AS DOUBLE) AS c
+         UNION ALL
+         SELECT i, s, sum(c) AS c FROM (
+           SELECT dist.i + 1 AS i, dist.s + g * rk.rk AS s, dist.c
+           FROM dist JOIN rk ON rk.i = dist.i + 1 CROSS JOIN (VALUES (0), (1)) AS sign(g), w WHERE w.n <= 50) GROUP BY i, s)
 SELECT CAST(n AS BIGINT) AS n, round(w_plus, 6) AS w_plus, round(w_minus, 6) AS w_minus, round(w, 6) AS w,
-       round(z, 6) AS z, round(2 * ({_phi_neg('abs(z)')}), 6) AS p FROM z"""
+       round(z, 6) AS z, round(CASE WHEN n = 0 THEN NULL
+         WHEN n <= 50 THEN least(1.0, 2 * (SELECT sum(c) FROM dist WHERE dist.i = z.n AND dist.s <= z.w) / pow(2, n))
+         ELSE 2 * ({_phi_neg('abs(z)')}) END, 6) AS p FROM z"""
 
 
 ORACLE_SQL["tune_train_test"] = _tune_train_test()

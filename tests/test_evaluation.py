@@ -86,7 +86,45 @@ def test_wilcoxon(spark):  # Q27: p-value reported, zero difference dropped
     x, y = _xy(spark)
     r = sg.wilcoxon_test(sg.paired_differences(x, y)).collect()[0]
     assert (r.n, r.w_plus, r.w_minus) == (3, 6.0, 0.0)
-    assert r.z == pytest.approx(-1.603567, abs=1e-6) and r.p == pytest.approx(0.108809, abs=1e-6)
+    assert r.z == pytest.approx(-1.603567, abs=1e-6) and r.p == pytest.approx(0.25)  # exact: 2 of 8 sign choices
+
+
+def _p_by_enumeration(d):
+    """Two-sided exact p over all sign choices, with average ranks; zeros dropped."""
+    from itertools import product
+
+    nz = [x for x in d if x]
+    a = sorted(abs(x) for x in nz)
+    rank = {v: sum(i + 1 for i, x in enumerate(a) if x == v) / a.count(v) for v in set(a)}
+    plus, minus = sum(rank[abs(x)] for x in nz if x > 0), sum(rank[abs(x)] for x in nz if x < 0)
+    sums = [sum(rank[abs(x)] for x, s in zip(nz, signs) if s) for signs in product((0, 1), repeat=len(nz))]
+    return min(1.0, 2 * sum(s <= min(plus, minus) for s in sums) / len(sums))
+
+
+def test_wilcoxon_exact_p_equals_enumeration(spark):
+    import random
+
+    rnd = random.Random(8)
+    cases = [[1.0, 2.0, 3.0, 4.0, 5.0], [1.0, -1.0], [2.0], [1.0, 1.0, 1.0, -1.0, 0.0, 0.0]]
+    cases += [[float(rnd.randint(-3, 3)) for _ in range(n)] for n in (6, 9, 12)] + [[rnd.uniform(-1, 2) for _ in range(12)]]
+    for d in cases:
+        if any(d):
+            r = sg.wilcoxon_test(spark.createDataFrame(list(enumerate(d)), "query_id bigint, d double")).collect()[0]
+            assert r.p == pytest.approx(_p_by_enumeration(d), abs=1e-12), d
+    five = sg.wilcoxon_test(spark.createDataFrame(list(enumerate(cases[0])), "query_id bigint, d double")).collect()[0]
+    assert five.p == 0.0625 and not five.reject
+
+
+def test_wilcoxon_beyond_the_exact_size_corrects_for_ties(spark):
+    import math
+
+    d = [float((i * 7) % 5 - 1) for i in range(100)]
+    r = sg.wilcoxon_test(spark.createDataFrame(list(enumerate(d)), "query_id bigint, d double")).collect()[0]
+    a = [abs(x) for x in d if x]
+    n, ties = len(a), sum(a.count(v) ** 3 - a.count(v) for v in set(a))
+    sigma = math.sqrt(n * (n + 1) * (2 * n + 1) / 24 - ties / 48)
+    assert n > sg.EXACT_N and r.z == pytest.approx((r.w - n * (n + 1) / 4) / sigma)
+    assert r.p == pytest.approx(math.erfc(abs(r.z) / math.sqrt(2)), rel=1e-9)
 
 
 def test_wilcoxon_ties_average_ranks(spark):
