@@ -14,10 +14,13 @@ lengths and positions need no shuffle.
 On disk an index is a list of segments, named by the last commit. A segment holds
 
 * ``term_vectors``  the term arrays, range-partitioned by document: one document is a pushed range;
-* ``postings``      range-partitioned by (field, term, document) into folders ``field=/bucket=``, with
+* ``postings``      range-partitioned by (field, term, block, document) into folders ``field=/bucket=``, with
                     ``ranges`` (first and last term of every bucket). A look-up maps its terms to
                     buckets and joins on (bucket, term), so that Spark prunes the other folders at
                     run time; a term in very many documents spreads over several buckets;
+* ``impacts``       per term of at least ``DENSE_DF`` documents and block the largest tf / doc_len. A block
+                    holds documents of about one length, some ``BLOCK_DOCS`` of them, so that the few short
+                    documents with high shares do not lift the bound of all others;
 * ``docs``, ``doc_fields``, ``terms`` as above, and ``tombstones``: the keys of earlier segments that
                     this segment replaces. Readers leave them out by an anti-join; the dictionary of
                     the segment takes their counts off.
@@ -60,6 +63,8 @@ DOCUMENT_FIELDS = (FieldSpec("text", True), FieldSpec("lang", False), FieldSpec(
 RANGE_ROWS = 20_000_000   # postings per task that writes them
 LEAST_RANGES = 32         # and buckets of a segment, at least
 MOST_BUCKETS = 4096       # folders per segment and field; beyond it several files lie in a folder
+BLOCK_DOCS = 512          # documents of a block, about
+DENSE_DF = 32             # terms in fewer documents have no impacts; their postings are as few
 MERGE_SEGMENTS = 8        # an update or append that would make more merges small segments
 
 
@@ -75,7 +80,8 @@ class ConcurrentWriteError(RuntimeError):
 class Segment:
     """Postings of one segment with their bucket, and the term range of each bucket."""
 
-    postings: DataFrame  # field, bucket, key, term, tf, doc_len
+    postings: DataFrame  # field, bucket, key, term, block, tf, doc_len
+    impacts: DataFrame   # field, bucket, term, block, top
     ranges: DataFrame    # field, bucket, lo, hi
     dead: DataFrame | None  # keys that later segments replace
 
@@ -103,17 +109,19 @@ class CorpusIndex:
         (bucket, term) lets Spark skip all other folders (dynamic partition pruning)."""
         if not self.segments:
             return self.field_postings(name).join(wanted, "term")
-        found = []
-        for s in self.segments:
-            # one row per bucket: at most MOST_BUCKETS
-            ranges = s.ranges.where(F.col("field") == name).select(F.collect_list(F.struct("bucket", "lo", "hi"))).scalar()
-            staged = wanted.where(F.length("term") > 0).withColumn("_ranges", ranges)
-            own = F.filter("_ranges", lambda r: (r["lo"] <= F.col("term")) & (F.col("term") <= r["hi"]))
-            dealt = staged.select(*wanted.columns, F.explode(own).alias("_b")).select(*wanted.columns, F.col("_b.bucket").alias("bucket"))
-            rows = s.postings.where(F.col("field") == name).drop("field").join(dealt, ["bucket", "term"]).drop("bucket")
-            found.append(rows if s.dead is None else rows.join(s.dead, self.key, "left_anti"))
+        found = [self.segment_rows(s, s.postings, wanted, name).drop("block") for s in self.segments]
         return reduce(DataFrame.unionByName, found)
 
+    def segment_rows(self, s: Segment, table: DataFrame, wanted: DataFrame, name: str) -> DataFrame:
+        """The same for one segment's postings or impacts, with their block."""
+        # one row per bucket: at most MOST_BUCKETS
+        ranges = s.ranges.where(F.col("field") == name).select(F.collect_list(F.struct("bucket", "lo", "hi"))).scalar()
+        staged = wanted.where(F.length("term") > 0).withColumn("_ranges", ranges)
+        own = F.filter("_ranges", lambda r: (r["lo"] <= F.col("term")) & (F.col("term") <= r["hi"]))
+        dealt = staged.select(*wanted.columns, F.explode(own).alias("_b")).select(*wanted.columns, F.col("_b.bucket").alias("bucket"))
+        rows = table.where(F.col("field") == name).drop("field").join(dealt, ["bucket", "term"]).drop("bucket")
+        return rows if s.dead is None or self.key not in rows.columns else rows.join(s.dead, self.key, "left_anti")
+
     def vector(self, doc_id, name: str = "text") -> DataFrame:
         """``term, tf`` of one document: a pushed range of the term vectors where they are at hand."""
         if self.forward is None:
@@ -210,7 +218,13 @@ class CorpusIndex:
 
 def _open(spark: SparkSession, path: str, version: int, segments: list[dict], key: str, fields: tuple[FieldSpec, ...]) -> CorpusIndex:
     base = path.rstrip("/")
-    read = lambda i, name: spark.read.parquet(f"{base}/{segments[i]['name']}/{name}")
+    # tables without a row have no files that tell their schema
+    kinds = {"impacts": "term string, block bigint, top double, field string, bucket int"}
+
+    def read(i: int, name: str) -> DataFrame:
+        return spark.read.schema(kinds[name]).parquet(f"{base}/{segments[i]['name']}/{name}") if name in kinds else spark.read.parquet(
+            f"{base}/{segments[i]['name']}/{name}")
+
     at = range(len(segments))
     dead: list[DataFrame | None] = []
     for i in at:
@@ -226,7 +240,8 @@ def _open(spark: SparkSession, path: str, version: int, segments: list[dict], ke
     # df and cf add up over disjoint document sets; a term whose documents are all replaced goes
     dictionary = terms[0] if len(terms) == 1 else sum_dictionaries(terms).where("df > 0")
     forward = part("term_vectors", key, "field", "terms", "n_tokens") if all(s["vectors"] for s in segments) else None
-    postings = tuple(Segment(read(i, "postings").select("field", "bucket", key, "term", "tf", "doc_len"), read(i, "ranges"), dead[i]) for i in at)
+    postings = tuple(Segment(read(i, "postings").select("field", "bucket", key, "term", "block", "tf", "doc_len"),
+                             read(i, "impacts").select("field", "bucket", "term", "block", "top"), read(i, "ranges"), dead[i]) for i in at)
     return CorpusIndex(part("docs"), part("postings", "field", key, "term", "tf", "doc_len"),
                        part("doc_fields", "field", key, "n_terms", "n_tokens", "tf_sq"), key, fields, forward, dictionary,
                        postings, base, version)
@@ -251,24 +266,30 @@ def _write_segment(index: CorpusIndex, path: str, replaced: DataFrame | None = N
         fwd = spark.read.parquet(f"{base}/term_vectors")
         postings, doc_fields = _postings_from(fwd, key), _lengths_from(fwd, key)
     index.docs.write.parquet(f"{base}/docs")
+    docs = spark.read.parquet(f"{base}/docs").count()
     doc_fields.write.partitionBy("field").parquet(f"{base}/doc_fields")
     total = spark.read.parquet(f"{base}/doc_fields").agg(F.sum("n_terms")).first()[0] or 0
     tasks = max(LEAST_RANGES, -(-total // RANGE_ROWS))
-    ranged = postings.repartitionByRange(tasks, "field", "term", key).withColumn(
+    deal = F.lit(-(-docs // (16 * BLOCK_DOCS)) or 1)  # blocks of a class of lengths; some 16 classes hold most documents
+    block = (F.floor(4 * F.log2(F.col("doc_len").cast("double"))) * deal + F.pmod(F.xxhash64(key), deal)).cast("bigint")
+    ranged = postings.withColumn("block", block).repartitionByRange(tasks, "field", "term", "block", key).withColumn(
         "bucket", F.floor(F.spark_partition_id() / -(-tasks // MOST_BUCKETS)).cast("int"))
-    ranged.sortWithinPartitions("field", "term", key).write.partitionBy("field", "bucket").parquet(f"{base}/postings")
+    ranged.sortWithinPartitions("field", "term", "block", key).write.partitionBy("field", "bucket").parquet(f"{base}/postings")
     stored = spark.read.schema(ranged.schema).parquet(f"{base}/postings")
     stored.groupBy("field", "bucket").agg(F.min("term").alias("lo"), F.max("term").alias("hi")).coalesce(1).write.parquet(f"{base}/ranges")
-    terms = index.terms
-    if terms is None:  # aggregate the written postings (read back: partition-pruned columns)
-        terms = stored.groupBy("field", "term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").cast("bigint").alias("cf"))
+    own = stored.groupBy("field", "term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").cast("bigint").alias("cf"))
+    terms = own if index.terms is None else index.terms
+    tops = stored.groupBy("field", "bucket", "term", "block").agg(F.max(F.col("tf") / F.col("doc_len")).alias("top"))
+    dense = saved(own.where(F.col("df") >= DENSE_DF).select("field", "term"), "dense-terms")
+    tops = tops.join(dense, ["field", "term"], "left_semi").repartition("field", "bucket")
+    tops.sortWithinPartitions("field", "bucket", "term").write.partitionBy("field", "bucket").parquet(f"{base}/impacts")
     if lost is not None:
         terms = sum_dictionaries([terms.select("field", "term", "df", "cf"), lost.select(
             "field", "term", (-F.col("df")).alias("df"), (-F.col("cf")).alias("cf"))])
     terms.sortWithinPartitions("field", "term").write.partitionBy("field").parquet(f"{base}/terms")
     if replaced is not None:
         replaced.write.parquet(f"{base}/tombstones")
-    return {"name": name, "vectors": index.forward is not None, "tombstones": replaced is not None, "docs": spark.read.parquet(f"{base}/docs").count()}
+    return {"name": name, "vectors": index.forward is not None, "tombstones": replaced is not None, "docs": docs}
 
 
 def _last_commit(spark: SparkSession, path: str) -> dict | None:

@@ -14,7 +14,8 @@ shared checkpoint folder every iteration, which cuts the lineage of the loop.
 
 Seeding: ``seeds_smallest_ids`` (deterministic) or ``kmeanspp_seeds`` (D² weighting: every
 round takes the record with the smallest exponential key −ln(u)/D², a distributed weighted
-draw without a global cumulative sum).
+draw without a global cumulative sum). Its u is a hash of seed, round and record id: the draw does
+not depend on partitions or retries, and SQL can repeat it.
 """
 
 from __future__ import annotations
@@ -29,6 +30,9 @@ from lexiframe.functions.stats import sq_euclidean
 from lexiframe.operators.sizing import broadcast_when, checkpoint_dir
 
 
+FALL = 1e-10  # a relative fall of the SSE below this is rounding
+
+
 @dataclass
 class KMeansResult:
     assignments: DataFrame  # id, cluster, dist2
@@ -102,7 +106,7 @@ def kmeans(df: DataFrame, k: int, iterations: int | None = 3, id_col: str = "vec
         centroids = new_centroids
         if iterations is None:
             sse = sse_df.first()["sse"]  # one number per round decides the loop
-            if prev_sse - sse <= 0.0:
+            if prev_sse - sse <= FALL * sse:
                 break
             prev_sse = sse
     sse = sse_parts[0]
@@ -119,15 +123,22 @@ def min_distance_to(df: DataFrame, centers: Column, id_col: str = "vec_id", vec_
     return a.select(id_col, F.col("dist2").alias("min_dist2"))
 
 
+def hashed_uniform(id_col: str, seed: int) -> Column:
+    """A number in (0, 1) per id: the first 52 bits of the MD5 of ``id:seed``."""
+    digest = F.md5(F.concat(F.col(id_col).cast("string"), F.lit(f":{seed}")))
+    return (F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") + 0.5) / F.lit(float(2**52))
+
+
 def kmeanspp_seeds(df: DataFrame, k: int, seed: int = 42, id_col: str = "vec_id",
                    vec_col: str = "embedding") -> DataFrame:
     """k-means++ seeding: first center uniformly, then each next one with probability ∝ D²."""
-    first = (df.select(id_col, _as_double_array(vec_col).alias("center"), F.rand(seed).alias("u"))
+    checkpoint_dir(df.sparkSession)
+    first = (df.select(id_col, _as_double_array(vec_col).alias("center"), hashed_uniform(id_col, seed).alias("u"))
              .orderBy("u", id_col).limit(1).select(F.lit(0).alias("cluster"), "center"))
     centroids = first.checkpoint(eager=True)
     for i in range(1, k):
         d = assign_nearest(df, _centers(centroids), id_col, vec_col)
-        key = -F.log(F.rand(seed + i)) / F.col("dist2")
+        key = -F.log(hashed_uniform(id_col, seed + i)) / F.col("dist2")
         nxt = (d.where(F.col("dist2") > 0).select("vec", key.alias("key"), id_col)
                .orderBy("key", id_col).limit(1).select(F.lit(i).alias("cluster"), F.col("vec").alias("center")))
         centroids = centroids.unionByName(nxt).checkpoint(eager=True)

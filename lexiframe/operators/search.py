@@ -23,6 +23,8 @@ per partition.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -32,6 +34,8 @@ from lexiframe.operators.index import CorpusIndex
 from lexiframe.operators.sizing import saved
 
 SCORE_DECIMALS = 9  # fine enough to rank by; reports round what they show
+SLACK = 1e-8  # of a bound, above the rounding of scores and sums
+FIRST = 16    # blocks per query that give the threshold
 # Fixed value: the smoothing grid 0.1 … 1.0.
 LAMBDA_GRID = tuple(round(0.1 * i, 1) for i in range(1, 11))
 
@@ -45,19 +49,85 @@ def query_terms(topics: DataFrame, id_col: str = "query_id", text_col: str = "te
             .select("query_id", "term", F.col("tf").alias("qtf")))
 
 
-def _matched(index: CorpusIndex, qterms: DataFrame, field: str):
-    """Postings of the query vocabulary with query terms and per-term statistics.
-
-    Topics meet the dictionary first; that table, as large as the topics, is written once, and the
-    postings are read in one join with it, pruned to its terms on a saved index."""
-    key = index.key
+def _wanted(index: CorpusIndex, qterms: DataFrame, field: str) -> DataFrame:
+    """``query_id, term, qtf, df, cf`` of the query terms that the collection has, written once."""
     if index.terms is not None:
         stats = index.terms.where(F.col("field") == field).select("term", "df", "cf")
     else:
         vocab = qterms.select("term").distinct()
         stats = index.lookup(vocab, field).groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").cast("bigint").alias("cf"))
-    wanted = saved(saved(qterms, "query-terms").join(stats, "term"), "query-statistics")
-    return index.lookup(wanted, field).select("query_id", key, "term", "qtf", "tf", "doc_len", "df", "cf")
+    return saved(saved(qterms, "query-terms").join(stats, "term"), "query-statistics")
+
+
+def _matched(index: CorpusIndex, qterms: DataFrame, field: str):
+    """Postings of the query vocabulary with query terms and per-term statistics.
+
+    Topics meet the dictionary first; that table, as large as the topics, is written once, and the
+    postings are read in one join with it, pruned to its terms on a saved index."""
+    return index.lookup(_wanted(index, qterms, field), field).select("query_id", index.key, "term", "qtf", "tf", "doc_len", "df", "cf")
+
+
+def _blocks(index: CorpusIndex, wanted: DataFrame, field: str) -> list[DataFrame]:
+    """Per segment ``query_id, block, qtf, df, cf, tf, doc_len``: for every query term and block the largest
+    share of the term, as tf of a document of length 1. Terms without impacts give it from their
+    postings, which are few."""
+    out = []
+    cols = ["query_id", "term", "block", "qtf", "df", "cf"]
+    for s in index.segments:
+        dense = index.segment_rows(s, s.impacts, wanted, field).select(*cols, "top")
+        have = index.segment_rows(s, s.impacts, wanted.select("term").distinct(), field).select("term").distinct()
+        few = index.segment_rows(s, s.postings, wanted.join(have, "term", "left_anti"), field)
+        rows = dense.unionByName(few.select(*cols, (F.col("tf") / F.col("doc_len")).alias("top")))
+        tops = rows.groupBy(*cols).agg(F.max("top").alias("tf"))  # a term may lie in several buckets
+        out.append(tops.withColumn("doc_len", F.lit(1.0)))
+    return out
+
+
+def block_bounds(index: CorpusIndex, wanted: DataFrame, term: Column, field: str = "text") -> DataFrame:
+    """``query_id, part, block, bound``: no document of the block of segment ``part`` scores higher."""
+    parts = [b.groupBy("query_id", "block").agg((F.sum(term) * (1 + SLACK) + SLACK).alias("bound")).withColumn("part", F.lit(i))
+             for i, b in enumerate(_blocks(index, wanted, field))]
+    return reduce(DataFrame.unionByName, parts).select("query_id", "part", "block", "bound")
+
+
+def _score_blocks(index: CorpusIndex, wanted: DataFrame, keep: DataFrame, term: Column, field: str) -> DataFrame:
+    """Scores of the documents in the (query, segment, block) rows of ``keep``."""
+    parts = []
+    for i, s in enumerate(index.segments):
+        rows = index.segment_rows(s, s.postings, wanted, field)
+        mine = keep.where(F.col("part") == i).select("query_id", "block")
+        parts.append(rows.join(mine, ["query_id", "block"], "left_semi").select("query_id", index.key, "qtf", "tf", "doc_len", "df", "cf"))
+    rows = reduce(DataFrame.unionByName, parts)
+    return rows.groupBy("query_id", index.key).agg(F.round(F.sum(term), SCORE_DECIMALS).alias("score"))
+
+
+@dataclass
+class BoundedSearch:
+    hits: DataFrame    # query_id, key, score, rank
+    bounds: DataFrame  # query_id, part, block, bound
+    kept: DataFrame    # query_id, part, block: those that were scored in the end
+
+
+def bounded_search(index: CorpusIndex, qterms: DataFrame, n: int, term: Column, field: str = "text") -> BoundedSearch:
+    """The same top ``n`` as scoring every matching document, ties included, from the blocks that can
+    hold one of them.
+
+    Both models grow with tf / doc_len, so that a block's largest share per term bounds its documents.
+    The ``FIRST`` blocks of highest bound per query are scored first; their n-th score is a threshold,
+    and only blocks whose bound reaches it are scored in the second pass. A query with fewer than n
+    hits in its first blocks has no threshold and keeps all its blocks."""
+    if not index.segments:
+        raise ValueError("bounds are stored with a saved index")
+    wanted = _wanted(index, qterms, field)
+    bounds = saved(block_bounds(index, wanted, term, field), "block-bounds")
+    order = Window.partitionBy("query_id").orderBy(F.desc("bound"), "part", "block")
+    first = bounds.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= FIRST).drop("_n")
+    low = top_hits(_score_blocks(index, wanted, saved(first, "first-blocks"), term, field), n, index.key)
+    low = saved(low.where(F.col("rank") == n).select("query_id", F.col("score").alias("low")), "thresholds")
+    kept = saved(bounds.join(low, "query_id", "left").where(F.col("low").isNull() | (F.col("bound") >= F.col("low"))).select(
+        "query_id", "part", "block"), "kept-blocks")
+    hits = top_hits(_score_blocks(index, wanted, kept, term, field), n, index.key)
+    return BoundedSearch(hits.select("query_id", index.key, "score", "rank"), bounds, kept)
 
 
 def _jm_term(lam: float, total_tokens):
@@ -106,9 +176,16 @@ def top_hits(scores: DataFrame, n: int, key: str = "doc_id", by: Sequence[str] =
 
 
 def search(index: CorpusIndex, topics: DataFrame, model: str = "jm", n: int = 10, lam: float = 0.5,
-           power: float = 1.0, field: str = "text", id_col: str = "query_id", text_col: str = "text") -> DataFrame:
-    """Run every topic: ``query_id, doc_id, score, rank``."""
+           power: float = 1.0, field: str = "text", id_col: str = "query_id", text_col: str = "text",
+           bounded: bool = False) -> DataFrame:
+    """Run every topic: ``query_id, doc_id, score, rank``. ``bounded`` (on a saved index) skips blocks of
+    documents that cannot reach the top ``n``; the hits are the same."""
     qt = query_terms(topics, id_col, text_col)
+    if bounded:
+        if model not in ("jm", "tfidf"):
+            raise ValueError("model must be 'jm' or 'tfidf'")
+        term = _jm_term(lam, index.total_tokens(field)) if model == "jm" else _tfidf_term(power, index.num_docs())
+        return bounded_search(index, qt, n, term, field).hits
     if model == "jm":
         scores = score_jm(index, qt, lam, field)
     elif model == "tfidf":

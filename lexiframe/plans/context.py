@@ -34,6 +34,7 @@ TEST = (20, 1 << 62)    # test topics (inclusive)
 SUBSET = (5, 15)        # topic subset report
 KMEANS_K = 5
 KMEANS_ITER = 3
+KMEANS_SEED = 42
 DOC_CLUSTERS = 3
 
 # Optional session setting: a shared folder for saved indexes, kept between sessions.

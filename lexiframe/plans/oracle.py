@@ -234,6 +234,30 @@ def _kmeans_sql(k: int, iters: int) -> str:
     return ",\n".join(parts)
 
 
+def _kmeans_until_sql(k: int, rounds: int) -> str:
+    """Rounds up to the first one in which the SSE does not fall, out of ``rounds`` unrolled ones."""
+    steps = _kmeans_sql(k, rounds).replace(" AS (SELECT", " AS MATERIALIZED (SELECT")
+    sses = " UNION ALL ".join(f"SELECT iteration, sse FROM s{i}" for i in range(1, rounds + 1))
+    return f"""WITH {steps},
+sses AS MATERIALIZED ({sses}),
+last AS (SELECT min(iteration) AS n FROM (SELECT iteration, sse, lag(sse) OVER (ORDER BY iteration) AS prev FROM sses)
+         WHERE prev - sse <= 1e-10 * sse)
+SELECT CAST(iteration AS BIGINT) AS iteration, round(sse, 6) AS sse FROM sses, last WHERE iteration <= n"""
+
+
+def _seeds_sql(k: int, seed: int) -> str:
+    u = lambda i: f"((CAST('0x' || substr(md5(CAST(vec_id AS VARCHAR) || ':{seed + i}'), 1, 13) AS BIGINT) + 0.5) / pow(2, 52))"
+    parts = ["d0 AS MATERIALIZED (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v, 'inf'::DOUBLE AS d FROM embeddings)",
+             f"c0 AS MATERIALIZED (SELECT v AS c FROM d0 ORDER BY {u(0)}, vec_id LIMIT 1)"]
+    for i in range(1, k):
+        parts.append(f"d{i} AS MATERIALIZED (SELECT vec_id, v, least(d, {_sqdist('v', 'c')}) AS d FROM d{i - 1}, c{i - 1})")
+        parts.append(f"c{i} AS MATERIALIZED (SELECT v AS c FROM d{i} WHERE d > 0 ORDER BY -ln({u(i)}) / d, vec_id LIMIT 1)")
+    rows = " UNION ALL ".join(f"SELECT CAST({i} AS BIGINT) AS cluster, c FROM c{i}" for i in range(k))
+    return "WITH " + ", ".join(parts) + f"""
+SELECT cluster, CAST(dim AS BIGINT) AS dim, round(value, 6) AS value
+FROM (SELECT cluster, unnest(range(0, len(c))) AS dim, unnest(c) AS value FROM ({rows}))"""
+
+
 def _sparse_kmeans_sql(k: int, iters: int) -> str:
     """Top similar documents (tf cosine) clustered on L1-normalised tf vectors."""
     sim_top = _similar("tf").split("WITH", 1)[1]
@@ -476,6 +500,10 @@ ORACLE_SQL["tune_train_test"] = _tune_train_test()
 ORACLE_SQL["paired_metric_diff"] = f"""WITH {_paired_base()}
 SELECT query_id, round(x, 6) AS x, round(y, 6) AS y, round(d, 6) AS d FROM pd"""
 ORACLE_SQL["paired_t_test"] = _paired_t()
+ORACLE_SQL["kmeans_converged"] = _kmeans_until_sql(C.KMEANS_K, 40)
+ORACLE_SQL["kmeanspp_seeds"] = _seeds_sql(C.KMEANS_K, C.KMEANS_SEED)
+ORACLE_SQL["search_jm_bounded"] = ORACLE_SQL["search_jm_05"]
+ORACLE_SQL["similar_docs_report"] = f"""SELECT s.*, d.source, d.lang FROM ({ORACLE_SQL["similar_tf"]}) s JOIN documents d USING (doc_id)"""
 ORACLE_SQL["wilcoxon_test"] = _wilcoxon()
 ORACLE_SQL["wilcoxon_lineitem"] = """WITH x AS (SELECT round(l_extendedprice * (l_discount - l_tax), 9) AS d FROM lineitem),
 rk AS (SELECT d > 0 AS pos, rank() OVER (ORDER BY abs(d)) + (count(*) OVER (PARTITION BY abs(d)) - 1) / 2.0 AS rk FROM x WHERE d <> 0)

@@ -31,6 +31,7 @@ from lexiframe.plans.context import (
     DOC_CLUSTERS,
     KMEANS_ITER,
     KMEANS_K,
+    KMEANS_SEED,
     SUBSET,
     TARGET_DOC,
     TARGET_VEC,
@@ -291,14 +292,18 @@ def kmeans_sse(spark, sf_dir):
 
 
 def kmeans_converged(spark, sf_dir):
-    """Lloyd with the reference's stopping rule (until the SSE stops falling): iteration, sse.
-
-    Iterative with a data-dependent round count, so no SQL oracle (the fixed-round queries above
-    carry the oracle)."""
+    """Lloyd until the SSE stops falling: iteration, sse."""
     res = km.kmeans(_embeddings(spark, sf_dir), KMEANS_K, iterations=None)
     return res.sse.select(F.col("iteration").cast("bigint").alias("iteration"), _r("sse").alias("sse"))
 
 
+def kmeanspp_seeds(spark, sf_dir):
+    """The K centers of a seeded D² draw, one row per dimension."""
+    c = km.kmeanspp_seeds(_embeddings(spark, sf_dir), KMEANS_K, KMEANS_SEED)
+    return c.select(F.col("cluster").cast("bigint").alias("cluster"), F.posexplode("center").alias("dim", "value")) \
+        .select("cluster", F.col("dim").cast("bigint").alias("dim"), _r("value").alias("value"))
+
+
 def cluster_similar_docs(spark, sf_dir):
     ctx = context(spark, sf_dir)
     top = sim.similar_docs(ctx.index, TARGET_DOC, "tf", TOP_SIMILAR).select("doc_id")
@@ -321,6 +326,18 @@ def _search(model, lam=0.5, power=1.0):
     return q
 
 
+def search_jm_bounded(spark, sf_dir):
+    """The hits of ``search_jm_05`` from the blocks of documents that can hold one."""
+    ctx = context(spark, sf_dir)
+    run = se.search(ctx.index, ctx.topics, "jm", CUT, lam=0.5, bounded=True)
+    return run.select("query_id", "doc_id", _r("score").alias("score"), "rank")
+
+
+def similar_docs_report(spark, sf_dir):
+    """The similar documents with their stored fields."""
+    return sim.similar_docs(context(spark, sf_dir).index, TARGET_DOC, "tf", TOP_SIMILAR, show=("source", "lang"))
+
+
 def search_hits_report(spark, sf_dir):
     ctx = context(spark, sf_dir)
     flags = ev.relevance_flags(ctx.eval_run_jm(0.5), ctx.qrels)
@@ -531,10 +548,13 @@ QUERIES: dict[str, Query] = {
     "kmeans_centroids": kmeans_centroids,
     "kmeans_sse": kmeans_sse,
     "kmeans_converged": kmeans_converged,
+    "kmeanspp_seeds": kmeanspp_seeds,
     "cluster_similar_docs": cluster_similar_docs,
     "search_stats": search_stats,
     "search_jm_01": _search("jm", lam=0.1),
     "search_jm_05": _search("jm", lam=0.5),
+    "search_jm_bounded": search_jm_bounded,
+    "similar_docs_report": similar_docs_report,
     "search_tfidf_p1": _search("tfidf", power=1.0),
     "search_tfidf_p2": _search("tfidf", power=2.0),
     "search_hits_report": search_hits_report,

@@ -338,3 +338,35 @@ def test_norms_follow_the_version(spark, tiny_docs, tmp_path):
     idx = write_index(spark, more, path, "append")
     got = {r["doc_id"]: round(r["norm"], 9) for r in sim.tfxidf_norms(idx).collect()}
     assert got == {r["doc_id"]: round(r["norm"], 9) for r in sim.tfxidf_norms(build_index(tiny_docs.unionByName(more))).collect()}
+
+
+@pytest.mark.parametrize("model", ["jm", "tfidf"])
+def test_bounded_search_equals_full_scoring_and_skips_blocks(spark, tmp_path, monkeypatch, model):
+    import random
+
+    from lexiframe.operators import index as ix
+    from lexiframe.operators import search as se
+
+    monkeypatch.setattr(ix, "BLOCK_DOCS", 4)
+    monkeypatch.setattr(ix, "DENSE_DF", 6)
+    rnd, path = random.Random(6), str(tmp_path / "idx")
+    words = [f"w{i:02d}" for i in range(60)]
+    rows = [(i, " ".join(rnd.choices(words, weights=[1 / (j + 1) for j in range(60)], k=rnd.choice((3, 10, 40, 160)))), "en", "s") for i in range(600)]
+    rows += [(600 + i, rows[i][1], "en", "s") for i in range(20)]  # ties
+    ix.write_index(spark, _titles(spark, rows), path)
+    ix.write_index(spark, _titles(spark, [(3, "w00 w05", "en", "s"), (900, "w40 w41 w40", "en", "s")]), path, "update")
+    idx = CorpusIndex.load(spark, path)
+    topics = spark.createDataFrame([(1, "w00 w05 w30"), (2, "w50"), (3, "w40 w41 w59 w40"), (4, "nothing"), (5, " ".join(words))], "query_id bigint, text string")
+    want = se.search(idx, topics, model, 10).collect()
+    got = se.search(idx, topics, model, 10, bounded=True).collect()
+    assert sorted(map(str, got)) == sorted(map(str, want)) and len(want) == 40
+    monkeypatch.setattr(se, "FIRST", 6)
+    term = se._jm_term(0.5, idx.total_tokens()) if model == "jm" else se._tfidf_term(1.0, idx.num_docs())
+    run = se.bounded_search(idx, se.query_terms(topics), 10, term)
+    skipped = run.bounds.join(run.kept, ["query_id", "part", "block"], "left_anti").collect()
+    tenth = {r["query_id"]: r["score"] for r in want if r["rank"] == 10}
+    assert len(skipped) > 10 and all(r["bound"] < tenth[r["query_id"]] for r in skipped)
+    full = se.score_jm(idx, se.query_terms(topics), 0.5) if model == "jm" else se.score_tfidf(idx, se.query_terms(topics))
+    best = {r["query_id"]: r["m"] for r in full.groupBy("query_id").agg(F.max("score").alias("m")).collect()}
+    top = {r["query_id"]: r["m"] for r in run.bounds.groupBy("query_id").agg(F.max("bound").alias("m")).collect()}
+    assert all(top[q] >= best[q] for q in best)
