@@ -502,6 +502,11 @@ SELECT query_id, round(x, 6) AS x, round(y, 6) AS y, round(d, 6) AS d FROM pd"""
 ORACLE_SQL["paired_t_test"] = _paired_t()
 ORACLE_SQL["kmeans_converged"] = _kmeans_until_sql(C.KMEANS_K, 40)
 ORACLE_SQL["kmeanspp_seeds"] = _seeds_sql(C.KMEANS_K, C.KMEANS_SEED)
+ORACLE_SQL["search_hits_text"] = f"""WITH {_eval_jm(0.5)}
+SELECT f.query_id, f.rank, f.doc_id, d.text, f.is_rel = 1 AS relevant, round(m.p, 6) AS p, round(m.r, 6) AS r, round(m.ap, 6) AS ap
+FROM flags f JOIN met m ON m.query_id = f.query_id JOIN documents d ON d.doc_id = f.doc_id"""
+ORACLE_SQL["file_tree_documents"] = r"""SELECT doc_id, regexp_replace(coalesce(text, ''), '\r\n?', chr(10), 'g') AS text,
+       CAST(strlen(coalesce(text, '')) + 1 AS BIGINT) AS n_bytes, 'isRegularFile' AS type, CAST(2 AS BIGINT) AS level FROM documents"""
 ORACLE_SQL["search_jm_bounded"] = ORACLE_SQL["search_jm_05"]
 ORACLE_SQL["similar_docs_report"] = f"""SELECT s.*, d.source, d.lang FROM ({ORACLE_SQL["similar_tf"]}) s JOIN documents d USING (doc_id)"""
 ORACLE_SQL["wilcoxon_test"] = _wilcoxon()

@@ -42,7 +42,7 @@ from lexiframe.plans.context import (
     TRAIN,
     context,
 )
-from lexiframe.sources.filetree import DEFAULT_EXTENSIONS, filter_paths
+from lexiframe.sources.filetree import DEFAULT_EXTENSIONS, filter_paths, read_file_tree
 from lexiframe.sources.csv import read_metric_csv, read_numeric_csv
 from lexiframe.sources.judgements import read_qrels
 from lexiframe.sources.smart import read_smart, write_smart
@@ -333,6 +333,26 @@ def search_jm_bounded(spark, sf_dir):
     return run.select("query_id", "doc_id", _r("score").alias("score"), "rank")
 
 
+def search_hits_text(spark, sf_dir):
+    """The hit report with stored text and the metrics of the hit's topic."""
+    ctx = context(spark, sf_dir)
+    flags = ev.relevance_flags(ctx.eval_run_jm(0.5), ctx.qrels)
+    rows = flags.join(ctx.index.docs.select("doc_id", "text"), "doc_id").join(_eval_metrics(spark, sf_dir), "query_id")
+    return rows.select("query_id", "rank", "doc_id", "text", (F.col("is_rel") == 1).alias("relevant"),
+                       _r("p").alias("p"), _r("r").alias("r"), _r("ap").alias("ap"))
+
+
+def file_tree_documents(spark, sf_dir):
+    """Every document written as a file of its own below its source's folder, and the tree read back."""
+    root = scratch_path(spark, "tree")
+    docs = context(spark, sf_dir).documents
+    docs.select("source", "doc_id", F.col("text").alias("value")).write.partitionBy("source", "doc_id").text(root)
+    tree = read_file_tree(spark, root, depth=2)
+    return tree.select(F.regexp_extract("rel_path", r"doc_id=(-?\d+)/", 1).cast("bigint").alias("doc_id"), "text",
+                       F.col("size_bytes").cast("bigint").alias("n_bytes"), F.col("type"),
+                       (F.size(F.split("rel_path", "/")) - 1).cast("bigint").alias("level"))
+
+
 def similar_docs_report(spark, sf_dir):
     """The similar documents with their stored fields."""
     return sim.similar_docs(context(spark, sf_dir).index, TARGET_DOC, "tf", TOP_SIMILAR, show=("source", "lang"))
@@ -555,6 +575,8 @@ QUERIES: dict[str, Query] = {
     "search_jm_05": _search("jm", lam=0.5),
     "search_jm_bounded": search_jm_bounded,
     "similar_docs_report": similar_docs_report,
+    "search_hits_text": search_hits_text,
+    "file_tree_documents": file_tree_documents,
     "search_tfidf_p1": _search("tfidf", power=1.0),
     "search_tfidf_p2": _search("tfidf", power=2.0),
     "search_hits_report": search_hits_report,

@@ -75,6 +75,23 @@ def test_smart_reader(spark):
     assert [(r.id, r.body) for r in rows] == [(1, "foo bar\nbaz"), (2, "qux i.I 3"), (10, "last")]  # Q05
 
 
+def test_smart_body_lines_that_look_like_separators(spark):
+    d = tempfile.mkdtemp(prefix="lexiframe-smart-")
+    records = {1: "one\n.I think so\nand\n.I am", 2: "two", 3: ".I 5 is no header\nthree\n.I \nx"}
+    records |= {i: f"filler {i}\n" + "\n".join(f".I line {j} of {i}" for j in range(i % 4)) for i in range(4, 200)}
+    records = {i: t.rstrip("\n") for i, t in records.items()}
+    _write(d, "c.all", "".join(f".I {i}\n.W\n{t}\n" for i, t in records.items()))
+    assert {r.id: r.body for r in read_smart(spark, os.path.join(d, "c.all")).collect()} == records
+    conf = "spark.sql.files.maxPartitionBytes"
+    old = spark.conf.get(conf)
+    spark.conf.set(conf, "97")  # splits end inside records, and many hold fragments only
+    try:
+        assert read_smart(spark, os.path.join(d, "c.all")).rdd.getNumPartitions() > 1
+        assert {r.id: r.body for r in read_smart(spark, os.path.join(d, "c.all")).collect()} == records
+    finally:
+        spark.conf.set(conf, old)
+
+
 def test_smart_topics_keep_line_breaks(spark):  # Q06: words at line ends do not fuse
     from lexiframe.operators.search import query_terms
 
