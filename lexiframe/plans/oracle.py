@@ -502,6 +502,7 @@ SELECT query_id, round(x, 6) AS x, round(y, 6) AS y, round(d, 6) AS d FROM pd"""
 ORACLE_SQL["paired_t_test"] = _paired_t()
 ORACLE_SQL["kmeans_converged"] = _kmeans_until_sql(C.KMEANS_K, 40)
 ORACLE_SQL["kmeanspp_seeds"] = _seeds_sql(C.KMEANS_K, C.KMEANS_SEED)
+ORACLE_SQL["smart_separator_lines"] = r"""SELECT doc_id AS id, regexp_replace(replace(text, ', ', chr(10) || '.I '), '\n+$', '') AS body FROM documents"""
 ORACLE_SQL["search_hits_text"] = f"""WITH {_eval_jm(0.5)}
 SELECT f.query_id, f.rank, f.doc_id, d.text, f.is_rel = 1 AS relevant, round(m.p, 6) AS p, round(m.r, 6) AS r, round(m.ap, 6) AS ap
 FROM flags f JOIN met m ON m.query_id = f.query_id JOIN documents d ON d.doc_id = f.doc_id"""

@@ -167,6 +167,12 @@ def smart_parse_topics(spark, sf_dir):
     return _smart_round_trip(spark, context(spark, sf_dir).table("benchmark"), "item_id", "text")
 
 
+def smart_separator_lines(spark, sf_dir):
+    """Documents whose lines are cut at commas, each rest starting like a record, written and read back."""
+    docs = context(spark, sf_dir).documents.select("doc_id", F.replace("text", F.lit(", "), F.lit("\n.I ")).alias("text"))
+    return _smart_round_trip(spark, docs, "doc_id", "text")
+
+
 def timestamp_formats(spark, sf_dir):
     ev_ = context(spark, sf_dir).table("events")
     return ev_.select("event_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("local_fmt"),
@@ -551,6 +557,7 @@ QUERIES: dict[str, Query] = {
     "lines_top_bottom": lines_top_bottom,
     "smart_parse_docs": smart_parse_docs,
     "smart_parse_topics": smart_parse_topics,
+    "smart_separator_lines": smart_separator_lines,
     "timestamp_formats": timestamp_formats,
     "index_upsert": index_upsert,
     "index_append": index_append,
