@@ -74,7 +74,10 @@ def _file(text, name="f.txt"):
 @pytest.mark.parametrize("body", [".I think this stays\nlast line", ".I 7 apples\nlast line"])
 def test_smart_reader_loses_no_text(spark, body):
     _, path = _file(f".I 1\n.W\nfirst\n{body}\n.I 2\n.W\nsecond\n")
-    with pytest.raises(PySparkException):
+    got = {r["id"]: r["body"] for r in read_smart(spark, path).collect()}
+    assert got == {1: f"first\n{body}", 2: "second"}  # the cut-off text is put back
+    _, path = _file("no header\n.I 2\n.W\nsecond\n")
+    with pytest.raises(PySparkException):  # text before the first record has no place
         read_smart(spark, path).collect()
 
 
