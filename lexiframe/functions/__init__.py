@@ -1,5 +1,5 @@
 from lexiframe.functions.text import (  # noqa: F401
-    TOKEN_PATTERN,
+    JAVA_TOKEN_PATTERN,
     tokens,
     keyword_terms,
     line_slice,

@@ -1,8 +1,16 @@
 """Text analysis as JVM-side column expressions (no Python UDFs).
 
-The analyzer is a word tokenizer with lower-casing, no stop words and no stemming.
-A token is a run of letters, marks, digits or underscores, optionally joined by a single
-apostrophe or dot to the next run (``don't``, ``e.g``, ``3.14``).
+The analyzer lower-cases and cuts at the default word boundaries of Unicode (UAX #29), with no stop
+words and no stemming. A token is a segment that holds a letter or a decimal digit:
+
+* letters and digits stand together; marks and format characters stay with what they follow;
+* a single MidLetter or MidNumLet (``:`` ``·`` ``.`` ``'`` ``’`` ...) joins two letters, a MidNum or
+  MidNumLet (``,`` ``;`` ``.`` ``'`` ...) two digits, but neither joins a letter to a digit: ``don't``,
+  ``e.g``, ``3.14`` and ``1,000`` are one token, ``fig.3`` two;
+* ExtendNumLet (``_`` and other connectors) joins and belongs to what it touches;
+* Katakana runs are tokens, each Han or Hiragana character is one, and runs of Thai, Lao, Myanmar or
+  Khmer, which need a dictionary, stay whole;
+* a token of more than 255 characters is cut every 255 characters.
 """
 
 from __future__ import annotations
@@ -10,22 +18,56 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Fixed value: token pattern (applied to lower-cased text). RE2 (DuckDB) and java.util.regex
-# (Spark) accept the same syntax and give the same matches on it.
-TOKEN_PATTERN = r"[\p{L}\p{M}\p{N}_]+(?:['’.][\p{L}\p{M}\p{N}_]+)*"
-# The same pattern with possessive quantifiers for java.util.regex: a run of word characters is
-# always followed by a non-word character, so giving up backtracking changes no match and
-# saves time.
-JAVA_TOKEN_PATTERN = r"[\p{L}\p{M}\p{N}_]++(?:['’.][\p{L}\p{M}\p{N}_]++)*+"
+MAX_TOKEN = 255
+
+# Word-break classes of UAX #29 as character class contents.
+MID_LETTER = ":\u00b7\u0387\u055f\u05f4\u2027\ufe13\ufe55\uff1a"
+MID_NUM = ",;\u037e\u0589\u060c\u060d\u066c\u07f8\u2044\ufe10\ufe14\ufe50\ufe54\uff0c\uff1b"
+MID_NUM_LET = ".'\u2018\u2019\u2024\ufe52\uff07\uff0e"
+_OWN_RULES = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\u30FC\p{IsThai}\p{IsLao}\p{IsMyanmar}\p{IsKhmer}"  # letters with rules of their own
+
+
+def _token_pattern() -> str:
+    """The rules as one pattern of java.util.regex. Every quantifier is possessive: no run gives
+    characters back, so that matching is linear and does not recurse however long a token is."""
+    extend = r"[\p{M}\p{Cf}]*+"
+    letter = rf"[[^\P{{L}}{_OWN_RULES}]\p{{Nl}}]"
+    letters = rf"{letter}[{letter}\p{{M}}\p{{Cf}}]*+"
+    digits = r"\p{Nd}[\p{Nd}\p{M}\p{Cf}]*+"
+    connector = rf"(?:\p{{Pc}}{extend})"
+    words = rf"{letters}(?:[{MID_LETTER}{MID_NUM_LET}]{extend}{letters})*+"
+    numbers = rf"{digits}(?:[{MID_NUM}{MID_NUM_LET}]{extend}{digits})*+"
+    piece = rf"(?:(?:{words}|{numbers})++|[\p{{IsKatakana}}\u30FC][\p{{IsKatakana}}\u30FC\p{{M}}\p{{Cf}}]*+)"
+    joined = rf"{connector}*+{piece}(?:{connector}++{piece})*+{connector}*+"
+    one = rf"[\p{{IsHan}}\p{{IsHiragana}}]{extend}"
+    run = r"[\p{IsThai}\p{IsLao}\p{IsMyanmar}\p{IsKhmer}][\p{IsThai}\p{IsLao}\p{IsMyanmar}\p{IsKhmer}\p{M}\p{Cf}]*+"
+    return f"{joined}|{one}|{run}"
+
+
+JAVA_TOKEN_PATTERN = _token_pattern()
 
 
 def _c(col: str | Column) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+def chopped(token: Column) -> Column:
+    """ARRAY<STRING>: the token, or its pieces of ``MAX_TOKEN`` characters."""
+    last = F.floor((F.length(token) - 1) / MAX_TOKEN).cast("int")
+    pieces = F.transform(F.sequence(F.lit(0), last), lambda i: F.substring(token, i * MAX_TOKEN + 1, F.lit(MAX_TOKEN)))
+    return F.when(F.length(token) > MAX_TOKEN, pieces).otherwise(F.array(token))
+
+
+def may_be_long(text: Column) -> Column:
+    """Whether a text can hold a token beyond ``MAX_TOKEN`` characters."""
+    return F.rlike(text, F.lit(rf"\S{{{MAX_TOKEN + 1}}}"))
+
+
 def tokens(text: str | Column) -> Column:
     """ARRAY<STRING> of lower-cased word tokens in text order."""
-    return F.regexp_extract_all(F.lower(_c(text)), F.lit(JAVA_TOKEN_PATTERN), 0)
+    lower = F.lower(_c(text))
+    found = F.regexp_extract_all(lower, F.lit(JAVA_TOKEN_PATTERN), 0)
+    return F.when(may_be_long(lower), F.flatten(F.transform(found, chopped))).otherwise(found)
 
 
 def keyword_terms(value: str | Column) -> Column:

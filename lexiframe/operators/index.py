@@ -409,7 +409,7 @@ def token_offsets(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
     The text splits into tokens and the gaps between them (same pattern, same scan), so a
     token starts after all earlier gaps and tokens: a running sum per document.
     """
-    from lexiframe.functions.text import JAVA_TOKEN_PATTERN
+    from lexiframe.functions.text import JAVA_TOKEN_PATTERN, chopped
 
     lt = F.lower(F.col(text))
     staged = docs.select(F.col(key), F.regexp_extract_all(lt, F.lit(JAVA_TOKEN_PATTERN), 0).alias("_t"),
@@ -417,6 +417,9 @@ def token_offsets(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
     pairs = staged.select(key, F.arrays_zip(F.col("_t").alias("term"),
                                             F.slice("_g", 1, F.greatest(F.size("_t"), F.lit(1))).alias("gap"))
                           .alias("_p"))
+    # the pieces of a long token follow each other without a gap
+    pairs = pairs.select(key, F.flatten(F.transform("_p", lambda x: F.transform(chopped(x["term"]), lambda t, i: F.struct(
+        t.alias("term"), F.when(i == 0, x["gap"]).otherwise("").alias("gap"))))).alias("_p"))
     rows = (pairs.select(key, F.posexplode_outer("_p").alias("pos", "p"))
             .where(F.col("p.term").isNotNull())
             .select(key, F.col("pos").cast("bigint").alias("pos"), F.col("p.term").alias("term"),

@@ -2,20 +2,32 @@
 driver tables (views ``documents``, ``benchmark``, ``embeddings`` …).
 
 They are written independently of the Spark code: relational GROUP BY / JOIN / window SQL,
-no shared helpers beyond the token pattern and a few text snippets below.
+no shared helpers beyond a few text snippets below. The token pattern is written here a second time,
+from the word-break rules, for the other regular expression engine.
 """
 
 from __future__ import annotations
 
-from lexiframe.functions.text import TOKEN_PATTERN
 from lexiframe.plans import context as C
 from lexiframe.operators.search import LAMBDA_GRID
 
-PAT = TOKEN_PATTERN.replace("'", "''")
+_AL = r"(?:[^\P{L}\p{Han}\p{Hiragana}\p{Katakana}\x{30FC}\p{Thai}\p{Lao}\p{Myanmar}\p{Khmer}]|\p{Nl})"
+_X = r"[\p{M}\p{Cf}]*"
+_KA = r"[\p{Katakana}\x{30FC}]"
+_SA = r"[\p{Thai}\p{Lao}\p{Myanmar}\p{Khmer}]"
+_LETTERS = rf"{_AL}{_X}(?:{_AL}{_X})*"
+_DIGITS = rf"\p{{Nd}}{_X}(?:\p{{Nd}}{_X})*"
+_WORD = rf"{_LETTERS}(?:[:.'\x{{B7}}\x{{387}}\x{{55F}}\x{{5F4}}\x{{2027}}\x{{FE13}}\x{{FE55}}\x{{FF1A}}\x{{2018}}\x{{2019}}\x{{2024}}\x{{FE52}}\x{{FF07}}\x{{FF0E}}]{_X}{_LETTERS})*"
+_NUMBER = (rf"{_DIGITS}(?:[,;.'\x{{37E}}\x{{589}}\x{{60C}}\x{{60D}}\x{{66C}}\x{{7F8}}\x{{2044}}\x{{FE10}}\x{{FE14}}\x{{FE50}}\x{{FE54}}\x{{FF0C}}\x{{FF1B}}"
+           rf"\x{{2018}}\x{{2019}}\x{{2024}}\x{{FE52}}\x{{FF07}}\x{{FF0E}}]{_X}{_DIGITS})*")
+_PIECE = rf"(?:(?:{_WORD}|{_NUMBER})+|{_KA}{_X}(?:{_KA}{_X})*)"
+_PC = rf"(?:\p{{Pc}}{_X})"
+PAT = rf"{_PC}*{_PIECE}(?:{_PC}+{_PIECE})*{_PC}*|[\p{{Han}}\p{{Hiragana}}]{_X}|{_SA}{_X}(?:{_SA}{_X})*".replace("'", "''")
 
 
 def _tok(col: str) -> str:
-    return f"regexp_extract_all(lower({col}), '{PAT}', 0)"
+    return (f"flatten(list_transform(regexp_extract_all(lower({col}), '{PAT}', 0), lambda w: CASE WHEN length(w) > 255 "
+            f"THEN list_transform(range(0, (length(w) - 1) // 255 + 1), lambda j: substr(w, CAST(j * 255 + 1 AS BIGINT), 255)) ELSE [w] END))")
 
 
 # documents → token lists → (doc, term, tf) and document lengths
@@ -301,8 +313,10 @@ SELECT doc_id, CAST(len(toks) AS BIGINT) AS n_tokens, CAST(len(list_distinct(tok
     "postings_positions": f"""WITH tok AS (SELECT doc_id, {_tok('text')} AS toks FROM documents),
 p AS (SELECT doc_id, unnest(toks) AS term, unnest(range(0, len(toks))) AS pos FROM tok)
 SELECT doc_id, term, count(*) AS tf, min(pos) AS first_pos, max(pos) AS last_pos FROM p GROUP BY doc_id, term""",
-    "token_offsets": f"""WITH s AS (SELECT doc_id, {_tok('text')} AS t,
-                     regexp_split_to_array(lower(text), '{PAT}') AS g FROM documents),
+    "token_offsets": f"""WITH s0 AS (SELECT doc_id, regexp_extract_all(lower(text), '{PAT}', 0) AS raw,
+                     regexp_split_to_array(lower(text), '{PAT}') AS gaps FROM documents),
+s AS (SELECT doc_id, {_tok('text')} AS t, flatten(list_transform(raw, lambda w, k: list_concat([gaps[k]],
+             list_transform(range(0, (length(w) - 1) // 255), lambda j: '')))) AS g FROM s0 JOIN documents USING (doc_id)),
 r AS (SELECT doc_id, unnest(range(0, len(t))) AS pos, unnest(t) AS term, g FROM s),
 x AS (SELECT doc_id, pos, term, length(g[pos + 1]) + length(term) AS step, length(term) AS ln FROM r)
 SELECT doc_id, pos, term,

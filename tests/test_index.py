@@ -370,3 +370,37 @@ def test_bounded_search_equals_full_scoring_and_skips_blocks(spark, tmp_path, mo
     best = {r["query_id"]: r["m"] for r in full.groupBy("query_id").agg(F.max("score").alias("m")).collect()}
     top = {r["query_id"]: r["m"] for r in run.bounds.groupBy("query_id").agg(F.max("bound").alias("m")).collect()}
     assert all(top[q] >= best[q] for q in best)
+
+
+@pytest.mark.parametrize("text,want", [
+    ("1,000 and fig.3", ["1,000", "and", "fig", "3"]), ("3.14 v2 x86_64 a.1 1.a", ["3.14", "v2", "x86_64", "a", "1", "1", "a"]),
+    ("can't l’été e.g. U.S.A", ["can't", "l’été", "e.g", "u.s.a"]), ("a..b a--b 'x' 5,,6 7;8", ["a", "b", "a", "b", "x", "5", "6", "7;8"]),
+    ("日本語カタカナひら abc漢", ["日", "本", "語", "カタカナ", "ひ", "ら", "abc", "漢"]), ("_x__y_ ___ _", ["_x__y_"]),
+    ("été co­op", ["été", "co­op"]), ("½ ² Ⅷ 🙂 $5", ["ⅷ", "5"]), ("a:b 12:30 a·b", ["a:b", "12", "30", "a·b"]),
+    ("ไทย한국어 кот", ["ไทย", "한국어", "кот"]), 
+    ("x" * 600 + " y", ["x" * 255, "x" * 255, "x" * 90, "y"]), ("", []), ("--- ...", []),
+])
+def test_word_boundaries(spark, text, want):
+    from lexiframe.functions.text import tokens
+
+    assert spark.createDataFrame([(text,)], "t string").select(tokens("t").alias("x")).first().x == want
+
+
+def test_tokenizer_agrees_with_the_other_engine(spark):
+    """The pattern of the oracle, on characters of every class around each other, and long runs."""
+    import random
+
+    import duckdb
+
+    from lexiframe.functions.text import tokens
+    from lexiframe.plans.oracle import _tok
+
+    rnd = random.Random(3)
+    chars = list("ab1２_‿ .,:;'’·‧-") + ["é", "é", "日", "ひ", "カ", "ー", "ไ", "한", "½", "Ⅷ", "‍", "­", "🙂", "я", "ש", "״"]
+    texts = ["".join(rnd.choices(chars, k=rnd.randint(0, 30))) for _ in range(2000)] + ["a" * 700, "a." * 3000, "1," * 3000, "_" * 2000, "日" * 300, "カ" * 300, "a1" * 5000]
+    rows = {r.i: r.x for r in spark.createDataFrame(list(enumerate(texts)), "i int, t string").select("i", tokens("t").alias("x")).collect()}
+    con = duckdb.connect()
+    con.execute("CREATE TABLE q (i INT, t VARCHAR)")
+    con.executemany("INSERT INTO q VALUES (?, ?)", list(enumerate(texts)))
+    for i, x in con.execute(f"SELECT i, {_tok('t')} FROM q").fetchall():
+        assert rows[i] == x, texts[i][:80]
