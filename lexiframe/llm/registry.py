@@ -96,7 +96,8 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = secret_scan.find_secrets(read_docs(spark, sf_dir), name="secrets")
+    docs = read_docs(spark, sf_dir).select("doc_id", "text")
+    out = secret_scan.find_secrets(docs, name="secrets", index=secret_scan.build_index(docs))
     base = secret_scan.base_spans(F.col("secrets"))
     count = [count_kind(base, r.kind).alias(f"n_{r.kind}") for r in secret_scan.BASE]
     return out.select("doc_id", *count, F.sha2(listing(base), 256).alias("base_sha256"), listing(F.col("secrets")).alias("spans"))

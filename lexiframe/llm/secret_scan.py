@@ -1,14 +1,19 @@
-"""Secret scans by a trigram index, with DataFrame functions only.
+"""Secret scans by a trigram inverted index, with DataFrame functions only.
 
 Every rule is a regular expression. ``trigram_query`` derives from its parse the Boolean query of
-trigrams that each match must hold. ``trigram_postings`` indexes a table: per row (each document
-is a shard of its own) the trigrams of its lower-cased text, out of those that the rules' queries
-name. A rule's query is evaluated on the postings; only its candidates are scanned with the
-regular expression. A rule without mandatory trigrams (a run of hex digits) scans every text.
+trigrams that each match must hold. ``trigram_postings`` is the inverted index of a table: one row per
+trigram that the rules' queries name and document whose lower-cased text holds it. ``candidates``
+intersects the postings: a conjunction holds where a document has as many of its trigrams as it names.
+Candidates are verified with the regular expression. A rule without mandatory trigrams (a run of hex
+digits) scans every text.
+
+A document is known in the index by the 64-bit hash of its text, so that copies share their postings; a
+collision can only add a candidate that verification turns down.
 """
 
 from __future__ import annotations
 
+import re
 import re._constants as sre
 import re._parser as parser
 from dataclasses import dataclass
@@ -17,6 +22,7 @@ from itertools import product
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lexiframe.llm.common import save_small
 from lexiframe.llm.spans import find_all, none
 
 # a query is True, ("and", trigrams, queries) or ("or", queries)
@@ -135,27 +141,63 @@ def trigrams_of(query: object) -> set[str]:
     return set().union(*(trigrams_of(q) for q in query[1]))
 
 
-def holds(query: object, postings: Column) -> Column:
-    """Evaluates a query on the postings of a row."""
-    if query is True:
-        return F.lit(True)
-    parts = [F.array_contains(postings, g) for g in sorted(query[1])] if query[0] == "and" else []
-    parts += [holds(q, postings) for q in (query[2] if query[0] == "and" else query[1])]
+def _one_of(grams: list[str]) -> str:
+    """A pattern for any of the sorted strings that tells first letters apart by halves."""
+    if len(grams) == 1 or not all(grams):
+        return "|".join(re.escape(g) for g in grams)
+    heads = sorted({g[0] for g in grams})
+    if len(heads) == 1:
+        return re.escape(heads[0]) + "(?:" + _one_of([g[1:] for g in grams]) + ")"
+    low = heads[: len(heads) // 2]
+    left, right = [g for g in grams if g[0] in low], [g for g in grams if g[0] not in low]
+    if len(heads) > 3:
+        return "(?=[" + "".join(re.escape(h) for h in low) + "])(?:" + _one_of(left) + ")|" + _one_of(right)
+    return _one_of(left) + "|" + _one_of(right)
+
+
+def _text(text_col: str) -> Column:
+    return F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+
+
+def row_trigrams(text: Column, rules: tuple[Rule, ...] = BASE + EXTRA) -> Column:
+    """The distinct trigrams of the rules' queries that the lower-cased text holds, in one scan."""
+    vocabulary = sorted(set().union(*(trigrams_of(trigram_query(r.pattern)) for r in rules)))
+    if not vocabulary:
+        return F.array().cast("array<string>")
+    return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit("(?=(" + _one_of(vocabulary) + "))"), F.lit(1)))
+
+
+def trigram_postings(docs: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = BASE + EXTRA) -> DataFrame:
+    """(gram, doc): the documents, by the hash of their text, that hold each trigram of the rules'
+    queries. Copies are put together before the shuffle; every part is sorted by trigram."""
+    rows = docs.select(F.xxhash64(_text(text_col)).alias("doc"), row_trigrams(_text(text_col), rules).alias("grams"))
+    return rows.select(F.explode("grams").alias("gram"), "doc").distinct().sortWithinPartitions("gram", "doc")
+
+
+def _intersected(query: object) -> Column:
+    """An aggregate over the postings of one document: whether they fulfil the query."""
+    parts = [F.count_if(F.col("gram").isin(*sorted(query[1]))) == len(query[1])] if query[0] == "and" and query[1] else []
+    parts += [_intersected(q) for q in (query[2] if query[0] == "and" else query[1])]
     out = parts[0]
     for p in parts[1:]:
         out = (out & p) if query[0] == "and" else (out | p)
     return out
 
 
-def trigram_postings(docs: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = BASE + EXTRA,
-                     name: str = "trigrams") -> DataFrame:
-    """Adds the array of those trigrams of the rules' queries that the lower-cased text holds."""
-    vocabulary = sorted(set().union(*(trigrams_of(trigram_query(r.pattern)) for r in rules)))
-    low = F.lower(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
-    if not vocabulary:
-        return docs.withColumn(name, F.array().cast("array<string>"))
-    hits = [F.when(F.contains(low, F.lit(g)), F.lit(g)) for g in vocabulary]
-    return docs.withColumn(name, F.array_compact(F.array(*hits)))
+def candidates(postings: DataFrame, rules: tuple[Rule, ...] = BASE + EXTRA) -> DataFrame:
+    """(doc, rules): the documents whose postings fulfil the query of at least one rule, with the
+    places of those rules. Rules without a query are not listed: every text is their candidate."""
+    fits = [F.when(_intersected(q), F.lit(i)) for i, r in enumerate(rules) if (q := trigram_query(r.pattern)) is not True]
+    if not fits:
+        return postings.select("doc", F.array().cast("array<int>").alias("rules")).limit(0)
+    return postings.groupBy("doc").agg(F.array_compact(F.array(*fits)).alias("rules")).where(F.size("rules") > 0)
+
+
+def build_index(docs: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = BASE + EXTRA) -> DataFrame:
+    """Writes the postings to the shared folder, intersects them once for all rules and writes the
+    candidates: Spark then knows their size, and broadcasts them to the texts only below its threshold.
+    Beyond it texts meet them by a shuffle, where adaptive execution splits the part of a hot text."""
+    return save_small(candidates(save_small(trigram_postings(docs, text_col, rules), "trigrams"), rules), "candidates")
 
 
 def _accepted(rule: Rule, text: Column) -> Column:
@@ -168,20 +210,25 @@ def _accepted(rule: Rule, text: Column) -> Column:
 
 
 def find_secrets(docs: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = BASE + EXTRA,
-                 name: str = "secrets") -> DataFrame:
+                 name: str = "secrets", index: DataFrame | None = None) -> DataFrame:
     """Adds array<struct<kind, start, end, text>> sorted by start, then in the order of ``rules``.
 
     Spans are in code points, end exclusive; matches of one rule do not overlap, those of
-    different rules may. A null or empty text has none; rows are neither joined nor shuffled.
+    different rules may. A null or empty text has none; repeated rows stay and get the same spans; an
+    empty table gives an empty result. ``index`` holds the candidates of ``build_index`` over a table
+    with these texts and the same rules; without one (a stream, a few rows) every rule scans every row,
+    and rows are neither joined nor shuffled.
     """
-    df = trigram_postings(docs, text_col, rules, "_lx_grams")
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    df, text = docs, _text(text_col)
+    if index is not None:
+        found = index.select(F.col("doc").alias("_lx_doc"), F.col("rules").alias("_lx_rules"))
+        df = docs.join(found, F.xxhash64(text) == F.col("_lx_doc"), "left")
     per = {}
     for i, r in enumerate(rules):
-        query = trigram_query(r.pattern)
-        wanted = holds(query, F.col("_lx_grams")) if query is not True else F.rlike(text, F.lit(r.pattern))
+        scans = index is None or trigram_query(r.pattern) is True
+        wanted = F.rlike(text, F.lit(r.pattern)) if scans else F.array_contains("_lx_rules", i)
         per[f"_lx_s{i}"] = F.when(wanted, _accepted(r, text)).otherwise(none())
-    df = df.withColumns(per).drop("_lx_grams")
+    df = df.withColumns(per).drop("_lx_doc", "_lx_rules")
 
     def ranked(i: int) -> Column:
         return F.transform(f"_lx_s{i}", lambda s: F.struct(s["start"].alias("start"), F.lit(i).alias("o"), s["end"].alias("end"), s["text"].alias("text")))
@@ -196,8 +243,8 @@ def redact(docs: DataFrame, text_col: str = "text", chars_col: str | None = "n_c
            rules: tuple[Rule, ...] = BASE + EXTRA) -> DataFrame:
     """Every row, with the matched spans replaced by [SECRET]; overlapping spans become one. Texts
     without secrets, null ones too, stay as they are; ``chars_col``, if it is a column, follows
-    the changed texts."""
-    df = find_secrets(docs, text_col, rules, "_lx_found")
+    the changed texts. Candidates come from the index of ``docs``."""
+    df = find_secrets(docs, text_col, rules, "_lx_found", build_index(docs, text_col, rules))
     text = F.col(text_col).cast("string")
     zero = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast("array<string>").alias("out"))
 
@@ -219,4 +266,5 @@ def base_spans(spans: Column) -> Column:
     return F.filter(spans, lambda s: s["kind"].isin(*(r.kind for r in BASE)))
 
 
-__all__ = ["BASE", "EXTRA", "Rule", "base_spans", "find_secrets", "holds", "redact", "trigram_postings", "trigram_query", "trigrams_of"]
+__all__ = ["BASE", "EXTRA", "Rule", "base_spans", "build_index", "candidates", "find_secrets", "redact", "row_trigrams", "trigram_postings", "trigram_query",
+           "trigrams_of"]

@@ -132,3 +132,34 @@ def test_long_runs_do_not_overflow(rows_of):
     assert a == {1: 0, 2: 1, 3: 0, 4: 0}
     b = {x["doc_id"]: x["n"] for x in s.find_secrets(df, name="o").select("doc_id", F.size("o").alias("n")).collect()}
     assert b == {1: 0, 2: 0, 3: 1, 4: 0}
+
+
+def test_index_gives_the_rows_of_full_scans(rows_of, odd, empty):
+    more = ["-----BEGIN RSA PRIVATE KEY-----", "sk_live_" + "a" * 20, "xoxb-1234567890", "ghp_" + "A" * 36,
+            "eyJabcdefgh1.eyJabcdefgh1.abcdefgh1", "secretly not one", "API-KEY", "toKen: abcdefgh1"]
+    every = [*texts(), *more, *more]  # repeated texts share their postings
+    df = rows_of(list(enumerate(every)))
+    index = s.build_index(df)
+    spans = {x["doc_id"]: x["o"] for x in s.find_secrets(df, name="o").collect()}
+    got = s.find_secrets(df, name="o", index=index)
+    assert got.columns == [*df.columns, "o"]
+    rows = got.collect()
+    assert len(rows) == len(every) and all(x["o"] == spans[x["doc_id"]] for x in rows)
+    vocabulary = set().union(*(s.trigrams_of(s.trigram_query(r.pattern)) for r in s.BASE + s.EXTRA))
+    posted = {(x["gram"], x["doc"]) for x in s.trigram_postings(df).collect()}
+    hashes = dict(df.select("text", F.xxhash64("text")).collect())
+    assert posted == {(g, hashes[t]) for t in every for g in vocabulary if g in t.lower()}
+    fit = {x["doc"]: set(x["rules"]) for x in index.collect()}
+    assert len(fit) < len(set(every)) and all(2 not in v for v in fit.values())  # a rule without trigrams is not indexed
+    for d in (odd, empty):
+        out = s.find_secrets(d, name="out", index=s.build_index(d))
+        assert out.count() == d.count() and out.columns == [*d.columns, "out"]
+        assert "Python" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rules_that_share_no_trigram(rows_of):
+    rules = (s.Rule("digits", "[0-9]{4}"),)
+    df = rows_of([(1, "a 1234"), (2, "b"), (3, None)])
+    index = s.build_index(df, rules=rules)
+    assert index.count() == 0
+    assert {x["doc_id"]: len(x["o"]) for x in s.find_secrets(df, rules=rules, name="o", index=index).collect()} == {1: 1, 2: 0, 3: 0}
