@@ -28,7 +28,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pandas as pd
@@ -155,7 +155,7 @@ class Vocabulary:
             hit = self.ends[state]
             e = hit >= 0
             got.append((at[e], at[e] + d, hit[e], self.weight[hit[e]]))
-        return tuple(np.concatenate(x) for x in zip(*got, strict=True))  # type: ignore[return-value]
+        return tuple(np.concatenate(x) for x in zip(*got[::-1], strict=True))  # the longest, likely ones first
 
 
 EDGE_KINDS = {"src": np.int32, "piece": np.int32, "p": np.float64, "beside": np.float64, "cum": np.float64}
@@ -257,13 +257,14 @@ class Lattices:
         self.edges, self.nodes, self.units = self.kept
         self.passing = []
         flat = list(chain.from_iterable(docs))
-        got = list(map(self.place.get, flat))
-        if None in got:
-            if self.edges > CACHE_EDGES and 2 * got.count(None) > len(got):  # other texts than those it was filled with
+        got = np.fromiter(map(self.place.get, flat, repeat(-1)), np.int64, len(flat))
+        new = np.flatnonzero(got < 0)
+        if len(new):
+            if self.edges > CACHE_EDGES and 2 * len(new) > len(got):  # other texts than those it was filled with
                 self.clear()
-                got = [None] * len(flat)
-            new = [i for i, g in enumerate(got) if g is None]
-            units = list(dict.fromkeys([flat[i] for i in new]))
+                new = np.arange(len(got))
+            lacking = [flat[i] for i in new.tolist()]
+            units = list(dict.fromkeys(lacking))
             mark = np.fromiter(map(hash, units), np.int64, len(units)) & ((1 << SEEN_BITS) - 1)
             again = self.seen[mark] & (self.edges <= CACHE_EDGES)
             self.seen[mark] = True
@@ -273,9 +274,8 @@ class Lattices:
             if not again.all():
                 self.passing = [units[i] for i in np.flatnonzero(~again)]
                 self.add(self.passing)
-            for i in new:
-                got[i] = self.place[flat[i]]
-        return np.array(got, np.int64)
+            got[new] = np.fromiter(map(self.place.__getitem__, lacking), np.int64, len(lacking))
+        return got
 
     def ends(self, edge: np.ndarray) -> np.ndarray:
         """The node that an edge ends at."""
@@ -292,14 +292,14 @@ class Lattices:
         return e
 
 
-def _draw(lat: Lattices, unit: np.ndarray, node: np.ndarray, first: np.ndarray, key: np.ndarray, stream: int, where: np.ndarray,
-          step: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _draw(lat: Lattices, unit: np.ndarray, node: np.ndarray, first: np.ndarray, key: np.ndarray, stream: int,
+          where: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Walks back from ``node`` to ``first`` in every unit: (unit, edge) in walking order."""
     units, edges = [], []
     live = np.flatnonzero(node > first)
     node, t = node.copy(), 0
     while len(live):
-        e = lat.pick(node[live], uniform(key[live], stream, where[live], step[live] + t))
+        e = lat.pick(node[live], uniform(key[live], stream, where[live], t))
         units.append(unit[live])
         edges.append(e)
         node[live] -= lat.src[e]
@@ -308,10 +308,9 @@ def _draw(lat: Lattices, unit: np.ndarray, node: np.ndarray, first: np.ndarray,
     return (np.concatenate(units), np.concatenate(edges)) if units else (np.zeros(0, np.int64),) * 2
 
 
-def _truncated(loc: np.ndarray, most: np.ndarray, u: np.ndarray) -> np.ndarray:
-    """Gumbel of the given location below ``most``."""
-    with np.errstate(divide="ignore"):
-        return -np.logaddexp(-most, -(loc - np.log(-np.log(u))))
+def _truncated(g: np.ndarray, most: np.ndarray) -> np.ndarray:
+    """A Gumbel held below ``most``. It rises with ``g``, so that the highest one stays the highest."""
+    return -np.logaddexp(-most, -g)
 
 
 def _free(lat: Lattices, edge: np.ndarray, barred: np.ndarray) -> np.ndarray:
@@ -337,7 +336,7 @@ def sample(docs: list[list[str]], keys: np.ndarray, k: int, lat: Lattices) -> li
     first, last = lat.first[unit_id], lat.last[unit_id]
     keys = keys.view(np.uint64)
     every = np.arange(len(unit_id))
-    unit, edge = _draw(lat, every, last, first, keys[doc], 1, within, np.zeros(len(every), np.int64))
+    unit, edge = _draw(lat, every, last, first, keys[doc], 1, within)
     by = np.argsort(unit, kind="stable")
     unit, edge = unit[by], edge[by]
     top = -np.log(-np.log(uniform(keys, 0, np.zeros(n))))
@@ -363,13 +362,12 @@ def sample(docs: list[list[str]], keys: np.ndarray, k: int, lat: Lattices) -> li
             here = begin[has] + diverge[has]
             rest[here] = _free(lat, edge[here], np.column_stack([barred[has], edge[here]])).sum(axis=1)
         with np.errstate(divide="ignore"):
-            mass = before + np.log(rest)
-        g = _truncated(mass, top[d], uniform(keys[d], 2 + 4 * r, at))
+            g = before + np.log(rest / -np.log(uniform(keys[d], 2 + 4 * r, at)))
         g[at < diverge[d]] = -np.inf
         log_p = np.bincount(d, lp, n)
         for i in np.flatnonzero(alive):
             out[i].append([None, float(log_p[i]), float(top[i]), 1.0])
-        open_.append({"unit": unit, "edge": edge, "g": g, "begin": begin, "count": count, "diverge": diverge, "barred": barred, "alive": alive})
+        open_.append({"unit": unit, "edge": edge, "g": g, "begin": begin, "count": count, "diverge": diverge, "barred": barred, "alive": alive, "top": top})
         # the set with the highest maximum over all samples of a document
         best, which, place = np.full(n, -np.inf), np.zeros(n, np.int64), np.zeros(n, np.int64)
         for s, o in enumerate(open_):
@@ -377,7 +375,7 @@ def sample(docs: list[list[str]], keys: np.ndarray, k: int, lat: Lattices) -> li
             if not len(full):
                 continue
             high = np.full(n, -np.inf)
-            high[full] = np.maximum.reduceat(o["g"], o["begin"][full])
+            high[full] = _truncated(np.maximum.reduceat(o["g"], o["begin"][full]), o["top"][full])
             better = np.flatnonzero(o["alive"] & (high > best))
             best[better], which[better] = high[better], s
             for i in better:  # position of the maximum
@@ -390,7 +388,6 @@ def sample(docs: list[list[str]], keys: np.ndarray, k: int, lat: Lattices) -> li
         new_unit, new_edge, bars, div = [], [], np.full((n, k + 1), -1, np.int64), np.zeros(n, np.int64)
         node = np.zeros(n, np.int64)
         cut_unit = np.zeros(n, np.int64)
-        step0 = np.zeros(n, np.int64)
         for s, o in enumerate(open_):
             mine = np.flatnonzero(alive & (which == s))
             if not len(mine):
@@ -421,12 +418,11 @@ def sample(docs: list[list[str]], keys: np.ndarray, k: int, lat: Lattices) -> li
         new_edge.append(took)
         cut_node = np.full(n, -1, np.int64)
         cut_node[mine] = node[mine] - lat.src[took]
-        step0[mine] = 64
         # the rest of that unit, and all units behind it, are free
         behind = alive[doc] & (every > cut_unit[doc])
         rest = np.concatenate([cut_unit[mine], every[behind]])
         start = np.concatenate([cut_node[mine], last[behind]])
-        u2, e2 = _draw(lat, rest, start, first[rest], keys[doc[rest]], 4 + 4 * r, within[rest], np.zeros(len(rest), np.int64))
+        u2, e2 = _draw(lat, rest, start, first[rest], keys[doc[rest]], 4 + 4 * r, within[rest])
         unit, edge = np.concatenate([*new_unit, u2]), np.concatenate([*new_edge, e2])
         by = np.argsort(unit, kind="stable")
         unit, edge = unit[by], edge[by]
