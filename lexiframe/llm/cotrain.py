@@ -132,31 +132,36 @@ def co_train(xs: list[np.ndarray], y: np.ndarray, pool: list[np.ndarray], aside:
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
           meta: tuple[str, str, str] = ("lang", "source", "n_chars"), train_rows: Column | None = None,
           labelled: int = LABELLED, pool: int = POOL) -> Model | None:
-    """Fits on at most ``labelled`` labelled and ``pool`` unlabelled documents, chosen by the hash of
-    their id; one in four labelled ones calibrates. None if no document is labelled."""
+    """Fits on at most ``labelled`` labelled documents and a pool of at most ``pool`` others of the
+    training rows, chosen by the hash of their id; one in four labelled ones calibrates. Labels of
+    documents in the pool are not read, so that the views also exchange labels where ``labels`` covers
+    every document. Of several rows of one id the one with the smallest hash counts. None if no
+    document is labelled, as in an empty table."""
     on_workers(docs.sparkSession)
     mark = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull())
     if train_rows is not None:
         mark = mark.where(train_rows)
     mark = mark.groupBy(F.col(id_col).alias("_lx_id")).agg(F.max(label_col).cast("int").alias("_lx_y"))
     each = [mark.where(F.col("_lx_y") == y).orderBy(F.xxhash64("_lx_id"), "_lx_id").limit(labelled // 2) for y in (0, 1)]
-    every = labels.select(F.col(id_col).alias("_lx_l")).distinct()
+    chosen = each[0].unionByName(each[1])
     free = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("_lx_id"))
     if train_rows is not None:
         free = docs.where(F.col(id_col).isNotNull() & train_rows).select(F.col(id_col).alias("_lx_id"))
-    free = free.join(every, F.col("_lx_id") == F.col("_lx_l"), "left_anti").distinct().orderBy(F.xxhash64("_lx_id"), "_lx_id").limit(pool)
-    some = F.broadcast(each[0].unionByName(each[1]).unionByName(free.withColumn("_lx_y", F.lit(None).cast("int"))))  # labelled + pool ids
+    free = free.join(F.broadcast(chosen.select("_lx_id")), "_lx_id", "left_anti").distinct().orderBy(F.xxhash64("_lx_id"), "_lx_id").limit(pool)
+    some = F.broadcast(chosen.unionByName(free.withColumn("_lx_y", F.lit(None).cast("int"))))  # labelled + pool ids
     rows = docs.join(some, F.col(id_col) == F.col("_lx_id")).select(
         "_lx_id", "_lx_y", F.col(text_col).cast("string").alias("text"), F.col(meta[0]).cast("string").alias("lang"),
         F.col(meta[1]).cast("string").alias("source"), F.col(meta[2]).cast("double").alias("chars"))
+    rows = rows.withColumn("h", F.xxhash64("text", "lang", "source", "chars"))
 
     def shape(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield pd.DataFrame({"id": b["_lx_id"].astype("int64"), "y": b["_lx_y"].astype("float64"), "t": list(text_matrix(b["text"])),
+            yield pd.DataFrame({"id": b["_lx_id"].astype("int64"), "h": b["h"], "y": b["_lx_y"].astype("float64"), "t": list(text_matrix(b["text"])),
                                 "m": list(meta_matrix(b["lang"], b["source"], b["chars"]))})
 
-    got = rows.mapInPandas(shape, "id long, y double, t array<double>, m array<double>").toPandas()  # bounded as the sample is
-    got = got.sort_values("id").drop_duplicates("id")
+    got = rows.mapInPandas(shape, "id long, h long, y double, t array<double>, m array<double>")
+    one = got.groupBy("id").agg(F.min_by(F.struct("y", "t", "m"), "h").alias("x"))  # copies are put together before the shuffle
+    got = one.select("id", "x.*").toPandas().sort_values("id")  # bounded as the sample is
     known = got["y"].notna().to_numpy()
     if not known.any():
         return None

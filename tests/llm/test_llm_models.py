@@ -249,3 +249,19 @@ def test_every_arc_with_evidence_is_learned(spark):
     many = [(" ".join(f"x{chr(97 + i // 676 % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i % 26)}{chr(97 + i // 17576)}" for i in range(21_000)), 1, i) for i in range(25)]
     df = spark.createDataFrame(many + [("zzgrumbit", 1, 90 + i) for i in range(20)] + [("fine", 0, 200 + i) for i in range(45)], "text string, y int, h long")
     assert "zzgrumbit" in toxicity._arcs(df, set(), (0,), 0.85, 20.0)
+
+
+def test_pool_where_every_document_has_a_label(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang", "source", "n_chars")
+    labels = docs.select("doc_id", (F.length("text") % 2).cast("int").alias("quality"))
+    seen = {}
+
+    def spy(xs, y, pool, aside, share):
+        seen.update(labelled=len(y), pool=len(pool[0]))
+
+    monkeypatch.setattr(cotrain, "co_train", spy)
+    n = docs.where("doc_id IS NOT NULL").select("doc_id").distinct().count()
+    cotrain.train(docs, labels, labelled=40, pool=30)
+    assert seen == {"labelled": 40, "pool": 30} and n > 70
+    cotrain.train(docs.unionByName(docs.withColumn("text", F.lit("another text"))), labels, labelled=40, pool=30)
+    assert seen == {"labelled": 40, "pool": 30}  # one row per sampled id
