@@ -5,6 +5,8 @@ import tempfile
 
 from pyspark.sql import functions as F
 
+from lexiframe.operators import search as se
+from lexiframe.operators.index import CorpusIndex, build_index
 from lexiframe.sources.filetree import read_file_tree, write_file_tree
 
 
@@ -18,3 +20,36 @@ def test_tree_files_are_written_by_the_tasks(spark):
     tree = read_file_tree(spark, f"file://{root}", depth=2).select(
         F.regexp_extract("rel_path", r"doc_id=(-?\d+)/", 1).cast("int"), "text", "size_bytes")
     assert {tuple(r) for r in tree.collect()} == {(1, "one\ntwo", 9), (2, "", 1), (3, "drei", 5), (4, "four", 5), (5, "", 1)}
+
+
+def _saved_index(spark, n=400):
+    docs = spark.range(n).select(
+        ((F.col("id") * 7919) % n).alias("doc_id"), F.concat(F.lit("the word"), F.col("id") % 13, F.lit(" of "), F.col("id")).alias("text"),
+        F.lit("en").alias("lang"), F.lit("s").alias("source")).repartition(5)
+    path = "file://" + tempfile.mkdtemp(prefix="lexiframe-idx-")
+    build_index(docs).save(path)
+    return CorpusIndex.load(spark, path), path
+
+
+def test_scores_do_not_shuffle_query_postings(spark):
+    idx, _ = _saved_index(spark)
+    topics = spark.createDataFrame([(1, "the word1"), (2, "of the the"), (3, "word2 of")], "query_id bigint, text string")
+    qt = se.query_terms(topics)
+    # every document holds `the` and `of`, so that all topics match all of them
+    for scores, rows in ((se.score_jm(idx, qt, 0.5), 1200), (se.score_tfidf(idx, qt), 1200), (se.score_jm_grid(idx, qt), 12000)):
+        plan = scores._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning(query_id" not in plan and "hashpartitioning(doc_id" in plan
+        assert scores.count() == rows
+    assert se.score_jm(idx, qt, 0.5).groupBy("query_id", "doc_id").count().where("count > 1").count() == 0
+
+
+def test_new_documents_are_dealt_by_key_before_they_are_analysed(spark):
+    idx, path = _saved_index(spark)
+    files = spark.read.parquet(f"{path}/seg-*/docs").groupBy(F.input_file_name().alias("f")).agg(
+        F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).orderBy("lo").collect()
+    assert len(files) > 4 and all(a["hi"] < b["lo"] for a, b in zip(files, files[1:]))
+    vectors = spark.read.parquet(f"{path}/seg-*/term_vectors/field=text").select("doc_id", F.input_file_name().alias("f"))
+    for name in [r["f"] for r in vectors.select("f").distinct().collect()]:
+        keys = [r["doc_id"] for r in spark.read.parquet(name).select("doc_id").coalesce(1).collect()]
+        assert keys == sorted(keys)
+    assert idx.forward.where("field = 'text'").count() == 400 and idx.terms.where("term = 'the'").first()["df"] == 400
