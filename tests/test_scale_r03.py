@@ -5,8 +5,12 @@ import tempfile
 
 from pyspark.sql import functions as F
 
+import pytest
+
+from lexiframe.operators import index as ix
 from lexiframe.operators import search as se
 from lexiframe.operators.index import CorpusIndex, build_index
+from lexiframe.operators.sizing import small_splits
 from lexiframe.sources.filetree import read_file_tree, write_file_tree
 
 
@@ -53,3 +57,36 @@ def test_new_documents_are_dealt_by_key_before_they_are_analysed(spark):
         keys = [r["doc_id"] for r in spark.read.parquet(name).select("doc_id").coalesce(1).collect()]
         assert keys == sorted(keys)
     assert idx.forward.where("field = 'text'").count() == 400 and idx.terms.where("term = 'the'").first()["df"] == 400
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_postings_are_sorted_and_shuffled_once(spark, monkeypatch, broadcast):
+    monkeypatch.setattr(ix, "BLOCK_DOCS", 2)  # many blocks, so that `the` lies in several buckets
+    if not broadcast:
+        monkeypatch.setattr(ix, "small_count", lambda df: None)
+    idx, path = _saved_index(spark)
+    stored = spark.read.parquet(f"{path}/seg-*/postings")
+    # a term and block lie in one bucket, where one row holds their largest share: no aggregate over postings is needed
+    by_block = stored.groupBy("field", "term", "block").agg(F.countDistinct("bucket").alias("b"), F.sum(F.col("peak").cast("int")).alias("p"))
+    assert by_block.where("b <> 1 or p <> 1").count() == 0
+    dense = stored.groupBy("field", "term").count().where(F.col("count") >= ix.DENSE_DF).select("field", "term")
+    tops = stored.join(dense, ["field", "term"]).groupBy("field", "bucket", "term", "block").agg(F.max(F.col("tf") / F.col("doc_len")).alias("top"))
+    got = spark.read.parquet(f"{path}/seg-*/impacts").select(*tops.columns)
+    assert got.count() == tops.count() > 40 and got.exceptAll(tops).count() == 0
+    ranges = stored.groupBy("field", "bucket").agg(F.min("term").alias("lo"), F.max("term").alias("hi"))
+    found = spark.read.parquet(f"{path}/seg-*/ranges").select(*ranges.columns)
+    assert found.where("lo = hi and lo = 'the'").count() > 1
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, ranges.collect()))
+    plan = ix._ranged(idx.postings, "doc_id", 400, 2400)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == plan.count("Sort [") == 1
+
+
+def test_splits_are_small_for_one_step_only(spark):
+    name = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(name)
+    with pytest.raises(ZeroDivisionError), small_splits(spark, 4096):
+        assert spark.conf.get(name) == "4096"
+        with small_splits(spark, 1 << 40):  # never larger ones
+            assert spark.conf.get(name) == "4096"
+        raise ZeroDivisionError
+    assert spark.conf.get(name) == before
